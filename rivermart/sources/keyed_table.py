@@ -1,0 +1,100 @@
+"""A keyed table on Parquet: each batch adds its changes, reads see the last row per key."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from rivermart.operators.keyed import upsert_latest
+from rivermart.sources.storage import written_versions
+
+MOST_PERIODS = 1000
+PERIOD = "period"
+
+
+@dataclass(frozen=True)
+class KeyedTable:
+    """A table under ``path``.
+
+    ``changes/version=n`` holds the rows of batch n, ``base/version=n`` the
+    table as of batch n. Writing a batch again replaces its folder, and a
+    batch reads only earlier versions, so a repeated batch has the same
+    result. ``insert_only`` says that no key is written twice, which saves
+    the merge. ``day`` is a date text to partition by, cut to ``day_length``
+    characters (7: by month).
+    """
+    spark: SparkSession
+    path: str
+    columns: str
+    keys: tuple[str, ...]
+    insert_only: bool = False
+    day: str | None = None
+    day_length: int = 10
+    compact_every: int = 20
+
+    def upsert(self, rows: DataFrame, version: int) -> None:
+        """Write the changes of a batch; ``rows`` has one row per key."""
+        self._write(rows, f"{self.path}/changes/version={version}")
+
+    def read(self, before: int | None = None) -> DataFrame:
+        """The table, or its state before a batch."""
+        return self._read(before, None)
+
+    def read_days(self, rows: DataFrame, before: int | None = None) -> DataFrame:
+        """The partitions of the days that occur in ``rows``.
+
+        The days of a batch are few; if they are not, the whole table is read.
+        """
+        found = rows.select(self._period()).distinct().limit(MOST_PERIODS + 1).collect()
+        periods = [row[0] for row in found]
+        if len(periods) > MOST_PERIODS or None in periods:
+            return self.read(before)
+        return self._read(before, periods)
+
+    def _read(self, before: int | None, periods: list[str] | None) -> DataFrame:
+        base, changes = self._versions(before)
+        parts = []
+        if base is not None:
+            parts.append(self._load("base", [base]))
+        if changes:
+            parts.append(self._load("changes", changes))
+        if not parts:
+            return self.spark.createDataFrame([], self.columns)
+        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        if periods is not None:
+            rows = rows.filter(F.col(PERIOD).isin(periods))
+        if not self.insert_only and changes:
+            rows = upsert_latest(None, rows, list(self.keys), ["version"])
+        return rows.drop("version", PERIOD)
+
+    def _period(self) -> Column:
+        return F.left(F.col(self.day), F.lit(self.day_length)).alias(PERIOD)
+
+    def compact(self, before: int) -> None:
+        """Write a new base if enough changes have gathered."""
+        _, changes = self._versions(before)
+        if len(changes) >= self.compact_every:
+            self._write(self.read(before), f"{self.path}/base/version={changes[-1]}")
+
+    def _versions(self, before: int | None) -> tuple[int | None, list[int]]:
+        def earlier(kind: str) -> list[int]:
+            return [n for n in written_versions(self.spark, f"{self.path}/{kind}")
+                    if before is None or n < before]
+        bases = earlier("base")
+        base = bases[-1] if bases else None
+        return base, [n for n in earlier("changes") if base is None or n > base]
+
+    def _load(self, kind: str, versions: list[int]) -> DataFrame:
+        folder = f"{self.path}/{kind}"
+        columns = f"{self.columns}, version bigint"
+        if self.day:
+            columns += f", {PERIOD} string"
+        return (self.spark.read.schema(columns).option("basePath", folder)
+                .parquet(*(f"{folder}/version={n}" for n in versions)))
+
+    def _write(self, rows: DataFrame, folder: str) -> None:
+        if self.day:
+            rows.select("*", self._period()).write.mode("overwrite").partitionBy(PERIOD).parquet(folder)
+        else:
+            rows.write.mode("overwrite").parquet(folder)
