@@ -186,7 +186,8 @@ def _arrivals(bed: Testbed) -> tuple[DataFrame, DataFrame]:
 
 
 def wide_window_join_raw(bed: Testbed) -> DataFrame:
-    return wide.window_pairs(*_arrivals(bed)).select("order_id", "order_detail_id", "window_start")
+    return wide.window_pairs(*_arrivals(bed)).select(
+        "order_id", "order_detail_id", F.col("window.start").cast("string").alias("window_start"))
 
 
 def wide_join(bed: Testbed) -> DataFrame:

@@ -1,5 +1,216 @@
-"""Streaming forms of the queries: the same rows, fed slice by slice."""
+"""Streaming forms of the queries: the same rows, fed slice by slice.
+
+Every slice is written as new files and the jobs are started again on their
+checkpoints, so each query also stops and resumes between slices.
+"""
 
 from __future__ import annotations
 
-STREAM_QUERIES = {}
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from rivermart import schemas
+from rivermart.functions import json_fields
+from rivermart.operators import dims, orders, wide
+from rivermart.plans.testbed import Testbed, as_json
+from rivermart.sources.keyed_table import KeyedTable
+from rivermart.sources.storage import work_folder
+from rivermart.sources.streams import read_stream
+from rivermart.streaming import jobs
+
+SLICES = 3
+AVAILABLE = {"availableNow": True}
+
+
+class Feed:
+    """One run: its folder, and inputs that are handed out slice by slice."""
+
+    def __init__(self, bed: Testbed, name: str):
+        self.spark = bed.spark.newSession()
+        # State is kept per shuffle partition, so their number is fixed at the first start.
+        self.spark.conf.set("spark.sql.shuffle.partitions",
+                            str(self.spark.sparkContext.defaultParallelism))
+        self.spark.conf.set("spark.sql.session.timeZone", bed.spark.conf.get("spark.sql.session.timeZone"))
+        self.bed = Testbed(self.spark, bed.sf_dir)
+        self.folder = work_folder(bed.spark, name)
+        self.staged: dict[str, DataFrame] = {}
+
+    def path(self, name: str) -> str:
+        return f"{self.folder}/{name}"
+
+    def stage(self, name: str, rows: DataFrame, slice_: Column) -> None:
+        """Prepare an input; ``slice_`` numbers the slices of its rows from 0."""
+        rows.withColumn("_slice", slice_).write.partitionBy("_slice").parquet(self.path(f"staged/{name}"))
+        self.staged[name] = self.spark.read.parquet(self.path(f"staged/{name}"))
+
+    def stream(self, name: str, **options) -> DataFrame:
+        columns = self.staged[name].drop("_slice").schema.simpleString()[7:-1].replace(":", " ")
+        return read_stream(self.spark, "parquet", self.path(name), columns, **options)
+
+    def hand_out(self, number: int) -> None:
+        for name, rows in self.staged.items():
+            (rows.filter(F.col("_slice") == number).drop("_slice")
+             .write.mode("append").parquet(self.path(name)))
+
+    def run(self, *starts: Callable[[], object]) -> None:
+        """Per slice: hand it out, then run each job on what is there."""
+        for number in range(SLICES):
+            self.hand_out(number)
+            for writer in starts:
+                jobs.start(writer(), AVAILABLE).awaitTermination()
+
+
+def _time_slice(time: str, bounds: tuple) -> Column:
+    """Number of the slice of a time, with equal slices between the bounds."""
+    first, last = (bound.timestamp() for bound in bounds)
+    place = (F.unix_timestamp(time) - F.lit(int(first))) / F.lit(max(last - first, 1.0))
+    return F.least(F.greatest(F.floor(place * SLICES), F.lit(0)), F.lit(SLICES - 1))
+
+
+def _bounds(rows: DataFrame, time: str) -> tuple:
+    return tuple(rows.agg(F.min(time), F.max(time)).first())
+
+
+def _hash_slice(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(SLICES))
+
+
+def _file_sink(rows: DataFrame, feed: Feed, name: str = "out"):
+    return (rows.writeStream.format("parquet").option("path", feed.path(name))
+            .option("checkpointLocation", feed.path(f"checkpoint/{name}")))
+
+
+def _routed(spark: SparkSession, folder: str) -> DataFrame:
+    records = spark.read.schema(schemas.RECORD).parquet(folder)
+    fields = records.select("topic", "key", json_fields(F.col("value")).alias("_fields"))
+    found = F.col("_fields")
+    return fields.select("topic", "key", found["id"].cast("bigint").alias("id"),
+                         found["user_id"].alias("user_id"), found["name"].alias("name"),
+                         found["final_total_amount"].cast("double").alias("final_total_amount"))
+
+
+def stream_cdc_route(bed: Testbed) -> DataFrame:
+    """All slices at once, a few files per micro-batch."""
+    feed = Feed(bed, "cdc_route")
+    feed.stage("raw", feed.bed.maxwell(), _hash_slice("value"))
+    for number in range(SLICES):
+        feed.hand_out(number)
+    writer = jobs.route_changes(feed.stream("raw", max_per_trigger=8), feed.path("out"),
+                                feed.path("checkpoint"))
+    jobs.start(writer, AVAILABLE).awaitTermination()
+    return _routed(bed.spark, feed.path("out"))
+
+
+def stream_resume(bed: Testbed) -> DataFrame:
+    """Stopped and started again between slices."""
+    feed = Feed(bed, "resume")
+    feed.stage("raw", feed.bed.maxwell(), _hash_slice("value"))
+    feed.run(lambda: jobs.route_changes(feed.stream("raw"), feed.path("out"), feed.path("checkpoint")))
+    return _routed(bed.spark, feed.path("out"))
+
+
+def stream_dim_upsert(bed: Testbed) -> DataFrame:
+    feed = Feed(bed, "dim_upsert")
+    changes = feed.bed.spu_feed()
+    last = changes.agg(F.max("offset")).first()[0]
+    feed.stage("changes", changes, F.floor(F.col("offset") * SLICES / F.lit(last + 1)))
+    table = KeyedTable(feed.spark, feed.path("spu"), schemas.ddl(schemas.SPU), ("id",),
+                       compact_every=2)
+    feed.run(lambda: jobs.maintain_dimension(
+        feed.stream("changes"), lambda rows: dims.spu(rows, keep=("offset",)), table, ["offset"],
+        feed.path("checkpoint")))
+    return table.read()
+
+
+def stream_dau(bed: Testbed) -> DataFrame:
+    feed = Feed(bed, "dau")
+    events = feed.bed.table("events").select("event_id", F.col("ts").cast("timestamp").alias("at"))
+    raw = feed.bed.logs().join(events, "event_id").drop("event_id")
+    feed.stage("logs", raw, _time_slice("at", _bounds(events, "at")))
+    feed.run(lambda: _file_sink(jobs.first_visits(feed.stream("logs"), "1 hour"), feed))
+    return bed.spark.read.parquet(feed.path("out")).select("dt", "mid")
+
+
+def _order_info_writer(feed: Feed, keep: tuple[str, ...] = ()):
+    state = KeyedTable(feed.spark, feed.path("user_state"), schemas.ddl(schemas.USER_STATE),
+                       ("user_id",), insert_only=True, compact_every=2)
+    as_of = F.lit("2024-01-01").cast("date")
+    return jobs.order_info_job(feed.stream("orders"), feed.bed.provinces, feed.bed.users, state,
+                               feed.path("dwd_orders"), feed.path("checkpoint/orders"), as_of, keep)
+
+
+def _timed_orders(bed: Testbed) -> DataFrame:
+    return bed.orders().withColumn("order_ts", F.to_timestamp("create_time"))
+
+
+def stream_order_info(bed: Testbed) -> DataFrame:
+    feed = Feed(bed, "order_info")
+    timed = _timed_orders(feed.bed)
+    feed.stage("orders", as_json(timed, "order_ts"), _time_slice("order_ts", _bounds(timed, "order_ts")))
+    feed.run(lambda: _order_info_writer(feed))
+    records = bed.spark.read.schema(schemas.RECORD).parquet(feed.path("dwd_orders"))
+    return orders.parse_order_records(records)
+
+
+def stream_wide_join(bed: Testbed) -> DataFrame:
+    feed = Feed(bed, "wide_join")
+    info = feed.bed.at(orders.with_time_parts(feed.bed.order_info(totals=False)), "id", "order_ts")
+    detail = feed.bed.at(feed.bed.order_detail("l_linenumber"), "order_id", "detail_ts", "l_linenumber")
+    bounds = _bounds(info, "order_ts")
+    feed.stage("info", info, _time_slice("order_ts", bounds))
+    feed.stage("detail", detail.drop("l_linenumber"), _time_slice("detail_ts", bounds))
+    feed.run(lambda: _file_sink(
+        jobs.wide_pairs(feed.stream("info"), feed.stream("detail"), "30 seconds", salts=2)
+        .select("order_id", "order_detail_id"), feed))
+    return bed.spark.read.parquet(feed.path("out"))
+
+
+def stream_order_wide(bed: Testbed) -> DataFrame:
+    """Raw order and detail records through all three jobs to wide rows."""
+    feed = Feed(bed, "order_wide")
+    timed = _timed_orders(feed.bed)
+    bounds = _bounds(timed, "order_ts")
+    feed.stage("orders", as_json(timed, "order_ts"), _time_slice("order_ts", bounds))
+    created = feed.bed.order_times().select(
+        F.col("id").alias("_order"), F.to_timestamp("create_time").alias("_created"))
+    detail = feed.bed.details(F.col("l_linenumber"))
+    detail = (detail.join(created, F.col("order_id") == F.col("_order"))
+              .withColumn("detail_ts", F.col("_created")
+                          + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), 2 * F.col("l_linenumber")))
+              .drop("_order", "_created", "l_linenumber"))
+    feed.stage("details", as_json(detail, "detail_ts"), _time_slice("detail_ts", bounds))
+
+    month = {"day": "dt", "day_length": 7}
+    emitted = KeyedTable(feed.spark, feed.path("emitted"), "dt string, order_detail_id bigint",
+                         ("order_detail_id",), insert_only=True, **month)
+    sums = KeyedTable(feed.spark, feed.path("sums"),
+                      f"dt string, {schemas.ddl(schemas.AMOUNT_STATE)}", ("order_id",),
+                      compact_every=2, **month)
+
+    def detail_writer():
+        return jobs.order_detail_job(feed.stream("details"), feed.bed.flat_skus,
+                                     feed.path("dwd_details"), feed.path("checkpoint/details"),
+                                     keep=("detail_ts",))
+
+    def wide_writer():
+        info, lines = (read_stream(feed.spark, "parquet", feed.path(name),
+                                   f"{schemas.RECORD}, {time} timestamp, batch bigint")
+                       for name, time in (("dwd_orders", "order_ts"), ("dwd_details", "detail_ts")))
+        return jobs.order_wide_job(info, lines, "1 minute", "1 minute", emitted, sums,
+                                   feed.path("dws"), feed.path("checkpoint/wide"))
+
+    feed.run(lambda: _order_info_writer(feed, keep=("order_ts",)), detail_writer, wide_writer)
+    records = bed.spark.read.schema(schemas.RECORD).parquet(feed.path("dws"))
+    return wide.parse_wide_records(records)
+
+
+STREAM_QUERIES: dict[str, Callable[[Testbed], DataFrame]] = {
+    "stream_cdc_route": stream_cdc_route,
+    "stream_dim_upsert": stream_dim_upsert,
+    "stream_dau": stream_dau,
+    "stream_order_info": stream_order_info,
+    "stream_wide_join": stream_wide_join,
+    "stream_order_wide": stream_order_wide,
+    "stream_resume": stream_resume,
+}
