@@ -101,25 +101,32 @@ pair AS (
   SELECT o_orderkey AS order_id, id AS order_detail_id, o_orderkey // 3 AS order_batch,
          (o_orderkey + 2 * l_linenumber) // 3 AS detail_batch
   FROM orders JOIN line ON order_id = o_orderkey),
-split_base AS (
-  SELECT d.order_id, d.id AS order_detail_id, d.sku_num, d.sku_price, d.amount, i.original, i.final,
-         CASE WHEN d.l_linenumber <= 3 THEN 1 ELSE 2 END AS batch,
-         CAST((CAST(d.amount AS HUGEINT) * i.final) // nullif(i.original, 0) AS BIGINT) AS share
-  FROM line d JOIN order_info i ON i.id = d.order_id),
-split_run AS (
-  SELECT *, sum(amount) OVER w AS run, coalesce(sum(share) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING
-         AND 1 PRECEDING), 0) AS before
-  FROM split_base WINDOW w AS (PARTITION BY order_id ORDER BY order_detail_id)),
-split AS (
+line_once AS (
+  SELECT * EXCLUDE (n) FROM (
+    SELECT *, row_number() OVER (PARTITION BY id ORDER BY sku_id, sku_num) AS n FROM line) WHERE n = 1)
+"""
+
+
+def _split(lines: str) -> str:
+    """Each line's share of its order's payment, in cents up to the last step."""
+    return f"""(
   SELECT *, CAST(CASE WHEN run = original AND amount > 0 THEN final - before
                       WHEN run = original THEN 0 ELSE share END AS DOUBLE) / 100 AS final_detail_amount
-  FROM split_run)
-"""
+  FROM (
+    SELECT *, sum(amount) OVER w AS run, coalesce(sum(share) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING
+           AND 1 PRECEDING), 0) AS before
+    FROM (
+      SELECT d.order_id, d.id AS order_detail_id, d.sku_num, d.sku_price, d.amount, i.original, i.final,
+             CASE WHEN d.l_linenumber <= 3 THEN 1 ELSE 2 END AS batch,
+             CAST((CAST(d.amount AS HUGEINT) * i.final) // nullif(i.original, 0) AS BIGINT) AS share
+      FROM {lines} d JOIN order_info i ON i.id = d.order_id)
+    WINDOW w AS (PARTITION BY order_id ORDER BY order_detail_id, sku_num)))"""
+
 
 _WIDE_INFO = """i.order_status, i.create_time, i.user_id, i.benefit_reduce_amount,
   i.original_total_amount, i.feight_fee, i.final_total_amount"""
 
-_PLAIN_WIDE = f"""
+_PLAIN_WIDE = """
 SELECT d.id AS order_detail_id, i.o_orderkey AS order_id, i.o_orderstatus AS order_status,
   i.create_time, i.o_custkey AS user_id, d.sku_id, CAST(0 AS DOUBLE) AS sku_price, d.sku_num, d.sku_name,
   CAST(0 AS DOUBLE) AS benefit_reduce_amount, CAST(0 AS DOUBLE) AS original_total_amount,
@@ -130,7 +137,7 @@ SELECT d.id AS order_detail_id, i.o_orderkey AS order_id, i.o_orderstatus AS ord
   substr(i.create_time, 1, 10) AS dt, CAST(0 AS BIGINT) AS spu_id, CAST(0 AS BIGINT) AS tm_id,
   CAST(0 AS BIGINT) AS category3_id, CAST(NULL AS VARCHAR) AS spu_name,
   CAST(NULL AS VARCHAR) AS tm_name, CAST(NULL AS VARCHAR) AS category3_name
-FROM line d JOIN source_order i ON i.o_orderkey = d.order_id"""
+FROM {lines} d JOIN source_order i ON i.o_orderkey = d.order_id"""
 
 _NULL_ENRICHMENT = """CAST(NULL AS VARCHAR) AS if_first_order, CAST(NULL AS VARCHAR) AS province_name,
   CAST(NULL AS VARCHAR) AS province_area_code, CAST(NULL AS VARCHAR) AS user_age_group,
@@ -222,16 +229,16 @@ BODIES = {
              AS window_start
       FROM (SELECT *, unnest([order_batch, order_batch - 1]) AS start FROM pair)
       WHERE start IN (detail_batch, detail_batch - 1)""",
-    "wide_join": _PLAIN_WIDE + """
+    "wide_join": _PLAIN_WIDE.format(lines="line_once") + """
       WHERE d.id IN (SELECT order_detail_id FROM pair WHERE abs(order_batch - detail_batch) <= 1)""",
     "wide_dedup": f"""
       SELECT * EXCLUDE (n) FROM (
         SELECT * REPLACE (order_id * 10 + (order_detail_id // 34359738368) % 8 AS order_detail_id),
                row_number() OVER (PARTITION BY order_id, (order_detail_id // 34359738368) % 8
-                                  ORDER BY sku_id, sku_num) AS n FROM ({_PLAIN_WIDE})) WHERE n = 1""",
-    "amount_split": "SELECT order_id, order_detail_id, sku_num, sku_price, final_detail_amount FROM split",
+                                  ORDER BY sku_id, sku_num) AS n FROM ({_PLAIN_WIDE.format(lines='line')})) WHERE n = 1""",
+    "amount_split": "SELECT order_id, order_detail_id, sku_num, sku_price, final_detail_amount FROM " + _split("line"),
     "amount_split_incremental": """
-      SELECT batch, order_id, order_detail_id, sku_num, sku_price, final_detail_amount FROM split""",
+      SELECT batch, order_id, order_detail_id, sku_num, sku_price, final_detail_amount FROM """ + _split("line"),
     "sink_json_records": f"""SELECT {', '.join('o.' + c.strip() for c in _TYPED_ORDER.split(','))},
       CAST(NULL AS VARCHAR) AS if_first_order, p.name AS province_name, p.area_code AS province_area_code,
       CAST(NULL AS VARCHAR) AS user_age_group, CAST(NULL AS VARCHAR) AS user_gender,
@@ -244,8 +251,8 @@ BODIES = {
         CAST(s.spu_id AS BIGINT) AS spu_id, CAST(s.tm_id AS BIGINT) AS tm_id,
         CAST(s.category3_id AS BIGINT) AS category3_id, 'spu_' || s.spu_id AS spu_name,
         s.p_brand AS tm_name, 'category3 ' || s.category3_id AS category3_name
-      FROM line d JOIN order_info i ON i.id = d.order_id JOIN first_order f ON f.id = i.id
-      JOIN split x ON x.order_detail_id = d.id JOIN sku s ON s.p_partkey = d.sku_id
+      FROM line_once d JOIN order_info i ON i.id = d.order_id JOIN first_order f ON f.id = i.id
+      JOIN {_split("line_once")} x ON x.order_detail_id = d.id JOIN sku s ON s.p_partkey = d.sku_id
       LEFT JOIN province p ON p.id = CAST(i.province_id AS VARCHAR)
       LEFT JOIN known_user u ON u.c_custkey = i.user_id""",
     "stream_dau": "SELECT DISTINCT dt, mid FROM event",
@@ -255,7 +262,7 @@ BODIES = {
       FROM order_info o JOIN first_order f ON f.id = o.id
       LEFT JOIN province p ON p.id = CAST(o.province_id AS VARCHAR)
       LEFT JOIN known_user u ON u.c_custkey = o.user_id""",
-    "stream_wide_join": """SELECT order_id, order_detail_id FROM pair
+    "stream_wide_join": """SELECT DISTINCT order_id, order_detail_id FROM pair
       WHERE abs(order_batch - detail_batch) <= 1""",
 }
 # Streams that end with the rows of a batch query.

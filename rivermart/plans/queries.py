@@ -203,10 +203,13 @@ def wide_dedup(bed: Testbed) -> DataFrame:
 
 
 SPLIT = ("order_id", "order_detail_id", "sku_num", "sku_price", "final_detail_amount")
+# Ids may repeat in the raw lines, so the order needs a second column.
+LINE_ORDER = ("order_detail_id", "sku_num")
 
 
 def amount_split(bed: Testbed) -> DataFrame:
-    return wide.split_amounts(wide.wide_join(bed.order_info(), bed.priced_detail())).select(*SPLIT)
+    lines = wide.wide_join(bed.order_info(), bed.priced_detail())
+    return wide.split_amounts(lines, order_by=LINE_ORDER).select(*SPLIT)
 
 
 def amount_split_incremental(bed: Testbed) -> DataFrame:
@@ -214,8 +217,9 @@ def amount_split_incremental(bed: Testbed) -> DataFrame:
     info = orders.with_time_parts(bed.order_info())
     detail = bed.priced_detail("l_linenumber")
     early = F.col("l_linenumber") <= testbed.FIRST_BATCH_LINES
-    first = wide.split_amounts(wide.wide_join(info, detail.filter(early)))
-    second = wide.split_amounts(wide.wide_join(info, detail.filter(~early)), wide.amount_state(first))
+    first = wide.split_amounts(wide.wide_join(info, detail.filter(early)), order_by=LINE_ORDER)
+    second = wide.split_amounts(wide.wide_join(info, detail.filter(~early)),
+                                wide.amount_state(first), LINE_ORDER)
     both = first.withColumn("batch", F.lit(1)).unionByName(second.withColumn("batch", F.lit(2)))
     return both.select("batch", *SPLIT)
 

@@ -19,7 +19,7 @@ from rivermart.sources.storage import work_folder
 from rivermart.sources.streams import read_stream
 from rivermart.streaming import jobs
 
-SLICES = 3
+SLICES = 2
 AVAILABLE = {"availableNow": True}
 
 
@@ -174,19 +174,19 @@ def stream_order_wide(bed: Testbed) -> DataFrame:
     feed.stage("orders", as_json(timed, "order_ts"), _time_slice("order_ts", bounds))
     created = feed.bed.order_times().select(
         F.col("id").alias("_order"), F.to_timestamp("create_time").alias("_created"))
-    detail = feed.bed.details(F.col("l_linenumber"))
+    detail = feed.bed.details(F.col("l_linenumber"), spread=True)
     detail = (detail.join(created, F.col("order_id") == F.col("_order"))
               .withColumn("detail_ts", F.col("_created")
                           + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), 2 * F.col("l_linenumber")))
               .drop("_order", "_created", "l_linenumber"))
     feed.stage("details", as_json(detail, "detail_ts"), _time_slice("detail_ts", bounds))
 
-    month = {"day": "dt", "day_length": 7}
+    year = {"day": "dt", "day_length": 4}
     emitted = KeyedTable(feed.spark, feed.path("emitted"), "dt string, order_detail_id bigint",
-                         ("order_detail_id",), insert_only=True, **month)
+                         ("order_detail_id",), insert_only=True, **year)
     sums = KeyedTable(feed.spark, feed.path("sums"),
                       f"dt string, {schemas.ddl(schemas.AMOUNT_STATE)}", ("order_id",),
-                      compact_every=2, **month)
+                      compact_every=2, **year)
 
     def detail_writer():
         return jobs.order_detail_job(feed.stream("details"), feed.bed.flat_skus,

@@ -12,6 +12,7 @@ from rivermart import schemas
 from rivermart.functions import cents, from_cents
 from rivermart.operators.lookup import lookup
 from rivermart.operators.orders import with_order_columns
+from rivermart.operators.skew import estimated_bytes
 from rivermart.sources.tables import read_table
 
 LEFT_OUT_REGION = "MIDDLE EAST"
@@ -23,6 +24,7 @@ LEFT_OUT_SPU_TYPE = "PROMO"
 LEFT_OUT_SKU_TYPE = "ECONOMY"
 FIRST_BATCH_UNTIL = "1998-04-01"
 FIRST_BATCH_LINES = 3
+SPLIT_BYTES = 16 << 20
 
 
 def _text(column: str | Column) -> Column:
@@ -40,12 +42,22 @@ def as_json(rows: DataFrame, *keep: str) -> DataFrame:
 
 
 class Testbed:
+    __test__ = False
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, f"{self.sf_dir}/{name}.parquet")
 
+    def _spread_table(self, name: str) -> DataFrame:
+        """A table whose rows are turned to JSON, which is work for all cores: if its
+        files are too small to be split among them, the rows are dealt out."""
+        rows = self.table(name)
+        cores = self.spark.sparkContext.defaultParallelism
+        size = estimated_bytes(rows)
+        return rows.repartition(cores) if size is not None and size < cores * SPLIT_BYTES else rows
+
     # ------------------------------------------------------------ dimensions
 
     def provinces(self) -> DataFrame:
@@ -189,11 +201,11 @@ class Testbed:
         return self.table("orders").select(F.col("o_orderkey").alias("id"),
                                            _text(self._create_time()).alias("create_time"))
 
-    def details(self, *extra: Column) -> DataFrame:
+    def details(self, *extra: Column, spread: bool = False) -> DataFrame:
         """order_detail rows as the source sends them; ids are packed from the line's columns."""
         line = F.col("l_orderkey") * 8 + F.col("l_linenumber")
         identity = (line * (1 << 21) + F.col("l_partkey")) * (1 << 14) + F.col("l_suppkey")
-        return self.table("lineitem").select(
+        return (self._spread_table if spread else self.table)("lineitem").select(
             identity.alias("id"), F.col("l_orderkey").alias("order_id"),
             F.col("l_partkey").alias("sku_id"), F.col("l_quantity").cast("bigint").alias("sku_num"),
             F.concat(F.lit("sku "), "l_partkey").alias("sku_name"), *extra)
@@ -223,7 +235,7 @@ class Testbed:
 
     def detail_records(self) -> DataFrame:
         """Raw details; the number is sent as text, the price under another name."""
-        return as_json(self.details().withColumns({
+        return as_json(self.details(spread=True).withColumns({
             "sku_num": _text("sku_num"), "order_price": F.lit(1553.0),
             "img_url": F.lit("http://img.example.com/1"), "source_type": F.lit("2401")}))
 
@@ -237,7 +249,7 @@ class Testbed:
                 .when((priority == "4-NOT SPECIFIED") & (status == "P"), "delete")
                 .when((priority == "5-LOW") & (status != "F"), "insert"))
         orders = self._envelope(
-            self.table("orders"), "order_info", kind, F.col("o_orderkey").alias("id"),
+            self._spread_table("orders"), "order_info", kind, F.col("o_orderkey").alias("id"),
             F.col("o_custkey").alias("user_id"), F.col("o_totalprice").alias("final_total_amount"))
         users = self._envelope(self.table("customer"), "user_info", F.lit("insert"),
                                F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
@@ -255,7 +267,7 @@ class Testbed:
     def canal(self) -> DataFrame:
         """One envelope per line: returned lines carry a reversal too, and lines neither
         returned nor open stand for schema changes without data."""
-        rows = self.details(F.col("l_returnflag"), F.col("l_linestatus"))
+        rows = self.details(F.col("l_returnflag"), F.col("l_linestatus"), spread=True)
 
         def element(sign: int) -> Column:
             return F.struct(_text(F.col("id") * sign).alias("id"), _text("order_id").alias("order_id"),

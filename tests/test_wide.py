@@ -1,0 +1,158 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from rivermart import schemas
+from rivermart.operators import wide
+from rivermart.operators.skew import Skew, hot_groups
+from rivermart.plans.testbed import Testbed
+
+PATHS = [Skew(), Skew(hot_rows=3, small_input=0, broadcast_limit=-1),
+         Skew(hot_rows=1, small_input=0, broadcast_limit=-1, buckets=4)]
+SPLIT = ("order_id bigint, order_detail_id bigint, sku_num bigint, sku_price double, "
+         "original_total_amount double, final_total_amount double, dt string")
+
+
+@pytest.fixture(params=PATHS, ids=["plain", "hot", "all hot"])
+def skew(request):
+    return request.param
+
+
+def reference_split(lines, prior=None):
+    """Line by line with running sums in cents."""
+    origin, paid = dict(prior[0]) if prior else {}, dict(prior[1]) if prior else {}
+    out = {}
+    for order, detail, num, price, original, final, _ in sorted(lines):
+        amount, total, left = num * round(price * 100), round(original * 100), round(final * 100)
+        if total - amount == origin.get(order, 0):
+            share = left - paid.get(order, 0)
+        elif total == 0:
+            share = None
+        else:
+            share = int(abs(amount * left) // abs(total)) * (1 if amount * left * total >= 0 else -1)
+        origin[order] = origin.get(order, 0) + amount
+        paid[order] = paid.get(order, 0) + (share or 0)
+        out[order, detail] = share
+    return out, (origin, paid)
+
+
+def shares(frame):
+    return {(r.order_id, r.order_detail_id):
+            None if r.final_detail_amount is None else round(r.final_detail_amount * 100)
+            for r in frame.collect()}
+
+
+def random_lines(seed):
+    """Complete, incomplete and overfull orders, free lines, returns, and one large order."""
+    pick = random.Random(seed)
+    lines = []
+    for order in range(25):
+        count = 40 if order == 0 else pick.randint(1, 6)
+        kind = pick.choice(["complete", "short", "over", "zero"])
+        items = [(pick.randint(0, 3) if pick.random() < 0.9 else -1, pick.choice([0.0, 1.5, 2.25, 9.99]))
+                 for _ in range(count)]
+        total = sum(n * round(p * 100) for n, p in items)
+        if kind == "short":
+            total += 500
+        elif kind == "over":
+            total = sum(n * round(p * 100) for n, p in items[:max(1, count // 2)])
+        elif kind == "zero":
+            total = 0
+        final = pick.randint(0, 5000)
+        lines += [(order, order * 1000 + i * i, n, p, total / 100, final / 100, "2024-01-01")
+                  for i, (n, p) in enumerate(items)]
+    return lines
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_split_matches_line_by_line(spark, skew, seed):
+    lines = random_lines(seed)
+    frame = spark.createDataFrame(lines, SPLIT)
+    assert shares(wide.split_amounts(frame, skew=skew)) == reference_split(lines)[0]
+
+
+def test_split_over_two_batches(spark, skew):
+    lines = random_lines(7)
+    first, second = lines[::2], lines[1::2]
+    expected, state = reference_split(first)
+    done = wide.split_amounts(spark.createDataFrame(first, SPLIT), skew=skew)
+    assert shares(done) == expected
+    prior = wide.amount_state(done)
+    assert {r.order_id: (r.origin_sum, r.fact_sum) for r in prior.collect()} == {
+        key: (state[0][key], state[1][key]) for key in state[0]}
+    again = wide.split_amounts(spark.createDataFrame(second, SPLIT), prior, skew=skew)
+    expected, state = reference_split(second, state)
+    assert shares(again) == expected
+    assert {r.order_id: (r.origin_sum, r.fact_sum) for r in wide.amount_state(again, prior).collect()} == {
+        key: (state[0][key], state[1][key]) for key in {line[0] for line in second}}
+
+
+def test_unrounded_split(spark):
+    lines = [(1, 1, 1, 1.0, 3.0, 2.0, "d"), (1, 2, 2, 1.0, 3.0, 2.0, "d")]
+    done = wide.split_amounts(spark.createDataFrame(lines, SPLIT), exact=False)
+    found = {r.order_detail_id: r.final_detail_amount for r in done.collect()}
+    assert found[1] == pytest.approx(2 / 3) and found[2] == pytest.approx(4 / 3)
+
+
+def test_shares_of_very_large_orders(spark):
+    lines = [(1, 1, 10 ** 9, 10 ** 5 * 1.0, 3e14, 2e14, "d"), (1, 2, 2 * 10 ** 9, 10 ** 5 * 1.0, 3e14, 2e14, "d")]
+    done = wide.split_amounts(spark.createDataFrame(lines, SPLIT))
+    assert sum(shares(done).values()) == 2 * 10 ** 16
+
+
+def test_complete_orders_add_up(spark, sf_dir):
+    bed = Testbed(spark, sf_dir)
+    done = wide.split_amounts(wide.wide_join(bed.order_info(), bed.priced_detail()))
+    sums = done.groupBy("order_id", "final_total_amount").agg(
+        F.sum(F.round(F.col("final_detail_amount") * 100)).alias("paid"))
+    assert sums.filter("paid <> round(final_total_amount * 100)").count() == 0
+    assert sums.count() > 0
+
+
+def test_hot_groups_are_bounded_and_exact(spark):
+    frame = spark.range(1000).select(F.when(F.col("id") < 400, F.lit(7)).otherwise(F.col("id")).alias("k"))
+    found = hot_groups(frame, "k", Skew(hot_rows=100, small_input=0)).collect()
+    assert [(r._hot_key, r._hot_size, r._hot_chunks) for r in found] == [(7, 400, 4)]
+
+
+def arrivals(spark):
+    info = spark.createDataFrame([(1, 0), (2, 4)], "id bigint, s int")
+    detail = spark.createDataFrame([(11, 1, 1), (12, 1, 4), (13, 1, 7), (21, 2, 5), (31, 3, 0)],
+                                   "id bigint, order_id bigint, s int")
+
+    def full(frame, columns, time):
+        at = F.timestamp_seconds(F.lit(1704067200) + F.col("s"))
+        return frame.select(*(F.col(n) if n in frame.columns else F.lit(None).cast(kind).alias(n)
+                              for n, kind in columns.items()), at.alias(time))
+    return full(info, schemas.ORDER_INFO, "order_ts"), full(detail, schemas.ORDER_DETAIL, "detail_ts")
+
+
+@pytest.mark.parametrize("salts", [1, 3])
+def test_window_join_repeats_same_batch_pairs(spark, rows, skew, salts):
+    raw = wide.window_pairs(*arrivals(spark), salts=salts, skew=skew)
+    # Same 3 s batch: twice; the next batch: once; further away: never.
+    assert rows(raw, "order_id", "order_detail_id") == [(1, 11), (1, 11), (1, 12), (2, 21), (2, 21)]
+    assert rows(wide.emit_once(raw), "order_detail_id") == [(11,), (12,), (21,)]
+
+
+def test_emit_once_knows_what_went_out(spark, rows):
+    raw = wide.window_pairs(*arrivals(spark)).withColumn("dt", F.lit("d"))
+    out = spark.createDataFrame([("d", 11), ("other", 12)], "dt string, order_detail_id bigint")
+    assert rows(wide.emit_once(raw, out), "order_detail_id") == [(12,), (21,)]
+
+
+def test_chain_is_the_same_with_hot_orders(spark, sf_dir):
+    from rivermart.operators import orders
+    bed = Testbed(spark, sf_dir)
+    source = bed.order_info()
+    # A third of all lines on one order.
+    detail = bed.order_detail().withColumn(
+        "order_id", F.when(F.pmod("id", F.lit(3)) == 0, F.lit(5)).otherwise(F.col("order_id")))
+
+    def chain(skew):
+        info = orders.enrich_orders(orders.with_time_parts(source), bed.provinces(), bed.users(), skew=skew)
+        return wide.order_wide(info, detail, bed.flat_skus(), source, skew=skew).cache()
+    plain, hot = chain(Skew()), chain(Skew(hot_rows=100, small_input=0, broadcast_limit=-1))
+    assert plain.count() == hot.count() > 5000
+    assert plain.exceptAll(hot).count() == 0
