@@ -14,6 +14,16 @@ def json_fields(text: Column) -> Column:
     return F.from_json(text, "map<string,string>")
 
 
+def parse_once(rows: DataFrame, parsed: Column, name: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The ``keep`` columns and a parsed text.
+
+    Generated from a one-element array: filters on the parsed fields then stay
+    above the parser. On a plain column the optimizer would push them below,
+    and every text would be parsed once for the filter and once for the result.
+    """
+    return rows.select(*keep, F.explode(F.array(parsed)).alias(name))
+
+
 def typed_field(fields: Column, name: str, kind: str) -> Column:
     """One field cast to its type; a number that is absent is 0, an unreadable one NULL."""
     text = fields[name]
@@ -25,7 +35,7 @@ def typed_field(fields: Column, name: str, kind: str) -> Column:
 def parse_records(records: DataFrame, columns: dict[str, str], value: str = "value",
                   keep: tuple[str, ...] = ()) -> DataFrame:
     """Typed columns from a JSON text column; texts that hold no object are left out."""
-    parsed = (records.select(*keep, json_fields(F.col(value)).alias("_fields"))
+    parsed = (parse_once(records, json_fields(F.col(value)), "_fields", keep)
               .filter(F.col("_fields").isNotNull()))
     return parsed.select(*(typed_field(F.col("_fields"), name, kind).alias(name)
                            for name, kind in columns.items()), *keep)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rivermart.functions import parse_once
+
 # Envelope types that mark the ends of a snapshot, topic prefixes.
 SNAPSHOT_MARKS = ("bootstrap-start", "bootstrap-complete")
 MAXWELL_PREFIX = "ODS_T_"
@@ -20,8 +22,8 @@ def _payload(fields: Column) -> Column:
     return F.to_json(F.map_filter(fields, lambda _, value: value.isNotNull()))
 
 
-def parse_maxwell(raw: DataFrame, value: str = "value") -> DataFrame:
-    return raw.select(F.from_json(value, MAXWELL).alias("event")).select("event.*")
+def parse_maxwell(raw: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    return parse_once(raw, F.from_json(value, MAXWELL), "event", keep).select("event.*", *keep)
 
 
 def drop_snapshot_marks(events: DataFrame) -> DataFrame:
@@ -29,37 +31,43 @@ def drop_snapshot_marks(events: DataFrame) -> DataFrame:
     return events.filter(~F.coalesce("type", F.lit("")).isin(*SNAPSHOT_MARKS))
 
 
-def route_maxwell(events: DataFrame, prefix: str = MAXWELL_PREFIX) -> DataFrame:
+def route_maxwell(events: DataFrame, prefix: str = MAXWELL_PREFIX,
+                  keep: tuple[str, ...] = ()) -> DataFrame:
     """One record per event, on the topic of its table, keyed by the row's id."""
     routed = events.filter(F.col("table").isNotNull() & F.col("data").isNotNull())
     return routed.select(F.concat(F.lit(prefix), F.upper("table")).alias("topic"),
-                         F.col("data")["id"].alias("key"), _payload(F.col("data")).alias("value"))
+                         F.col("data")["id"].alias("key"),
+                         _payload(F.col("data")).alias("value"), *keep)
 
 
-def maxwell_records(raw: DataFrame, value: str = "value", prefix: str = MAXWELL_PREFIX) -> DataFrame:
-    return route_maxwell(drop_snapshot_marks(parse_maxwell(raw, value)), prefix)
+def maxwell_records(raw: DataFrame, value: str = "value", prefix: str = MAXWELL_PREFIX,
+                    keep: tuple[str, ...] = ()) -> DataFrame:
+    return route_maxwell(drop_snapshot_marks(parse_maxwell(raw, value, keep)), prefix, keep)
 
 
-def parse_canal(raw: DataFrame, value: str = "value") -> DataFrame:
-    return raw.select(F.from_json(value, CANAL).alias("event")).select("event.*")
+def parse_canal(raw: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+    return parse_once(raw, F.from_json(value, CANAL), "event", keep).select("event.*", *keep)
 
 
-def explode_canal(events: DataFrame) -> DataFrame:
+def explode_canal(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per changed row; an event without rows (a schema change) gives none."""
-    return events.select("table", F.explode("data").alias("data"))
+    rows = events.select("table", F.explode_outer("data").alias("data"), *keep)
+    return rows.filter(F.col("data").isNotNull())
 
 
-def route_canal(rows: DataFrame, prefix: str = CANAL_PREFIX) -> DataFrame:
+def route_canal(rows: DataFrame, prefix: str = CANAL_PREFIX,
+                keep: tuple[str, ...] = ()) -> DataFrame:
     """One record per row, on the topic of its table, keyed by table name and id."""
     name = F.upper("table")
     return (rows.filter(F.col("table").isNotNull())
             .select(F.concat(F.lit(prefix), name).alias("topic"),
                     F.concat(name, F.coalesce(F.col("data")["id"], F.lit("null"))).alias("key"),
-                    _payload(F.col("data")).alias("value")))
+                    _payload(F.col("data")).alias("value"), *keep))
 
 
-def canal_records(raw: DataFrame, value: str = "value", prefix: str = CANAL_PREFIX) -> DataFrame:
-    return route_canal(explode_canal(parse_canal(raw, value)), prefix)
+def canal_records(raw: DataFrame, value: str = "value", prefix: str = CANAL_PREFIX,
+                  keep: tuple[str, ...] = ()) -> DataFrame:
+    return route_canal(explode_canal(parse_canal(raw, value, keep), keep), prefix, keep)
 
 
 def select_topic(records: DataFrame, topic: str) -> DataFrame:

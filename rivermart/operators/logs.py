@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rivermart.functions import json_fields
+from rivermart.functions import json_fields, parse_once
 from rivermart.operators.lookup import first_per_key
 from rivermart.operators.skew import DEFAULT, Skew, fits_broadcast
 
@@ -26,7 +26,7 @@ def valid_logs(raw: DataFrame, value: str = "value") -> DataFrame:
 def start_logs(raw: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Valid logs, typed; optional fields default to "", day, hour and minute come from ts."""
     fields = F.col("_fields")
-    typed = (raw.select(*keep, json_fields(F.col(value)).alias("_fields"))
+    typed = (parse_once(raw, json_fields(F.col(value)), "_fields", keep)
              .filter(_complete(fields))
              .select(fields["mid"].alias("mid"),
                      *(F.coalesce(fields[name], F.lit("")).alias(name)

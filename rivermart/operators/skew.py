@@ -49,7 +49,7 @@ def estimated_bytes(rows: DataFrame) -> int | None:
 def input_bytes(rows: DataFrame) -> int | None:
     """Size of all inputs a result is computed from; None if unknown."""
     try:
-        leaves = rows._jdf.queryExecution().optimizedPlan().collectLeaves()
+        leaves = rows._jdf.queryExecution().analyzed().collectLeaves()
         return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
     except AttributeError:
         return None
@@ -155,14 +155,15 @@ def apply_spread(rows: DataFrame, key: str, hot: DataFrame | None,
     return Spread(cut, key, hot, skew)
 
 
-def spread(rows: DataFrame, key: str, chunk: Callable[[Column], Column],
-           skew: Skew = DEFAULT, **measures: Column) -> Spread:
+def spread(rows: DataFrame, key: str, chunk: Callable[[Column], Column], skew: Skew = DEFAULT,
+           counted: DataFrame | None = None, **measures: Column) -> Spread:
     """Find the hot groups of ``key`` and cut them.
 
-    The search scans the rows twice, reading the key and the measured columns
-    only, so spread a table before it is joined to others.
+    The search scans the rows twice, reading only the key and the measured
+    columns. If ``rows`` come out of joins, ``counted`` names the table they
+    started from, which is cheaper to scan.
     """
-    hot = find_hot(rows, key, skew, **measures)
+    hot = find_hot(rows if counted is None else counted, key, skew, **measures)
     return apply_spread(rows, key, hot, chunk, skew)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rivermart import schemas
 from rivermart.functions import age_years, json_fields
@@ -207,9 +207,14 @@ SPLIT = ("order_id", "order_detail_id", "sku_num", "sku_price", "final_detail_am
 LINE_ORDER = ("order_detail_id", "sku_num")
 
 
+def _positions(detail: DataFrame) -> DataFrame:
+    return detail.select("order_id", F.col("id").alias("order_detail_id"))
+
+
 def amount_split(bed: Testbed) -> DataFrame:
-    lines = wide.wide_join(bed.order_info(), bed.priced_detail())
-    return wide.split_amounts(lines, order_by=LINE_ORDER).select(*SPLIT)
+    raw = bed.order_detail()
+    lines = wide.wide_join(bed.order_info(), bed.priced_detail(), counted=raw)
+    return wide.split_amounts(lines, order_by=LINE_ORDER, counted=_positions(raw)).select(*SPLIT)
 
 
 def amount_split_incremental(bed: Testbed) -> DataFrame:
@@ -217,9 +222,13 @@ def amount_split_incremental(bed: Testbed) -> DataFrame:
     info = orders.with_time_parts(bed.order_info())
     detail = bed.priced_detail("l_linenumber")
     early = F.col("l_linenumber") <= testbed.FIRST_BATCH_LINES
-    first = wide.split_amounts(wide.wide_join(info, detail.filter(early)), order_by=LINE_ORDER)
-    second = wide.split_amounts(wide.wide_join(info, detail.filter(~early)),
-                                wide.amount_state(first), LINE_ORDER)
+
+    def split(part: Column, prior: DataFrame | None) -> DataFrame:
+        raw = bed.order_detail("l_linenumber").filter(part)
+        lines = wide.wide_join(info, detail.filter(part), counted=raw)
+        return wide.split_amounts(lines, prior, LINE_ORDER, counted=_positions(raw))
+    first = split(early, None)
+    second = split(~early, wide.amount_state(first))
     both = first.withColumn("batch", F.lit(1)).unionByName(second.withColumn("batch", F.lit(2)))
     return both.select("batch", *SPLIT)
 

@@ -15,6 +15,7 @@ from rivermart.functions import json_fields
 from rivermart.operators import dims, orders, wide
 from rivermart.plans.testbed import Testbed, as_json
 from rivermart.sources.keyed_table import KeyedTable
+from rivermart.sources.sinks import to_folder
 from rivermart.sources.storage import work_folder
 from rivermart.sources.streams import read_stream
 from rivermart.streaming import jobs
@@ -137,7 +138,8 @@ def _order_info_writer(feed: Feed, keep: tuple[str, ...] = ()):
                        ("user_id",), insert_only=True, compact_every=2)
     as_of = F.lit("2024-01-01").cast("date")
     return jobs.order_info_job(feed.stream("orders"), feed.bed.provinces, feed.bed.users, state,
-                               feed.path("dwd_orders"), feed.path("checkpoint/orders"), as_of, keep)
+                               to_folder(feed.path("dwd_orders")), feed.path("checkpoint/orders"),
+                               as_of, keep)
 
 
 def _timed_orders(bed: Testbed) -> DataFrame:
@@ -190,15 +192,18 @@ def stream_order_wide(bed: Testbed) -> DataFrame:
 
     def detail_writer():
         return jobs.order_detail_job(feed.stream("details"), feed.bed.flat_skus,
-                                     feed.path("dwd_details"), feed.path("checkpoint/details"),
+                                     to_folder(feed.path("dwd_details")),
+                                     feed.path("checkpoint/details"),
                                      keep=("detail_ts",))
 
     def wide_writer():
         info, lines = (read_stream(feed.spark, "parquet", feed.path(name),
                                    f"{schemas.RECORD}, {time} timestamp, batch bigint")
                        for name, time in (("dwd_orders", "order_ts"), ("dwd_details", "detail_ts")))
-        return jobs.order_wide_job(info, lines, "1 minute", "1 minute", emitted, sums,
-                                   feed.path("dws"), feed.path("checkpoint/wide"))
+        pairs = jobs.wide_pairs(orders.parse_order_records(info, "order_ts"),
+                                orders.order_detail(lines, keep=("detail_ts",)), "1 minute", "1 minute")
+        return jobs.order_wide_job(pairs, emitted, sums, to_folder(feed.path("dws")),
+                                   feed.path("checkpoint/wide"))
 
     feed.run(lambda: _order_info_writer(feed, keep=("order_ts",)), detail_writer, wide_writer)
     records = bed.spark.read.schema(schemas.RECORD).parquet(feed.path("dws"))

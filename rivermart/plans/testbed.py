@@ -46,9 +46,12 @@ class Testbed:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, f"{self.sf_dir}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = read_table(self.spark, f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
 
     def _spread_table(self, name: str) -> DataFrame:
         """A table whose rows are turned to JSON, which is work for all cores: if its

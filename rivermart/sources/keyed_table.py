@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rivermart.operators.keyed import upsert_latest
-from rivermart.sources.storage import written_versions
+from rivermart.sources.storage import folder_bytes, remove_folder, written_versions
 
 MOST_PERIODS = 1000
 PERIOD = "period"
@@ -31,11 +31,11 @@ class KeyedTable:
     insert_only: bool = False
     day: str | None = None
     day_length: int = 10
-    compact_every: int = 20
+    compact_every: int = 100
 
     def upsert(self, rows: DataFrame, version: int) -> None:
         """Write the changes of a batch; ``rows`` has one row per key."""
-        self._write(rows, f"{self.path}/changes/version={version}")
+        self._write(rows, self._folder("changes", version))
 
     def read(self, before: int | None = None) -> DataFrame:
         """The table, or its state before a batch."""
@@ -72,10 +72,28 @@ class KeyedTable:
         return F.left(F.col(self.day), F.lit(self.day_length)).alias(PERIOD)
 
     def compact(self, before: int) -> None:
-        """Write a new base if enough changes have gathered."""
-        _, changes = self._versions(before)
-        if len(changes) >= self.compact_every:
-            self._write(self.read(before), f"{self.path}/base/version={changes[-1]}")
+        """Write a new base once enough changes have gathered for it to be worth while.
+
+        A base that is much larger than the changes is rewritten less often.
+        """
+        base, changes = self._versions(before)
+        if len(changes) < self.compact_every:
+            return
+        size = sum(folder_bytes(self.spark, self._folder("changes", n)) for n in changes)
+        large = base is not None and size * 10 < folder_bytes(self.spark, self._folder("base", base))
+        if not large or len(changes) >= 10 * self.compact_every:
+            self._write(self.read(before), self._folder("base", changes[-1]))
+
+    def drop_folded(self) -> None:
+        """Remove the folders that the newest base has made redundant; not while a batch runs."""
+        base, _ = self._versions(None)
+        for kind in ("base", "changes"):
+            for n in written_versions(self.spark, f"{self.path}/{kind}"):
+                if base is not None and (n < base or (n == base and kind == "changes")):
+                    remove_folder(self.spark, self._folder(kind, n))
+
+    def _folder(self, kind: str, version: int) -> str:
+        return f"{self.path}/{kind}/version={version}"
 
     def _versions(self, before: int | None) -> tuple[int | None, list[int]]:
         def earlier(kind: str) -> list[int]:
@@ -86,12 +104,11 @@ class KeyedTable:
         return base, [n for n in earlier("changes") if base is None or n > base]
 
     def _load(self, kind: str, versions: list[int]) -> DataFrame:
-        folder = f"{self.path}/{kind}"
         columns = f"{self.columns}, version bigint"
         if self.day:
             columns += f", {PERIOD} string"
-        return (self.spark.read.schema(columns).option("basePath", folder)
-                .parquet(*(f"{folder}/version={n}" for n in versions)))
+        return (self.spark.read.schema(columns).option("basePath", f"{self.path}/{kind}")
+                .parquet(*(self._folder(kind, n) for n in versions)))
 
     def _write(self, rows: DataFrame, folder: str) -> None:
         if self.day:

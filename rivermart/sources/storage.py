@@ -21,14 +21,27 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/rivermart/{purpose}-{uuid.uuid4().hex}"
 
 
+def _located(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    files, path = _located(spark, folder)
+    return files.getContentSummary(path).getLength()
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    files, path = _located(spark, folder)
+    files.delete(path, True)
+
+
 def written_versions(spark: SparkSession, folder: str) -> list[int]:
     """Numbers n of the completely written ``version=n`` folders, ascending."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files, path = _located(spark, folder)
     if not files.exists(path):
         return []
     names = [status.getPath().getName() for status in files.listStatus(path)]
     return sorted(
         int(name.split("=")[1]) for name in names if name.startswith("version=")
-        and files.exists(jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}/_SUCCESS")))
+        and files.exists(_located(spark, f"{folder}/{name}/_SUCCESS")[1]))

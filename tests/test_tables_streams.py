@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from rivermart import schemas
 from rivermart.operators import cdc, dims, orders
 from rivermart.sources.keyed_table import KeyedTable
-from rivermart.sources.sinks import to_records, write_batch
+from rivermart.sources.sinks import to_folder, to_records, write_batch
 from rivermart.sources.storage import work_folder, written_versions
 from rivermart.sources.streams import read_stream
 from rivermart.sources.tables import read_table
@@ -46,6 +46,8 @@ def test_compaction_keeps_the_table(spark, rows, tmp_path):
     users.upsert(rows_in(spark, ("2", "c", "d")), 3)
     users.compact(4)
     assert written_versions(spark, str(tmp_path / "table/base")) == [3]
+    users.drop_folded()
+    assert written_versions(spark, str(tmp_path / "table/changes")) == []
     users.upsert(rows_in(spark, ("1", "z", "d")), 4)
     assert rows(users.read(), "id", "v") == [("1", "z"), ("2", "c")]
     assert rows(users.read(before=4), "id", "v") == [("1", "a"), ("2", "c")]
@@ -102,7 +104,7 @@ def test_order_stream_flags_once_over_restarts(spark, rows, tmp_path):
 
     def run():
         job = jobs.order_info_job(read_stream(spark, "parquet", source), lambda: provinces, lambda: users,
-                                  state, out, str(tmp_path / "checkpoint"), F.lit("2024-01-01").cast("date"))
+                                  state, to_folder(out), str(tmp_path / "checkpoint"), F.lit("2024-01-01").cast("date"))
         jobs.start(job, NOW).awaitTermination()
 
     def order(key, user, time):
