@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rivermart import schemas
 from rivermart.functions import age_group, age_years, date_part, hour_part, parse_records
-from rivermart.operators.lookup import lookup, lookup_side, lookup_spread
+from rivermart.operators.lookup import first_per_key, lookup, lookup_side, lookup_spread
 from rivermart.operators.skew import (
-    DEFAULT, HOT_KEY, Skew, Spread, by_hash, spread)
+    CHUNK, DEFAULT, Skew, Spread, spread)
 
 _FIRST = "_first_key"
 
@@ -38,9 +38,23 @@ def with_order_columns(orders: DataFrame, keep: tuple[str, ...] = ()) -> DataFra
         for name, kind in schemas.ORDER_INFO.items()), *keep)
 
 
-def spread_by_user(orders: DataFrame, skew: Skew = DEFAULT) -> Spread:
-    """Orders cut for the steps that work per user; a user's orders with one id stay together."""
-    return spread(orders, "user_id", by_hash("id"), skew,
+def unique_orders(orders: DataFrame) -> DataFrame:
+    """One row per order id: repeats of an order, if any, go before it is flagged."""
+    return first_per_key(orders, ["id"], "create_time", "operate_time", "order_status")
+
+
+def spread_by_user(orders: DataFrame, skew: Skew = DEFAULT,
+                   counted: DataFrame | None = None) -> Spread:
+    """Orders cut for the steps that work per user.
+
+    Of a hot user, the earliest order is in chunk 0 and the others may be
+    anywhere, so copies of one order are parted by their task.
+    """
+    def chunk(chunks: Column) -> Column:
+        anywhere = F.pmod(F.xxhash64("id") + F.spark_partition_id(), chunks)
+        earliest = F.struct("create_time", "id").eqNullSafe(F.col(_FIRST))
+        return F.when(chunks.isNull() | earliest, F.lit(0)).otherwise(anywhere)
+    return spread(orders, "user_id", chunk, skew, counted,
                   **{_FIRST: F.min(F.struct("create_time", "id"))})
 
 
@@ -48,17 +62,12 @@ def flag_first(orders: Spread, state: DataFrame | None = None) -> Spread:
     """if_first_order: '1' for a user's earliest order if no earlier batch had one, else '0'.
 
     ``state`` is (user_id, if_consumed); no row or '0' means no order so far.
-    Each chunk of a hot user is ranked by itself, and its first row counts
-    only if it is the earliest of all the user's orders.
     """
     place = Window.partitionBy(*orders.keys).orderBy("create_time", "id")
     rows = orders.rows.withColumn("_place", F.row_number().over(place))
     earliest = F.col("_place") == 1
     if orders.hot is not None:
-        first = orders.hot.select(F.col(HOT_KEY).alias("_user"), _FIRST)
-        rows = rows.join(F.broadcast(first), F.col("user_id").eqNullSafe(F.col("_user")), "left")
-        earliest = earliest & (F.col(_FIRST).isNull()
-                               | F.col(_FIRST).eqNullSafe(F.struct("create_time", "id")))
+        earliest = earliest & (F.col(CHUNK) == 0)
     ranked = orders.on(rows)
     if state is not None:
         side = lookup_side(state, "user_id", {"_consumed": "if_consumed"},
@@ -67,7 +76,7 @@ def flag_first(orders: Spread, state: DataFrame | None = None) -> Spread:
         earliest = earliest & (F.col("_consumed").isNull() | (F.col("_consumed") == "0"))
     flag = F.when(earliest, F.lit("1")).otherwise(F.lit("0"))
     return orders.on(ranked.rows.withColumn("if_first_order", flag)
-                     .drop("_place", "_user", _FIRST, "_consumed"))
+                     .drop("_place", "_consumed"))
 
 
 def first_order_flag(orders: DataFrame, state: DataFrame | None = None,
@@ -101,15 +110,16 @@ def with_user(orders: DataFrame, users: DataFrame, as_of: Column | None = None,
 
 def enrich_orders(orders: DataFrame, provinces: DataFrame, users: DataFrame,
                   state: DataFrame | None = None, as_of: Column | None = None,
-                  keep: tuple[str, ...] = (), skew: Skew = DEFAULT) -> DataFrame:
+                  keep: tuple[str, ...] = (), skew: Skew = DEFAULT,
+                  counted: DataFrame | None = None) -> DataFrame:
     """First-order flag, user and province in one go; ``keep`` columns are passed on.
 
     The flag's ranking, the state lookup and the user lookup share one shuffle
-    by user.
+    by user. ``counted`` is the table behind ``orders``, if those are derived.
     """
     columns = _user_columns(F.current_date() if as_of is None else as_of)
     derived = ("if_first_order", "province_name", "province_area_code", *columns)
-    per_user = flag_first(spread_by_user(orders.drop(*derived), skew), state)
+    per_user = flag_first(spread_by_user(orders.drop(*derived), skew, counted), state)
     side = lookup_side(users, "id", columns, orders.schema["user_id"].dataType.simpleString())
     per_user = lookup_spread(per_user, side)
     return with_order_columns(with_province(per_user.result(), provinces, skew), keep)

@@ -29,8 +29,8 @@ class Skew:
     the session's ``spark.sql.autoBroadcastJoinThreshold``.
     """
     hot_rows: int = 1_000_000
-    hot_share: int = 10_000
-    buckets: int = 1 << 16
+    hot_share: int = 50_000
+    buckets: int = 1 << 17
     small_input: int = 64 << 20
     broadcast_limit: int | None = None
 

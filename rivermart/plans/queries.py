@@ -243,8 +243,9 @@ def sink_json_records(bed: Testbed) -> DataFrame:
 def dws_order_wide(bed: Testbed) -> DataFrame:
     """The chain from typed orders and details to wide rows with their share of the payment."""
     source = bed.order_info()
-    info = orders.enrich_orders(orders.with_time_parts(source), bed.provinces(), bed.users(),
-                                as_of=as_of())
+    once = orders.with_time_parts(orders.unique_orders(source))
+    info = orders.enrich_orders(once, bed.provinces(), bed.users(), as_of=as_of(),
+                                counted=_plain_orders(bed))
     return wide.order_wide(info, bed.order_detail(), bed.flat_skus(), amounts=source)
 
 

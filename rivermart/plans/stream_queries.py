@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from rivermart import schemas
 from rivermart.functions import json_fields
 from rivermart.operators import dims, orders, wide
+from rivermart.operators.lookup import keyed_scan
 from rivermart.plans.testbed import Testbed, as_json
 from rivermart.sources.keyed_table import KeyedTable
 from rivermart.sources.sinks import to_folder
@@ -133,11 +134,16 @@ def stream_dau(bed: Testbed) -> DataFrame:
     return bed.spark.read.parquet(feed.path("out")).select("dt", "mid")
 
 
+def _keyed(table: Callable[[], DataFrame]) -> jobs.KeyedRead:
+    return lambda facts, key: keyed_scan(table(), "id", facts, key)
+
+
 def _order_info_writer(feed: Feed, keep: tuple[str, ...] = ()):
     state = KeyedTable(feed.spark, feed.path("user_state"), schemas.ddl(schemas.USER_STATE),
                        ("user_id",), insert_only=True, compact_every=2)
     as_of = F.lit("2024-01-01").cast("date")
-    return jobs.order_info_job(feed.stream("orders"), feed.bed.provinces, feed.bed.users, state,
+    return jobs.order_info_job(feed.stream("orders"), feed.bed.provinces,
+                               _keyed(feed.bed.users), state,
                                to_folder(feed.path("dwd_orders")), feed.path("checkpoint/orders"),
                                as_of, keep)
 
@@ -191,7 +197,7 @@ def stream_order_wide(bed: Testbed) -> DataFrame:
                       compact_every=2, **year)
 
     def detail_writer():
-        return jobs.order_detail_job(feed.stream("details"), feed.bed.flat_skus,
+        return jobs.order_detail_job(feed.stream("details"), _keyed(feed.bed.flat_skus),
                                      to_folder(feed.path("dwd_details")),
                                      feed.path("checkpoint/details"),
                                      keep=("detail_ts",))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rivermart.operators.keyed import upsert_latest
+from rivermart.operators.lookup import keyed_scan
 from rivermart.sources.storage import folder_bytes, remove_folder, written_versions
 
 MOST_PERIODS = 1000
@@ -39,7 +41,11 @@ class KeyedTable:
 
     def read(self, before: int | None = None) -> DataFrame:
         """The table, or its state before a batch."""
-        return self._read(before, None)
+        return self._read(before)
+
+    def read_keys(self, facts: DataFrame, fact_key: str, before: int | None = None) -> DataFrame:
+        """The rows whose key occurs in the facts; others are left out before the merge."""
+        return self._read(before, lambda rows: keyed_scan(rows, self.keys[0], facts, fact_key))
 
     def read_days(self, rows: DataFrame, before: int | None = None) -> DataFrame:
         """The partitions of the days that occur in ``rows``.
@@ -50,9 +56,10 @@ class KeyedTable:
         periods = [row[0] for row in found]
         if len(periods) > MOST_PERIODS or None in periods:
             return self.read(before)
-        return self._read(before, periods)
+        return self._read(before, lambda table: table.filter(F.col(PERIOD).isin(periods)))
 
-    def _read(self, before: int | None, periods: list[str] | None) -> DataFrame:
+    def _read(self, before: int | None,
+              wanted: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
         base, changes = self._versions(before)
         parts = []
         if base is not None:
@@ -61,9 +68,7 @@ class KeyedTable:
             parts.append(self._load("changes", changes))
         if not parts:
             return self.spark.createDataFrame([], self.columns)
-        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        if periods is not None:
-            rows = rows.filter(F.col(PERIOD).isin(periods))
+        rows = wanted(parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1]))
         if not self.insert_only and changes:
             rows = upsert_latest(None, rows, list(self.keys), ["version"])
         return rows.drop("version", PERIOD)

@@ -128,13 +128,13 @@ def _order_info(site: Site, name: str) -> DataStreamWriter:
     state = site.table("user_state", schemas.USER_STATE, "user_id", insert_only=True)
     return jobs.order_info_job(
         site.source_records("order_info", name), lambda: site.dimension("province").read(),
-        lambda: site.dimension("user").read(), state, site.emit(jobs.ORDER_TOPIC),
+        site.dimension("user").read_keys, state, site.emit(jobs.ORDER_TOPIC),
         site.checkpoint(name), site.as_of)
 
 
 def _order_detail(site: Site, name: str) -> DataStreamWriter:
     return jobs.order_detail_job(
-        site.source_records("order_detail", name), lambda: site.dimension("sku").read(),
+        site.source_records("order_detail", name), site.dimension("sku").read_keys,
         site.emit(jobs.DETAIL_TOPIC), site.checkpoint(name))
 
 

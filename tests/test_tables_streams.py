@@ -63,6 +63,16 @@ def test_days_are_pruned(spark, rows, tmp_path):
     assert users.read_days(rows_in(spark, ("x", "y", None))).count() == 2
 
 
+def test_keys_are_picked_before_the_merge(spark, rows, tmp_path):
+    users = table(spark, tmp_path)
+    for version, v in enumerate("ab"):
+        users.upsert(rows_in(spark, *((str(i), v, "d") for i in range(20))), version)
+    found = users.read_keys(spark.createDataFrame([(3,), (3,), (99,)], "k bigint"), "k")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Window") < plan.index("Join LeftSemi")
+    assert rows(found, "id", "v") == [("3", "b")]
+
+
 def test_records_omit_nulls_and_keep_names(spark):
     frame = spark.createDataFrame([(7, None, 1.5)], "id bigint, name string, feight_fee double")
     record = to_records(frame, "T", "id").first()
@@ -103,7 +113,7 @@ def test_order_stream_flags_once_over_restarts(spark, rows, tmp_path):
     users = spark.createDataFrame([("5", "F", "1990-01-01")], "id string, gender string, birthday string")
 
     def run():
-        job = jobs.order_info_job(read_stream(spark, "parquet", source), lambda: provinces, lambda: users,
+        job = jobs.order_info_job(read_stream(spark, "parquet", source), lambda: provinces, lambda facts, key: users,
                                   state, to_folder(out), str(tmp_path / "checkpoint"), F.lit("2024-01-01").cast("date"))
         jobs.start(job, NOW).awaitTermination()
 

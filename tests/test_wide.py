@@ -151,7 +151,7 @@ def test_chain_is_the_same_with_hot_orders(spark, sf_dir):
         "order_id", F.when(F.pmod("id", F.lit(3)) == 0, F.lit(5)).otherwise(F.col("order_id")))
 
     def chain(skew):
-        info = orders.enrich_orders(orders.with_time_parts(source), bed.provinces(), bed.users(), skew=skew)
+        info = orders.enrich_orders(orders.with_time_parts(source), bed.provinces(), bed.users(), skew=skew, counted=source)
         return wide.order_wide(info, detail, bed.flat_skus(), source, skew=skew).cache()
     plain, hot = chain(Skew()), chain(Skew(hot_rows=100, small_input=0, broadcast_limit=-1))
     assert plain.count() == hot.count() > 5000
