@@ -49,7 +49,7 @@ def estimated_bytes(rows: DataFrame) -> int | None:
 def input_bytes(rows: DataFrame) -> int | None:
     """Size of all inputs a result is computed from; None if unknown."""
     try:
-        leaves = rows._jdf.queryExecution().analyzed().collectLeaves()
+        leaves = rows._jdf.queryExecution().withCachedData().collectLeaves()
         return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
     except AttributeError:
         return None

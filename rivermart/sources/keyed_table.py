@@ -6,6 +6,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from rivermart.operators.keyed import upsert_latest
 from rivermart.operators.lookup import keyed_scan
@@ -67,12 +68,18 @@ class KeyedTable:
         if changes:
             parts.append(self._load("changes", changes))
         if not parts:
-            return self.spark.createDataFrame([], self.columns)
+            return self._empty()
         rows = wanted(parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1]))
         if not self.insert_only and changes:
             rows = upsert_latest(None, rows, list(self.keys), ["version"])
         return rows.drop("version", PERIOD)
 
+    def _empty(self) -> DataFrame:
+        """No rows, of known size 0."""
+        fields = StructType.fromDDL(self.columns)
+        return self.spark.range(0).select(*(
+            F.lit(None).cast(field.dataType).alias(field.name) for field in fields))
+
     def _period(self) -> Column:
         return F.left(F.col(self.day), F.lit(self.day_length)).alias(PERIOD)
 

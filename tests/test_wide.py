@@ -156,3 +156,13 @@ def test_chain_is_the_same_with_hot_orders(spark, sf_dir):
     plain, hot = chain(Skew()), chain(Skew(hot_rows=100, small_input=0, broadcast_limit=-1))
     assert plain.count() == hot.count() > 5000
     assert plain.exceptAll(hot).count() == 0
+
+
+def test_kept_rows_count_as_small_input(spark):
+    """A micro-batch that was counted is known to be small and needs no search."""
+    from rivermart.operators.skew import is_small
+    kept = spark.range(10).toDF("x").rdd.toDF().persist()
+    assert not is_small(spark.range(10).toDF("x").rdd.toDF())
+    kept.count()
+    assert is_small(kept.withColumn("y", F.lit(1)))
+    kept.unpersist()
