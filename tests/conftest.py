@@ -15,10 +15,7 @@ def spark(tmp_path_factory):
     session = build_session("local[4]", 4, **{
         "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
         "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
-        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
-        # Small test states: the in-memory provider starts faster.
-        "spark.sql.streaming.stateStore.providerClass":
-            "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"})
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints"))})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
