@@ -4,9 +4,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from rivermart.plans import oracles, queries
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = queries.queries(), oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -25,6 +26,7 @@ def comparable(columns, data):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
