@@ -131,7 +131,7 @@ def read_documents(shards: DataFrame) -> DataFrame:
                 sums = [zlib.crc32(raw[4 * a:4 * b]) for a, b in zip(starts.tolist(), ends.tolist())]
                 yield common.batch_of(schema, row["doc_ids"], starts + row["base"] + row["first"], ends - starts, sums)
 
-    return common.map_arrow(shards.join(parts, "part"), decode, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return common.map_arrow(shards.join(F.broadcast(parts), "part"), decode, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def encode_and_read(docs: DataFrame, path: str, vocabulary_path: str, end_id: int) -> DataFrame:

@@ -161,7 +161,7 @@ def shingles(hashes: np.ndarray, texts: np.ndarray, n_texts: int,
         extra = np.empty(len(short), np.uint64)
         for i, text in enumerate(short):
             own = hashes[ends[text] - counts[text]:ends[text]]
-            extra[i] = (own * factors[:len(own)]).sum() + factors[size] * np.uint64(len(own))
+            extra[i] = np.append(own, np.uint64(len(own))) @ np.append(factors[:len(own)], factors[size])
         out, owner = np.concatenate([out, mix(extra)]), np.concatenate([owner, short])
         order = np.argsort(owner, kind="stable")
         out, owner = out[order], owner[order]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivermart.llm import bitpack, common, packing, tokens
+from rivermart.llm import bitpack, common, jaccard, langid, packing, sketch, suffixes, tokens
 from rivermart.sources.storage import work_folder
 from rivermart.sources.tables import read_table
 
@@ -16,19 +16,36 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
+def op4_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.fingerprints(_table(spark, sf_dir, "documents"))
+
+
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op7_bit_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitpack.encode_and_read(
         _table(spark, sf_dir, "documents"), work_folder(spark, "ids"),
         tokens.vocabulary("word_bpe_49k.json"), end_id=2)
 
 
+def op8_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_sets(_table(spark, sf_dir, "documents"))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_table(spark, sf_dir, "documents"), tokens.vocabulary("piece_bpe_32k.model"))
+
+
 def op10_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(
         _table(spark, sf_dir, "documents"), tokens.vocabulary("byte_bpe_50k.json"), end_id=1)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op7_bit_packed_ids, op10_mixture_packing)
+    every = (op4_scaled_sketch, op6_suffix_dedup, op7_bit_packed_ids, op8_jaccard_components, op9_language,
+             op10_mixture_packing)
     return {query.__name__: query for query in every}
 
 
