@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from rivermart.llm import common, tokens
 
 BLOCK = 64
+PLAIN = {8: "<u1", 16: "<u2", 32: "<u4"}
 #: Ids of a shard, unless one document alone has more.
 SHARD_IDS = 1 << 20
 SHARDS = ("part int, shard int, first long, width int, n long, doc_ids array<long>, "
@@ -40,6 +41,10 @@ def pack(ids: np.ndarray, width: int) -> bytes:
     if len(ids) and int(ids.max()) >> width:
         raise ValueError("an id does not fit into the width")
     n = -(-len(ids) // BLOCK)
+    if width in PLAIN:  # whole bytes: the same layout is a plain array
+        plain = np.zeros(n * BLOCK, PLAIN[width])
+        plain[:len(ids)] = ids
+        return plain.tobytes()
     square = np.zeros(n * BLOCK, np.uint64)
     square[:len(ids)] = ids
     square = np.ascontiguousarray(square.reshape(n, BLOCK).T)
@@ -56,6 +61,8 @@ def unpack(blocks: bytes, width: int, start: int, stop: int) -> np.ndarray:
     """Ids start to stop, reading only the blocks that hold them."""
     if stop <= start:
         return np.zeros(0, np.uint32)
+    if width in PLAIN:
+        return np.frombuffer(blocks, PLAIN[width], stop - start, start * width // 8).astype(np.uint32)
     low, high = start // BLOCK, -(-stop // BLOCK)
     square = np.frombuffer(blocks, "<u8", (high - low) * width, low * 8 * width)
     square = np.ascontiguousarray(square.reshape(high - low, width).T)

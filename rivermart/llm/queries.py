@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivermart.llm import bitpack, common, jaccard, langid, packing, sketch, suffixes, tokens
+from rivermart.llm import bitpack, common, jaccard, langid, mixing, neighbours, packing, pii, quality, sketch, suffixes, tokens
 from rivermart.sources.storage import work_folder
 from rivermart.sources.tables import read_table
 
@@ -16,10 +16,27 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
+def op1_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op2_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = spark.conf.get(pii.KEY_SETTING, pii.DEFAULT_KEY)
+    return pii.replace_entities(_table(spark, sf_dir, "documents"), key)
+
+
+def op3_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(_table(spark, sf_dir, "embeddings"))
+
+
 def op4_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op5_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixing_rates(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(_table(spark, sf_dir, "documents"))
 
@@ -44,8 +61,8 @@ def op10_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    every = (op4_scaled_sketch, op6_suffix_dedup, op7_bit_packed_ids, op8_jaccard_components, op9_language,
-             op10_mixture_packing)
+    every = (op1_site_quality, op2_surrogates, op3_nn_descent, op4_scaled_sketch, op5_soft_mixing,
+             op6_suffix_dedup, op7_bit_packed_ids, op8_jaccard_components, op9_language, op10_mixture_packing)
     return {query.__name__: query for query in every}
 
 
