@@ -4,19 +4,44 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rivermart.llm import common, packing, tokens
+from rivermart.llm import common, jaccard, langid, mixing, packing, pii, tokens
 from rivermart.sources.tables import read_table
 
 #: Stages learn, cluster and solve by iteration, which SQL cannot express.
 ORACLE_SQL = None
 
 
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: training sequences."""
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 9: rows without letters or without a likely language go."""
+    return langid.keep_identified(docs, tokens.vocabulary("piece_bpe_32k.model"))
+
+
+def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 8: of documents that links connect, the one of the smallest doc_id stays."""
+    return jaccard.keep_one(docs)
+
+
+def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 2: surrogates for personal data and secrets; n_chars follows the text."""
+    key = spark.conf.get(pii.KEY_SETTING, pii.DEFAULT_KEY)
+    return pii.replace_entities(docs, key).select(docs.columns)
+
+
+def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 5: fewer low and toxic documents, so that tokens meet the target weights;
+    documents of the high domain keep a rate of one."""
+    labels = read_table(spark, f"{sf_dir}/labels.parquet")
+    return mixing.draw(docs, mixing.mixing_rates(docs, labels, keep="high"))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 10: pieces of training sequences."""
     return packing.pack_documents(docs, tokens.vocabulary("byte_bpe_50k.json"), end_id=1)
 
 
-STAGES = [("packing", pack)]
+STAGES = [
+    ("language ID", identify_language), ("n-gram Jaccard join", join_near_duplicates), ("PII", replace_personal_data),
+    ("mixing sources to target weights", mix_domains), ("packing", pack_sequences)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -261,32 +261,27 @@ def fit(docs: DataFrame, vocabulary_path: str, fit_documents: int = FIT_DOCUMENT
 _SCORERS: dict[str, Scorer] = {}
 
 
-def predict(docs: DataFrame, model: tuple[list[str], list[str], np.ndarray]) -> DataFrame:
-    """doc_id, held_out, lang_pred and score of every row of ``docs`` (doc_id, text, held_out)."""
-    languages = model[0]
-    known = docs.sparkSession.sparkContext.broadcast(model)
-    key = uuid.uuid4().hex
-
-    def judge(batches):
-        if key not in _SCORERS:
+class _Judge:
+    """Language and score of batches of texts, on a worker."""
+
+    def __init__(self, docs: DataFrame, model: tuple[list[str], list[str], np.ndarray]):
+        self.known = docs.sparkSession.sparkContext.broadcast(model)
+        self.key = uuid.uuid4().hex
+
+    def __call__(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
+        languages, pieces, chances = self.known.value
+        if self.key not in _SCORERS:  # one scorer is kept, with the words it has met
             _SCORERS.clear()
-            _SCORERS[key] = Scorer(*known.value[1:])
-        scorer = _SCORERS[key]
-        for batch in batches:
-            _, bounds = common.utf8(batch.column(1))
-            for low, high in common.chunks(bounds):
-                part = batch.slice(low, high - low)
-                names, scores = ["und"] * (high - low), np.zeros(high - low)
-                if languages:
-                    logs, counts = scorer.score(part.column(1).to_pylist())
-                    best = logs.argmax(axis=1)
-                    odds = np.exp(logs - logs.max(axis=1, keepdims=True))
-                    scores = np.where(counts > 0, 1 / odds.sum(axis=1), 0.0)
-                    names = [languages[b] if n else "und" for b, n in zip(best, counts)]
-                yield common.batch_of(PREDICTED, part.column(0), part.column(2), names, scores)
-
-    return common.map_arrow(docs.select("doc_id", "text", "held_out"), judge,
-                            "doc_id long, held_out boolean, lang_pred string, score double")
+            _SCORERS[self.key] = Scorer(pieces, chances)
+        names, scores = ["und"] * len(texts), np.zeros(len(texts))
+        _, bounds = common.utf8(texts)
+        for low, high in common.chunks(bounds) if languages else ():
+            logs, counts = _SCORERS[self.key].score(texts.slice(low, high - low).to_pylist())
+            best = logs.argmax(axis=1)
+            odds = np.exp(logs - logs.max(axis=1, keepdims=True))
+            scores[low:high] = np.where(counts > 0, 1 / odds.sum(axis=1), 0.0)
+            names[low:high] = [languages[b] if n else "und" for b, n in zip(best, counts)]
+        return names, scores
 
 
 def identify(docs: DataFrame, vocabulary_path: str, fit_documents: int = FIT_DOCUMENTS) -> DataFrame:
@@ -298,15 +293,35 @@ def identify(docs: DataFrame, vocabulary_path: str, fit_documents: int = FIT_DOC
     A null text or one without letters is 'und' with score 0, as is every text
     if no row has a language. Other columns are ignored.
     """
+    rows, judge = _fitted(docs, vocabulary_path, fit_documents)
+
+    def predict(batches):
+        for batch in batches:
+            yield common.batch_of(PREDICTED, batch.column(0), batch.column(2), *judge(batch.column(1)))
+
+    return common.map_arrow(rows.select("doc_id", "text", "held_out"), predict,
+                            "doc_id long, held_out boolean, lang_pred string, score double")
+
+
+def _fitted(docs: DataFrame, vocabulary_path: str, fit_documents: int) -> tuple[DataFrame, _Judge]:
+    """The rows as (doc_id, text, lang, held_out), and what judges them."""
     common.prepare(docs.sparkSession)
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.col("lang").cast("string").alias("lang"), F.coalesce(held, F.lit(False)).alias("held_out"))
     model = fit(rows.where(~F.col("held_out") & F.col("doc_id").isNotNull()), vocabulary_path, fit_documents)
-    return predict(rows, model)
+    return rows, _Judge(docs, model)
 
 
-def keep_identified(docs: DataFrame, vocabulary_path: str, least: float = 0.5) -> DataFrame:
-    """The rows whose text has a language with at least that posterior."""
-    found = identify(docs, vocabulary_path).where((F.col("lang_pred") == "und") | (F.col("score") < least))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+def keep_identified(docs: DataFrame, vocabulary_path: str, fit_documents: int = FIT_DOCUMENTS, least: float = 0.5
+                    ) -> DataFrame:
+    """The rows of ``docs`` whose text has a language with at least that posterior; all columns stay."""
+    _, judge = _fitted(docs, vocabulary_path, fit_documents)
+    at = docs.columns.index("text")
+
+    def keep(batches):
+        for batch in batches:
+            names, scores = judge(batch.column(at))
+            yield batch.filter(pa.array((scores >= least) & (np.array(names) != "und")))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -73,8 +73,7 @@ def sum_of(columns) -> Column:
 
 def measured(docs: DataFrame, marking: list[str]) -> DataFrame:
     """doc_id, tokens (words) and the measures that the classifier looks at."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select("row_id", "doc_id", text.alias("text")).withColumn("words", words_of(F.col("text")))
+    rows = docs.select("row_id", "doc_id", "text").withColumn("words", words_of(F.col("text")))
     n, size = F.greatest(F.length("text"), F.lit(1)), F.greatest(F.size("words"), F.lit(1))
     marked = F.size(F.array_intersect("words", F.array(*map(F.lit, marking)))) if marking else F.lit(0)
     return rows.select(
@@ -160,7 +159,8 @@ def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] |
         raise ValueError("targets are positive shares")
     domains = sorted(targets)
     known = labelled(labels, domain).where(F.col("domain").isin(domains))
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn(
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn(
         "row_id", F.xxhash64("text"))
     marking = marking_words(docs, known, domains, fit_documents, words)
     rows = common.stored(measured(docs, marking), "mixing-measures")
@@ -177,9 +177,10 @@ def draw(docs: DataFrame, rates: DataFrame, snap: float = 0.05) -> DataFrame:
     chance = F.pmod(F.xxhash64("doc_id", F.lit("draw")), F.lit(1 << 40)) / float(1 << 40)
     times = rates.select("doc_id", "row_id", F.floor(rate + chance).cast("int").alias("times"))
     times = times.groupBy("doc_id", "row_id").agg(F.min("times").alias("times")).where("times <> 1")
-    own = docs.withColumn("__row", F.xxhash64(F.col("text").cast("string")))
-    match = F.col("__id").eqNullSafe(F.col("t_doc")) & (F.col("__row") == F.col("t_row"))
-    times = times.select(F.col("doc_id").alias("t_doc"), F.col("row_id").alias("t_row"), "times")
-    own = own.withColumn("__id", F.col("doc_id").cast("long")).join(times, match, "left")
-    number = F.coalesce("times", F.lit(1))
-    return own.where(number > 0).withColumn("__copy", F.explode(F.sequence(F.lit(1), number))).select(docs.columns)
+    times = times.select(F.col("doc_id").alias("__own_id"), F.col("row_id").alias("__own_row"), F.col("times").alias("__times"))
+    match = F.col("__id").eqNullSafe(F.col("__own_id")) & (F.col("__row") == F.col("__own_row"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.withColumns({"__row": F.xxhash64(text), "__id": F.col("doc_id").cast("long")}).join(
+        common.stored(times, "mixing-times"), match, "left")
+    number = F.coalesce("__times", F.lit(1))
+    return rows.where(number > 0).withColumn("__copy", F.explode(F.sequence(F.lit(1), number))).select(docs.columns)

@@ -229,10 +229,11 @@ def written(kind: str, surface: str, norm: str) -> str:
     return norm[:1].upper() + norm[1:]
 
 
-def replaced(text: str, key: str, attempts: dict[tuple[str, str], int], found: list | None = None) -> str:
+def replaced(text: str, key: str, attempts: dict[tuple[str, str], int], draw: Callable[..., str] = surrogate) -> str:
+    """The text with every entity's surrogate; ``attempts`` has those that did not keep their first."""
     out, at = [], 0
-    for a, b, kind, norm in entities(text) if found is None else found:
-        out += [text[at:a], written(kind, text[a:b], surrogate(kind, norm, attempts.get((kind, norm), 0), key))]
+    for a, b, kind, norm in entities(text):
+        out += [text[at:a], written(kind, text[a:b], draw(kind, norm, attempts.get((kind, norm), 0), key))]
         at = b
     return "".join([*out, text[at:]])
 
@@ -295,20 +296,19 @@ def replace_entities(docs: DataFrame, key: str, draw: Callable[..., str] = surro
     attempts = later_attempts(found.select("kind", "norm").distinct(), key, draw)
     marked = found.distinct().join(attempts, ["kind", "norm"]).groupBy("k").agg(
         F.collect_list(F.struct("kind", "norm", "attempt")).alias("attempts"))
-    marked = common.stored(marked, "surrogates-again")
-    columns = [c for c in docs.columns if c != "text"]
-    joined = docs.withColumn("__k", place).join(marked, F.col("__k") == marked["k"], "left")
-    joined = joined.select(*[docs[c] for c in columns], F.col("text").cast("string").alias("text"), "attempts")
-    schema = joined.drop("attempts").withColumn("n_entities", F.lit(0).cast("int")).schema
+    marked = common.stored(marked, "surrogates-again").select(F.col("k").alias("__known"), F.col("attempts").alias("__attempts"))
+    columns = [c for c in docs.columns if c not in ("text", "n_entities")]
+    joined = docs.withColumn("__place", place).join(marked, F.col("__place") == F.col("__known"), "left")
+    joined = joined.select(*columns, F.col("text").cast("string").alias("text"), "__attempts")
+    schema = joined.drop("__attempts").withColumn("n_entities", F.lit(0).cast("int")).schema
 
     def write(batches):
         for batch in batches:
             columns_, texts, counts = batch.columns[:-2], [], []
             for text, again in zip(batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
-                spots = entities(text)
                 known = {(x["kind"], x["norm"]): x["attempt"] for x in again or ()}
-                texts.append(replaced(text, key, known, spots) if spots else text)
-                counts.append(len(spots))
+                counts.append(len(entities(text)))
+                texts.append(replaced(text, key, known, draw) if counts[-1] else text)
             yield pa.RecordBatch.from_arrays(
                 [*columns_, pa.array(texts, pa.string()), pa.array(counts, pa.int32())],
                 [*batch.schema.names[:-1], "n_entities"])
@@ -316,4 +316,4 @@ def replace_entities(docs: DataFrame, key: str, draw: Callable[..., str] = surro
     out = common.map_arrow(joined, write, schema)
     if "n_chars" in columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns, "n_entities")
+    return out.select(*[c for c in docs.columns if c != "n_entities"], "n_entities")
