@@ -20,7 +20,8 @@ def has_device_and_time(text: Column) -> Column:
 
 
 def valid_logs(raw: DataFrame, value: str = "value") -> DataFrame:
-    return raw.filter(has_device_and_time(F.col(value)))
+    parsed = parse_once(raw, json_fields(F.col(value)), "_fields", tuple(raw.columns))
+    return parsed.filter(_complete(F.col("_fields"))).drop("_fields")
 
 
 def start_logs(raw: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:

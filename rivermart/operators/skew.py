@@ -59,8 +59,10 @@ def fits_broadcast(rows: DataFrame, skew: Skew = DEFAULT) -> bool:
     """Whether a lookup side is known to be small enough for every executor."""
     limit = skew.broadcast_limit
     if limit is None:
-        text = rows.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").lower()
-        limit = int(text.removesuffix("b")) if text.lstrip("-").removesuffix("b").isdigit() else 10 << 20
+        text = rows.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        # Spark's own reading of sizes: a plain number, or one with a unit.
+        limit = rows.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text) \
+            if not text.startswith("-") else -1
     size = estimated_bytes(rows)
     return size is not None and size <= limit
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 _AT = "o_orderdate + to_seconds(o_orderkey % 86400)"
 _TEXT = "'%Y-%m-%d %H:%M:%S'"
-_DETAIL_ID = "((l_orderkey * 8 + l_linenumber) * 2097152 + l_partkey) * 16384 + l_suppkey"
+_DETAIL_ID = """l_orderkey * 1000 + row_number() OVER (PARTITION BY l_orderkey
+         ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag, l_linestatus)"""
 
 # Derived inputs, in step with the testbed.
 INPUTS = f"""
@@ -33,7 +34,7 @@ sku AS (
   SELECT CAST(p_partkey AS VARCHAR) AS id, CAST(p_partkey // 4 AS VARCHAR) AS spu_id,
          p_retailprice AS price, p_name AS sku_name, p_type || ' ' || p_name AS sku_desc,
          CAST(p_size AS DOUBLE) / 10 AS weight, regexp_extract(p_brand, '(\\d+)', 1) AS tm_id,
-         CAST(p_size AS VARCHAR) AS category3_id, '2020-02-28 01:21:13' AS create_time,
+         CAST(p_size AS VARCHAR) AS category3_id, '2021-07-03 08:05:00' AS create_time,
          p_partkey, p_brand, p_type, p_size FROM part),
 trademark AS (SELECT DISTINCT tm_id, p_brand AS tm_name FROM sku WHERE p_brand <> 'Brand#7'),
 category3 AS (
@@ -77,7 +78,7 @@ event AS (
          CASE WHEN (event_type = 'view' AND value < 30) OR (event_type = 'click' AND value < 14)
               THEN '' ELSE 'uid_' || user_id END AS uid,
          event_type AS ar, CASE WHEN event_type = 'purchase' THEN '' ELSE 'web' END AS ch,
-         '0.1.5' AS vc, strftime(ts, '%Y%m%d') AS dt, strftime(ts, '%H') AS hr,
+         '4.2.0' AS vc, strftime(ts, '%Y%m%d') AS dt, strftime(ts, '%H') AS hr,
          strftime(ts, '%M') AS mi, epoch_us(ts) // 1000 AS ts
   FROM events
   WHERE NOT ((event_type = 'error' AND value >= 20) OR (event_type = 'click' AND value < 12)
@@ -155,16 +156,16 @@ _TYPED_ORDER = """id, province_id, order_status, user_id, final_total_amount, be
 
 BODIES = {
     "cdc_maxwell_filter": 'SELECT CAST(id AS VARCHAR) AS id, tab AS "table", kind AS type FROM kept_change',
-    "cdc_maxwell_route": """SELECT 'ODS_T_' || upper(tab) AS topic, CAST(id AS VARCHAR) AS key, id,
+    "cdc_maxwell_route": """SELECT 'ODS_T_' || upper(tab) AS topic, CAST(id AS VARCHAR) AS key, id, TRUE AS id_is_number,
       CAST(user_id AS VARCHAR) AS user_id, name, final_total_amount FROM kept_change""",
     "cdc_canal_route": """
-      SELECT 'ODS_ORDER_DETAIL' AS topic, 'ORDER_DETAIL' || sign * id AS key, sign * id AS id, order_id,
+      SELECT 'ODS_ORDER_DETAIL' AS topic, 'ORDER_DETAIL' || sign * id AS key, FALSE AS id_is_number, sign * id AS id, order_id,
              sku_id, sign * sku_num AS sku_num
       FROM line JOIN (SELECT CAST(1 AS BIGINT) AS sign UNION ALL SELECT -1)
         ON sign = 1 OR l_returnflag = 'R'
       WHERE NOT (l_returnflag = 'N' AND l_linestatus = 'F')""",
     "cdc_select_table": """SELECT 'ODS_T_USER_INFO' AS topic, CAST(c_custkey AS VARCHAR) AS key,
-      c_custkey AS id, c_name AS name FROM customer""",
+      TRUE AS id_is_number, c_custkey AS id, c_name AS name FROM customer""",
     "log_valid_filter": "SELECT event_id FROM event",
     "log_project_defaults": "SELECT mid, uid, ar, ch, vc, dt, hr, mi, ts FROM event",
     "dau_first_visit": """SELECT mid, uid, ar, ch, vc, dt, hr, mi, ts FROM (

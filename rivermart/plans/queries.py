@@ -28,13 +28,15 @@ def as_of():
 
 def cdc_maxwell_filter(bed: Testbed) -> DataFrame:
     events = cdc.drop_snapshot_marks(cdc.parse_maxwell(bed.maxwell()))
-    return events.select(F.col("data")["id"].alias("id"), "table", "type")
+    return events.select(cdc.field_text(F.col("data"), "id").alias("id"), "table", "type")
 
 
 def _routed_fields(records: DataFrame, **fields: str) -> DataFrame:
+    """The records' fields, and whether the id is a number in the payload's JSON."""
     found = json_fields(F.col("value"))
-    rows = records.select("topic", "key", found.alias("_fields"))
-    return rows.select("topic", "key", *(
+    numeric = F.regexp_like("value", F.lit(r'"id":-?\d')).alias("id_is_number")
+    rows = records.select("topic", "key", found.alias("_fields"), numeric)
+    return rows.select("topic", "key", "id_is_number", *(
         F.col("_fields")[name].cast(kind).alias(name) for name, kind in fields.items()))
 
 

@@ -85,9 +85,10 @@ def _file_sink(rows: DataFrame, feed: Feed, name: str = "out"):
 
 def _routed(spark: SparkSession, folder: str) -> DataFrame:
     records = spark.read.schema(schemas.RECORD).parquet(folder)
-    fields = records.select("topic", "key", json_fields(F.col("value")).alias("_fields"))
+    numeric = F.regexp_like("value", F.lit(r'"id":-?\d')).alias("id_is_number")
+    fields = records.select("topic", "key", numeric, json_fields(F.col("value")).alias("_fields"))
     found = F.col("_fields")
-    return fields.select("topic", "key", found["id"].cast("bigint").alias("id"),
+    return fields.select("topic", "key", "id_is_number", found["id"].cast("bigint").alias("id"),
                          found["user_id"].alias("user_id"), found["name"].alias("name"),
                          found["final_total_amount"].cast("double").alias("final_total_amount"))
 
@@ -126,11 +127,13 @@ def stream_dim_upsert(bed: Testbed) -> DataFrame:
 
 
 def stream_dau(bed: Testbed) -> DataFrame:
+    """Logs arrive up to three hours after they were made, often on the next day."""
     feed = Feed(bed, "dau")
-    events = feed.bed.table("events").select("event_id", F.col("ts").cast("timestamp").alias("at"))
+    late = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.pmod("event_id", F.lit(10_800)))
+    events = feed.bed.table("events").select("event_id", (F.col("ts").cast("timestamp") + late).alias("at"))
     raw = feed.bed.logs().join(events, "event_id").drop("event_id")
     feed.stage("logs", raw, _time_slice("at", _bounds(events, "at")))
-    feed.run(lambda: _file_sink(jobs.first_visits(feed.stream("logs"), "1 hour"), feed))
+    feed.run(lambda: _file_sink(jobs.first_visits(feed.stream("logs")), feed))
     return bed.spark.read.parquet(feed.path("out")).select("dt", "mid")
 
 

@@ -6,7 +6,7 @@ chosen by an attribute, so that failed lookups and invalid records occur.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from rivermart import schemas
 from rivermart.functions import cents, from_cents
@@ -24,6 +24,7 @@ LEFT_OUT_SPU_TYPE = "PROMO"
 LEFT_OUT_SKU_TYPE = "ECONOMY"
 FIRST_BATCH_UNTIL = "1998-04-01"
 FIRST_BATCH_LINES = 3
+LINES_PER_ORDER = 1000
 SPLIT_BYTES = 16 << 20
 
 
@@ -104,7 +105,7 @@ class Testbed:
             F.col("p_retailprice").alias("price"), F.col("p_name").alias("sku_name"),
             F.concat_ws(" ", "p_type", "p_name").alias("sku_desc"),
             (F.col("p_size") / F.lit(10.0)).alias("weight"), self._trademark().alias("tm_id"),
-            _text("p_size").alias("category3_id"), F.lit("2020-02-28 01:21:13").alias("create_time"))
+            _text("p_size").alias("category3_id"), F.lit("2021-07-03 08:05:00").alias("create_time"))
 
     def trademarks(self) -> DataFrame:
         return (self.table("part").filter(F.col("p_brand") != LEFT_OUT_BRAND)
@@ -205,9 +206,15 @@ class Testbed:
                                            _text(self._create_time()).alias("create_time"))
 
     def details(self, *extra: Column, spread: bool = False) -> DataFrame:
-        """order_detail rows as the source sends them; ids are packed from the line's columns."""
-        line = F.col("l_orderkey") * 8 + F.col("l_linenumber")
-        identity = (line * (1 << 21) + F.col("l_partkey")) * (1 << 14) + F.col("l_suppkey")
+        """order_detail rows as the source sends them; ids number each order's lines.
+
+        The shuffle by order is the one that joins and splits by order use again.
+        """
+        lines = Window.partitionBy("l_orderkey").orderBy(
+            "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus")
+        number = F.row_number().over(lines).cast("bigint")
+        identity = F.when(number < LINES_PER_ORDER, F.col("l_orderkey") * LINES_PER_ORDER + number).otherwise(
+            F.raise_error(F.lit(f"an order has {LINES_PER_ORDER} lines or more")).cast("bigint"))
         return (self._spread_table if spread else self.table)("lineitem").select(
             identity.alias("id"), F.col("l_orderkey").alias("order_id"),
             F.col("l_partkey").alias("sku_id"), F.col("l_quantity").cast("bigint").alias("sku_num"),
@@ -239,8 +246,8 @@ class Testbed:
     def detail_records(self) -> DataFrame:
         """Raw details; the number is sent as text, the price under another name."""
         return as_json(self.details(spread=True).withColumns({
-            "sku_num": _text("sku_num"), "order_price": F.lit(1553.0),
-            "img_url": F.lit("http://img.example.com/1"), "source_type": F.lit("2401")}))
+            "sku_num": _text("sku_num"), "order_price": F.lit(19.5),
+            "img_url": F.lit("https://pictures.example.org/a.png"), "source_type": F.lit("web")}))
 
     def maxwell(self) -> DataFrame:
         """Change envelopes of three tables."""
@@ -264,7 +271,7 @@ class Testbed:
     def _envelope(rows: DataFrame, table: str, kind: Column, *data: Column) -> DataFrame:
         return rows.select(F.to_json(F.struct(
             F.lit("shop").alias("database"), F.lit(table).alias("table"), kind.alias("type"),
-            F.lit(1589385314).alias("ts"), F.lit(82982).alias("xid"), F.lit(True).alias("commit"),
+            F.lit(1700000100).alias("ts"), F.lit(501).alias("xid"), F.lit(True).alias("commit"),
             F.struct(*data).alias("data"))).alias("value"))
 
     def canal(self) -> DataFrame:
@@ -283,7 +290,7 @@ class Testbed:
                 .otherwise(F.array(element(1))))
         return rows.select(F.to_json(F.struct(
             data.alias("data"), F.lit("shop").alias("database"), schema_change.alias("isDdl"),
-            F.lit("order_detail").alias("table"), F.lit(1589196502433).alias("ts"),
+            F.lit("order_detail").alias("table"), F.lit(1700000200300).alias("ts"),
             F.lit("INSERT").alias("type"))).alias("value"))
 
     def logs(self) -> DataFrame:
@@ -297,7 +304,7 @@ class Testbed:
             F.when(~no_mid, F.concat(F.lit("mid_"), "user_id")).alias("mid"),
             F.when(~no_uid, F.concat(F.lit("uid_"), "user_id")).alias("uid"),
             kind.alias("ar"), F.when(kind != "purchase", F.lit("web")).alias("ch"),
-            F.lit("0.1.5").alias("vc"), F.when(~no_ts, millis).alias("ts")))
+            F.lit("4.2.0").alias("vc"), F.when(~no_ts, millis).alias("ts")))
         click = kind == "click"
         broken = (F.when((kind == "error") & (value >= 20), F.left(text, F.length(text) - 5))
                   .when(click & (value < 5), F.lit("[1]")).when(click & (value < 10), F.lit(""))

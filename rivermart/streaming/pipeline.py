@@ -32,7 +32,7 @@ VISITS = "DAU"
 ARRIVAL = ("offset", "timestamp")
 RAW_RECORD = "value string, offset bigint, timestamp timestamp"
 
-# Fixed values. Job -> (seconds between batches, records per second and partition).
+# Fixed values. Job -> (seconds between batches, records per second and partition, if asked for).
 PACE = {
     "maxwell_router": (3, 500), "canal_router": (3, 150), "category1": (3, None),
     "category2": (3, None), "category3": (3, None), "spu": (3, None), "user": (3, None),
@@ -46,10 +46,13 @@ class Site:
     spark: SparkSession
     root: str
     kafka: str | None = None
-    partitions: int = 1
+    partitions: int | None = None
+    files: int | None = None
     delay: str = "1 minute"
     bound: str | None = None
-    salts: int = 1
+    salts: int = jobs.SALTS
+    keep: str = "2 days"
+    day_from: str = "event"
     as_of: Column | None = None
 
     def checkpoint(self, job: str) -> str:
@@ -59,11 +62,12 @@ class Site:
         return f"{self.root}/topics/{name}"
 
     def records(self, topic: str, job: str, schema: str) -> DataFrame:
-        """A topic's records; from Kafka at the job's pace."""
+        """A topic's records, all there are; with ``partitions``, at the job's pace for a Kafka
+        topic of so many, and with ``files`` so many files of a folder topic, per batch."""
         if not self.kafka:
-            return read_stream(self.spark, "parquet", self.topic_folder(topic), schema)
+            return read_stream(self.spark, "parquet", self.topic_folder(topic), schema, self.files)
         seconds, rate = PACE[job]
-        cap = rate * seconds * self.partitions if rate else None
+        cap = rate * seconds * self.partitions if rate and self.partitions else None
         return read_stream(self.spark, "kafka", topic, max_per_trigger=cap,
                            **{"kafka.bootstrap.servers": self.kafka})
 
@@ -73,7 +77,7 @@ class Site:
         if self.kafka:
             return self.records(topic, job, "")
         every = read_stream(self.spark, "parquet", self.topic_folder("maxwell"),
-                            f"{schemas.RECORD}, offset bigint, timestamp timestamp")
+                            f"{schemas.RECORD}, offset bigint, timestamp timestamp", self.files)
         return every.filter(F.col("topic") == topic)
 
     def emit(self, topic: str) -> Emit:
@@ -154,7 +158,7 @@ def _order_wide(site: Site, name: str) -> DataStreamWriter:
 
 def _dau(site: Site, name: str) -> DataStreamWriter:
     raw = site.records(START_LOG_TOPIC, name, RAW_RECORD).withColumnRenamed("timestamp", "at")
-    visits = jobs.first_visits(raw, site.delay)
+    visits = jobs.first_visits(raw, site.keep, day_from=site.day_from)
     return (visits.writeStream.format("parquet").option("path", f"{site.root}/tables/{VISITS}")
             .option("checkpointLocation", site.checkpoint(name)))
 
@@ -187,12 +191,16 @@ def main() -> None:
     parser.add_argument("job", choices=JOBS)
     parser.add_argument("--root", required=True, help="folder of tables, checkpoints and folder topics")
     parser.add_argument("--topics", default="", help="kafka:<bootstrap servers>; default: folders")
-    parser.add_argument("--partitions", type=int, default=1, help="partitions per topic, for the pace")
+    parser.add_argument("--partitions", type=int, help="cap the rate to the jobs' pace, for so many partitions")
+    parser.add_argument("--files", type=int, help="cap a batch of a folder topic to so many files")
+    parser.add_argument("--delay", default="1 minute", help="how far orders and details may be behind the newest")
     parser.add_argument("--bound", help="join orders and details up to this far apart")
-    parser.add_argument("--salts", type=int, default=1, help="tasks one order is spread over")
+    parser.add_argument("--salts", type=int, default=jobs.SALTS, help="tasks one order is spread over")
+    parser.add_argument("--keep", default="2 days", help="how long a device's visit of a day is known")
+    parser.add_argument("--day-from", default="event", choices=("event", "processing"), help="the day of a visit")
     args = parser.parse_args()
     site = Site(build_session(), args.root.rstrip("/"), args.topics.removeprefix("kafka:") or None,
-                args.partitions, bound=args.bound, salts=args.salts)
+                args.partitions, args.files, args.delay, args.bound, args.salts, args.keep, args.day_from)
     start_job(site, args.job).awaitTermination()
 
 

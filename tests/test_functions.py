@@ -56,12 +56,12 @@ def test_proportion_is_exact_at_any_size(spark, part, whole, of, share):
 
 def test_lenient_binding(spark):
     records = spark.createDataFrame([
-        ('{"sku_num":"2","create_time":"2020-11-07 23:41:31","img_url":"http://x","sku_id":7,'
-         '"sku_name":"phone","order_price":1553.00,"source_type":"2401","id":9442,"order_id":3901}',),
+        ('{"sku_num":"4","create_time":"2023-02-14 06:30:00","note":["gift"],"sku_id":61,'
+         '"sku_name":"lamp","list_price":20.25,"id":510,"order_id":88}',),
         ("bad",), ("",), ("null",), ("[1]",), ("123",), (None,)], "value string")
     found = parse_records(records, schemas.ORDER_DETAIL).collect()
     assert [tuple(row) for row in found] == [
-        (9442, 3901, 7, 0.0, 2, "phone", 0, 0, 0, None, None, None)]
+        (510, 88, 61, 0.0, 4, "lamp", 0, 0, 0, None, None, None)]
 
 
 def test_number_reads_as_text_and_bad_number_is_null(spark):

@@ -19,6 +19,16 @@ def test_every_job_has_a_pace():
     assert len(JOBS) == 13 and set(JOBS) == set(PACE)
 
 
+def test_rates_are_capped_only_if_asked_for(spark, monkeypatch):
+    from rivermart.streaming import pipeline
+    seen = []
+    monkeypatch.setattr(pipeline, "read_stream", lambda *a, **b: seen.append(b.get("max_per_trigger", a[4] if len(a) > 4 else None)))
+    for site in (Site(spark, "/x", kafka="h:1"), Site(spark, "/x", kafka="h:1", partitions=100), Site(spark, "/x"),
+                 Site(spark, "/x", files=7)):
+        site.records(START_LOG_TOPIC, "dau", "value string")
+    assert seen == [None, 100 * 3 * PACE["dau"][1], None, 7]
+
+
 def test_from_change_events_to_wide_rows(spark, rows, tmp_path):
     site = Site(spark, str(tmp_path / "site"), bound="1 hour", delay="1 hour",
                 as_of=F.lit("2024-01-01").cast("date"))
@@ -42,7 +52,7 @@ def test_from_change_events_to_wide_rows(spark, rows, tmp_path):
          change("base_category3", id=3, name="old", category2_id=2),
          change("base_category3", id=3, name="c3", category2_id=2),
          change("spu_info", id=4, spu_name="spu", description="d", category3_id=3, tm_id=7),
-         change("user_info", id=5, name="li4", birthday="1990-01-01", gender="F"),
+         change("user_info", id=5, name="ada", birthday="1990-01-01", gender="F"),
          change("base_province", id=6, iso_code="CN-6", name="province", area_code="106", region_id=1),
          change("sku_info", id=8, spu_id=4, price=2.5, sku_name="sku", weight=0.1, tm_id=7, category3_id=3),
          change("order_info", id=100, user_id=5, province_id=6, order_status="1", final_total_amount=9.0,

@@ -173,7 +173,7 @@ def test_visits_stream_passes_a_hot_device_once(spark, rows, tmp_path):
 
     def run():
         stream = read_stream(spark, "parquet", source, "value string, at timestamp")
-        writer = (jobs.first_visits(stream, "1 hour", salts=4).writeStream.format("parquet")
+        writer = (jobs.first_visits(stream, salts=4).writeStream.format("parquet")
                   .option("path", out).option("checkpointLocation", str(tmp_path / "checkpoint")))
         jobs.start(writer, NOW).awaitTermination()
     send(*(log("hot", hour) for hour in range(10)), log("b", 3))
@@ -182,3 +182,54 @@ def test_visits_stream_passes_a_hot_device_once(spark, rows, tmp_path):
     run()
     assert rows(spark.read.parquet(out), "dt", "mid") == [
         ("20240101", "b"), ("20240101", "hot"), ("20240102", "hot")]
+
+
+def visits(spark, tmp_path, name, logs, **options):
+    """The visit stream over (mid, log time, arrival) texts, a batch for each."""
+    source, out = str(tmp_path / name / "in"), str(tmp_path / name / "out")
+    for mid, made, at in logs:
+        frame = spark.createDataFrame([(mid, made, at)], "mid string, made string, at string").select(
+            F.to_json(F.struct("mid", F.unix_millis(F.to_timestamp("made")).alias("ts"))).alias("value"),
+            F.to_timestamp("at").alias("at"))
+        frame.write.mode("append").parquet(source)
+        stream = read_stream(spark, "parquet", source, "value string, at timestamp")
+        writer = (jobs.first_visits(stream, **options).writeStream.format("parquet").option("path", out)
+                  .option("checkpointLocation", str(tmp_path / name / "checkpoint")))
+        jobs.start(writer, NOW).awaitTermination()
+    return spark.read.parquet(out)
+
+
+LATE = [("m", "2024-03-01 09:00:00", "2024-03-01 09:00:05"), ("m", "2024-03-01 23:59:50", "2024-03-02 00:00:10"),
+        ("m", "2024-03-02 08:00:00", "2024-03-02 08:00:01")]
+
+
+def test_a_visit_counts_on_the_day_of_its_log(spark, rows, tmp_path):
+    assert rows(visits(spark, tmp_path, "event", LATE), "dt", "mid") == [("20240301", "m"), ("20240302", "m")]
+
+
+def test_a_visit_can_count_on_the_day_of_its_arrival(spark, rows, tmp_path):
+    late = [LATE[1], LATE[0], ("m", "2024-03-02 23:59:59", "2024-03-03 00:00:01")]
+    found = visits(spark, tmp_path, "processing", late, day_from="processing")
+    assert rows(found, "dt") == [("20240301",), ("20240302",), ("20240303",)]
+    with pytest.raises(ValueError):
+        jobs.first_visits(found, day_from="other")
+
+
+def test_streams_keep_state_in_rocksdb_too(spark, rows, tmp_path):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        assert rows(visits(spark, tmp_path, "rocks", LATE), "dt", "mid") == [("20240301", "m"), ("20240302", "m")]
+    finally:
+        spark.conf.unset(name)
+
+
+def test_broadcast_limit_is_read_as_spark_reads_it(spark):
+    from rivermart.operators.skew import fits_broadcast
+    side = spark.range(3_000_000)  # 24 MB
+    for text, fits in (("104857600", True), ("100MB", True), ("1g", True), ("20m", False), ("10485760b", False), ("-1", False)):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", text)
+        try:
+            assert fits_broadcast(side) == fits, text
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
