@@ -50,12 +50,13 @@ def flatten_sku(skus: DataFrame, trademarks: DataFrame, categories3: DataFrame,
 
     The categories are a chain: without a level, the levels above it are NULL.
     """
+    # The levels are joined to each other first: the SKUs are then looked up in one table.
+    levels = lookup(categories3.select("id", F.col("name").alias("category3_name"), "category2_id"), categories2,
+                    "category2_id", "id", {"category2_name": "name", "category1_id": "category1_id"}, skew)
+    levels = lookup(levels, categories1, "category1_id", "id", {"category1_name": "name"}, skew, categories2)
+    names = ("category3_name", "category2_id", "category2_name", "category1_id", "category1_name")
     flat = lookup(skus, trademarks, "tm_id", "tm_id", {"tm_name": "tm_name"}, skew)
-    flat = lookup(flat, categories3, "category3_id", "id",
-                  {"category3_name": "name", "category2_id": "category2_id"}, skew)
-    flat = lookup(flat, categories2, "category2_id", "id",
-                  {"category2_name": "name", "category1_id": "category1_id"}, skew)
-    flat = lookup(flat, categories1, "category1_id", "id", {"category1_name": "name"}, skew)
-    flat = lookup(flat, spus, "spu_id", "id", {"spu_name": "spu_name"}, skew)
+    flat = lookup(flat, levels, "category3_id", "id", {name: name for name in names}, skew, skus)
+    flat = lookup(flat, spus, "spu_id", "id", {"spu_name": "spu_name"}, skew, skus)
     carried = [name for name in skus.columns if name not in schemas.SKU]
     return flat.select(*schemas.SKU, *carried)

@@ -20,15 +20,19 @@ def lookup_side(dim: DataFrame, key: str, columns: dict[str, str | Column],
 
 
 def lookup(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-           columns: dict[str, str | Column], skew: Skew = DEFAULT) -> DataFrame:
+           columns: dict[str, str | Column], skew: Skew = DEFAULT,
+           counted: DataFrame | None = None) -> DataFrame:
     """Add columns of ``dim`` to the facts by key; facts without a match get NULLs.
 
     ``dim`` holds one row per key, as the keyed tables do. It is broadcast if
     its estimated size allows; otherwise the facts are shuffled, with hot keys
     spread over several tasks. The table's key takes the facts' key type.
+    ``counted`` is the table behind the facts, if those are derived: hot keys
+    are then looked for there.
     """
     side = lookup_side(dim, dim_key, columns, facts.schema[fact_key].dataType.simpleString())
-    hot = None if fits_broadcast(side, skew) else find_hot(facts, fact_key, skew)
+    hot = None if fits_broadcast(side, skew) else find_hot(
+        facts if counted is None else counted, fact_key, skew)
     # Any chunk is right here, so copies of one fact are parted by their task.
     cut = apply_spread(facts, fact_key, hot, lambda chunks: F.pmod(
         F.xxhash64(*facts.columns) + F.spark_partition_id(), chunks), skew)

@@ -90,10 +90,11 @@ def consumed_users(flagged: DataFrame) -> DataFrame:
         F.col("user_id").cast("string").alias("user_id"), F.lit("1").alias("if_consumed"))
 
 
-def with_province(orders: DataFrame, provinces: DataFrame, skew: Skew = DEFAULT) -> DataFrame:
+def with_province(orders: DataFrame, provinces: DataFrame, skew: Skew = DEFAULT,
+                  counted: DataFrame | None = None) -> DataFrame:
     return lookup(orders.drop("province_name", "province_area_code"), provinces,
                   "province_id", "id",
-                  {"province_name": "name", "province_area_code": "area_code"}, skew)
+                  {"province_name": "name", "province_area_code": "area_code"}, skew, counted)
 
 
 def _user_columns(as_of: Column) -> dict[str, Column]:
@@ -122,18 +123,23 @@ def enrich_orders(orders: DataFrame, provinces: DataFrame, users: DataFrame,
     per_user = flag_first(spread_by_user(orders.drop(*derived), skew, counted), state)
     side = lookup_side(users, "id", columns, orders.schema["user_id"].dataType.simpleString())
     per_user = lookup_spread(per_user, side)
-    return with_order_columns(with_province(per_user.result(), provinces, skew), keep)
+    counted = orders if counted is None else counted
+    return with_order_columns(with_province(per_user.result(), provinces, skew, counted), keep)
+
 
+def with_sku(details: DataFrame, skus: DataFrame, skew: Skew = DEFAULT,
+             counted: DataFrame | None = None) -> DataFrame:
+    """Price, ids and names of the SKU; details of an unknown SKU keep what they came with.
 
-def with_sku(details: DataFrame, skus: DataFrame, skew: Skew = DEFAULT) -> DataFrame:
-    """Price, ids and names of the SKU; details of an unknown SKU keep what they came with."""
+    ``counted`` is the table behind ``details``, if those are derived.
+    """
     found = {"_known": F.lit(True), "_price": F.col("price"),
              "_spu": F.col("spu_id").try_cast("bigint"),
              "_tm": F.col("tm_id").try_cast("bigint"),
              "_category3": F.col("category3_id").try_cast("bigint"),
              "_spu_name": F.col("spu_name"), "_tm_name": F.col("tm_name"),
              "_category3_name": F.col("category3_name")}
-    joined = lookup(details, skus, "sku_id", "id", found, skew)
+    joined = lookup(details, skus, "sku_id", "id", found, skew, counted)
 
     def number(new: str, old: str) -> Column:
         return F.coalesce(F.when(F.col("_known"), F.col(new)), F.col(old))

@@ -143,7 +143,7 @@ def _keyed(table: Callable[[], DataFrame]) -> jobs.KeyedRead:
 
 def _order_info_writer(feed: Feed, keep: tuple[str, ...] = ()):
     state = KeyedTable(feed.spark, feed.path("user_state"), schemas.ddl(schemas.USER_STATE),
-                       ("user_id",), insert_only=True, compact_every=2)
+                       ("user_id",), compact_every=2)
     as_of = F.lit("2024-01-01").cast("date")
     return jobs.order_info_job(feed.stream("orders"), feed.bed.provinces,
                                _keyed(feed.bed.users), state,

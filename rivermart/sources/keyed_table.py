@@ -1,31 +1,45 @@
-"""A keyed table on Parquet: each batch adds its changes, reads see the last row per key."""
+"""A keyed table on Parquet: each batch adds its changes, reads see the last row per key.
+
+The table's manifest, one small JSON file that is replaced as a whole, names the
+base and the changes that count, so a reader needs one file call to know them,
+however many batches there were. Superseded folders are removed when they have
+been out of the manifest for ``retain`` seconds, which other jobs' reads that
+began before must not outlast.
+"""
 
 from __future__ import annotations
 
+import json
+import time
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from rivermart.operators.keyed import upsert_latest
 from rivermart.operators.lookup import keyed_scan
-from rivermart.sources.storage import folder_bytes, remove_folder, written_versions
+from rivermart.sources.storage import folder_bytes, read_text, remove_folder, replace_text
 
-MOST_PERIODS = 1000
-PERIOD = "period"
+#: Days of a batch that are written into the filter; more are joined.
+LISTED_PERIODS = 1000
+PERIOD, BUCKET = "period", "bucket"
+Wanted = Callable[[DataFrame], DataFrame]
 
 
 @dataclass(frozen=True)
 class KeyedTable:
     """A table under ``path``.
 
-    ``changes/version=n`` holds the rows of batch n, ``base/version=n`` the
-    table as of batch n. Writing a batch again replaces its folder, and a
-    batch reads only earlier versions, so a repeated batch has the same
-    result. ``insert_only`` says that no key is written twice, which saves
-    the merge. ``day`` is a date text to partition by, cut to ``day_length``
-    characters (7: by month).
+    Versions are the table's own numbers. A version belongs to a batch of a
+    writer (``of``; a stream's checkpoint has an id): writing the same batch
+    again replaces its version, and a batch reads only versions before its own,
+    so a repeated batch has the same result; another checkpoint's batches come
+    after all there is. ``insert_only`` says that no key is written twice,
+    which saves the merge. ``day`` is a date text to partition by, cut to
+    ``day_length`` characters (7: by month). Bases are written in ``buckets``
+    folders by a hash of the key, and keyed reads open only those they need.
+    One job writes a table; others read it.
     """
     spark: SparkSession
     path: str
@@ -35,36 +49,108 @@ class KeyedTable:
     day: str | None = None
     day_length: int = 10
     compact_every: int = 100
+    buckets: int = 16
+    retain: float = 3600.0
+    writer: str = ""
+
+    def of(self, writer: str) -> KeyedTable:
+        """The table as a writer sees it."""
+        return replace(self, writer=writer)
+
+    # ------------------------------------------------------------- manifest
+
+    def manifest(self) -> dict:
+        text = read_text(self.spark, f"{self.path}/manifest.json")
+        return json.loads(text) if text else {"next": 0, "base": None, "base_bytes": 0, "changes": [], "retired": []}
 
-    def upsert(self, rows: DataFrame, version: int) -> None:
+    def _save(self, manifest: dict) -> None:
+        now = time.time()
+        old = [(folder, since) for folder, since in manifest["retired"] if now - since >= self.retain]
+        manifest["retired"] = [entry for entry in manifest["retired"] if now - entry[1] < self.retain]
+        replace_text(self.spark, f"{self.path}/manifest.json", json.dumps(manifest))
+        for folder, _ in old:
+            remove_folder(self.spark, f"{self.path}/{folder}")
+
+    def _own(self, manifest: dict, batch: int) -> dict | None:
+        return next((c for c in manifest["changes"] if (c["writer"], c["batch"]) == (self.writer, batch)), None)
+
+    # --------------------------------------------------------------- writes
+
+    def upsert(self, rows: DataFrame, batch: int) -> None:
         """Write the changes of a batch; ``rows`` has one row per key."""
-        self._write(rows, self._folder("changes", version))
+        manifest = self.manifest()
+        own = self._own(manifest, batch)
+        version = own["version"] if own else manifest["next"]
+        folder = self._folder("changes", version)
+        self._write(rows, folder, bucketed=False)
+        entry = {"version": version, "writer": self.writer, "batch": batch, "bytes": folder_bytes(self.spark, folder)}
+        if own:
+            own.update(entry)
+        else:
+            manifest["changes"].append(entry)
+            manifest["next"] = version + 1
+        self._save(manifest)
+
+    def compact(self, before: int) -> None:
+        """Write a new base once enough changes have gathered for it to be worth while.
+
+        A base that is much larger than the changes is rewritten less often.
+        """
+        manifest = self.manifest()
+        changes = self._earlier(manifest, before)
+        if len(changes) < self.compact_every:
+            return
+        large = manifest["base"] is not None and sum(c["bytes"] for c in changes) * 10 < manifest["base_bytes"]
+        if large and len(changes) < 10 * self.compact_every:
+            return
+        version = changes[-1]["version"]
+        self._write(self._read(manifest, before), self._folder("base", version), bucketed=True)
+        now = time.time()
+        gone = [f"changes/version={c['version']}" for c in changes]
+        if manifest["base"] is not None:
+            gone.append(f"base/version={manifest['base']}")
+        self._save({**manifest, "base": version, "base_bytes": folder_bytes(self.spark, self._folder("base", version)),
+                    "changes": [c for c in manifest["changes"] if c["version"] > version],
+                    "retired": manifest["retired"] + [[folder, now] for folder in gone]})
+
+    # ---------------------------------------------------------------- reads
 
     def read(self, before: int | None = None) -> DataFrame:
         """The table, or its state before a batch."""
-        return self._read(before)
+        return self._read(self.manifest(), before)
 
     def read_keys(self, facts: DataFrame, fact_key: str, before: int | None = None) -> DataFrame:
         """The rows whose key occurs in the facts; others are left out before the merge."""
-        return self._read(before, lambda rows: keyed_scan(rows, self.keys[0], facts, fact_key))
-
-    def read_days(self, rows: DataFrame, before: int | None = None) -> DataFrame:
-        """The partitions of the days that occur in ``rows``.
-
-        The days of a batch are few; if they are not, the whole table is read.
-        """
-        found = rows.select(self._period()).distinct().limit(MOST_PERIODS + 1).collect()
-        periods = [row[0] for row in found]
-        if len(periods) > MOST_PERIODS or None in periods:
-            return self.read(before)
-        return self._read(before, lambda table: table.filter(F.col(PERIOD).isin(periods)))
-
-    def _read(self, before: int | None,
-              wanted: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> DataFrame:
-        base, changes = self._versions(before)
+        found = facts.select(self._bucket(F.col(fact_key))).distinct().collect() if self.buckets > 1 else []
+        return self._read(self.manifest(), before, lambda rows: keyed_scan(rows, self.keys[0], facts, fact_key),
+                          lambda base: base.filter(F.col(BUCKET).isin([row[0] for row in found])) if self.buckets > 1 else base)
+
+    def read_days(self, rows: DataFrame, before: int | None = None, key: str | None = None) -> DataFrame:
+        """The partitions of the days that occur in ``rows``; with ``key`` only rows whose
+        first key occurs in that column. Either is picked before the merge."""
+        periods = rows.select(self._period()).distinct()
+        found = [row[0] for row in periods.limit(LISTED_PERIODS + 1).collect()]
+
+        def days(table: DataFrame) -> DataFrame:
+            if len(found) > LISTED_PERIODS:
+                same = F.col(PERIOD).eqNullSafe(F.col("_period"))
+                return table.join(periods.withColumnRenamed(PERIOD, "_period"), same, "left_semi")
+            listed = F.col(PERIOD).isin([period for period in found if period is not None])
+            return table.filter(listed | F.col(PERIOD).isNull() if None in found else listed)
+
+        return self._read(self.manifest(), before,
+                          lambda table: keyed_scan(days(table), self.keys[0], rows, key) if key else days(table))
+
+    def _earlier(self, manifest: dict, before: int | None) -> list[dict]:
+        own = self._own(manifest, before) if before is not None else None
+        return [c for c in manifest["changes"] if own is None or c["version"] < own["version"]]
+
+    def _read(self, manifest: dict, before: int | None, wanted: Wanted = lambda rows: rows,
+              wanted_base: Wanted = lambda rows: rows) -> DataFrame:
+        changes = [c["version"] for c in self._earlier(manifest, before)]
         parts = []
-        if base is not None:
-            parts.append(self._load("base", [base]))
+        if manifest["base"] is not None:
+            parts.append(wanted_base(self._load("base", [manifest["base"]])).drop(BUCKET))
         if changes:
             parts.append(self._load("changes", changes))
         if not parts:
@@ -83,47 +169,29 @@ class KeyedTable:
     def _period(self) -> Column:
         return F.left(F.col(self.day), F.lit(self.day_length)).alias(PERIOD)
 
-    def compact(self, before: int) -> None:
-        """Write a new base once enough changes have gathered for it to be worth while.
-
-        A base that is much larger than the changes is rewritten less often.
-        """
-        base, changes = self._versions(before)
-        if len(changes) < self.compact_every:
-            return
-        size = sum(folder_bytes(self.spark, self._folder("changes", n)) for n in changes)
-        large = base is not None and size * 10 < folder_bytes(self.spark, self._folder("base", base))
-        if not large or len(changes) >= 10 * self.compact_every:
-            self._write(self.read(before), self._folder("base", changes[-1]))
-
-    def drop_folded(self) -> None:
-        """Remove the folders that the newest base has made redundant; not while a batch runs."""
-        base, _ = self._versions(None)
-        for kind in ("base", "changes"):
-            for n in written_versions(self.spark, f"{self.path}/{kind}"):
-                if base is not None and (n < base or (n == base and kind == "changes")):
-                    remove_folder(self.spark, self._folder(kind, n))
+    def _bucket(self, key: Column) -> Column:
+        return F.pmod(F.xxhash64(key.cast("string")), F.lit(self.buckets)).cast("int").alias(BUCKET)
 
     def _folder(self, kind: str, version: int) -> str:
         return f"{self.path}/{kind}/version={version}"
 
-    def _versions(self, before: int | None) -> tuple[int | None, list[int]]:
-        def earlier(kind: str) -> list[int]:
-            return [n for n in written_versions(self.spark, f"{self.path}/{kind}")
-                    if before is None or n < before]
-        bases = earlier("base")
-        base = bases[-1] if bases else None
-        return base, [n for n in earlier("changes") if base is None or n > base]
-
     def _load(self, kind: str, versions: list[int]) -> DataFrame:
         columns = f"{self.columns}, version bigint"
+        if kind == "base":
+            columns += f", {BUCKET} int"
         if self.day:
             columns += f", {PERIOD} string"
         return (self.spark.read.schema(columns).option("basePath", f"{self.path}/{kind}")
                 .parquet(*(self._folder(kind, n) for n in versions)))
 
-    def _write(self, rows: DataFrame, folder: str) -> None:
+    def _write(self, rows: DataFrame, folder: str, bucketed: bool) -> None:
+        parts = [PERIOD] if self.day else []
         if self.day:
-            rows.select("*", self._period()).write.mode("overwrite").partitionBy(PERIOD).parquet(folder)
-        else:
-            rows.write.mode("overwrite").parquet(folder)
+            rows = rows.select("*", self._period())
+        if bucketed:
+            rows = rows.select("*", self._bucket(F.col(self.keys[0])))
+            # A bucket of each day in one file, its rows by key.
+            rows = rows.repartition(*parts, BUCKET).sortWithinPartitions(*parts, BUCKET, *self.keys)
+            parts = [*parts, BUCKET]
+        writer = rows.write.mode("overwrite")
+        (writer.partitionBy(*parts) if parts else writer).parquet(folder)

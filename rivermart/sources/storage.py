@@ -36,12 +36,29 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
     files.delete(path, True)
 
 
-def written_versions(spark: SparkSession, folder: str) -> list[int]:
-    """Numbers n of the completely written ``version=n`` folders, ascending."""
-    files, path = _located(spark, folder)
+def read_text(spark: SparkSession, file: str) -> str | None:
+    """A small text file; None if there is none."""
+    files, path = _located(spark, file)
     if not files.exists(path):
-        return []
-    names = [status.getPath().getName() for status in files.listStatus(path)]
-    return sorted(
-        int(name.split("=")[1]) for name in names if name.startswith("version=")
-        and files.exists(_located(spark, f"{folder}/{name}/_SUCCESS")[1]))
+        return None
+    stream = files.open(path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def replace_text(spark: SparkSession, file: str, text: str) -> None:
+    """Write a small text file; readers see the old one or the new one, nothing between."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    files, path = _located(spark, file)
+    fresh = hadoop.Path(f"{file}.{uuid.uuid4().hex}")
+    stream = files.create(fresh, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    overwrite = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+    overwrite[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+    hadoop.FileContext.getFileContext(files.getUri(), spark._jsc.hadoopConfiguration()).rename(
+        files.makeQualified(fresh), files.makeQualified(path), overwrite)

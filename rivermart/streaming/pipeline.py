@@ -129,7 +129,7 @@ def _sku(site: Site, batch: DataFrame) -> DataFrame:
 
 
 def _order_info(site: Site, name: str) -> DataStreamWriter:
-    state = site.table("user_state", schemas.USER_STATE, "user_id", insert_only=True)
+    state = site.table("user_state", schemas.USER_STATE, "user_id")
     return jobs.order_info_job(
         site.source_records("order_info", name), lambda: site.dimension("province").read(),
         site.dimension("user").read_keys, state, site.emit(jobs.ORDER_TOPIC),

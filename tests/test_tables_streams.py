@@ -1,4 +1,5 @@
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,7 @@ from rivermart import schemas
 from rivermart.operators import cdc, dims, orders
 from rivermart.sources.keyed_table import KeyedTable
 from rivermart.sources.sinks import to_folder, to_records, write_batch
-from rivermart.sources.storage import work_folder, written_versions
+from rivermart.sources.storage import work_folder
 from rivermart.sources.streams import read_stream
 from rivermart.sources.tables import read_table
 from rivermart.streaming import jobs
@@ -40,17 +41,79 @@ def test_a_repeated_batch_replaces_its_rows(spark, rows, tmp_path):
     assert rows(users.read(), "id") == [("1",), ("2",)]
 
 
+def folders(tmp_path, kind):
+    return sorted(int(f.name.split("=")[1]) for f in (tmp_path / "table" / kind).iterdir() if "=" in f.name)
+
+
 def test_compaction_keeps_the_table(spark, rows, tmp_path):
-    users = table(spark, tmp_path, compact_every=2)
+    users = table(spark, tmp_path, compact_every=2, retain=0.0)
     users.upsert(rows_in(spark, ("1", "a", "d"), ("2", "b", "d")), 0)
     users.upsert(rows_in(spark, ("2", "c", "d")), 3)
     users.compact(4)
-    assert written_versions(spark, str(tmp_path / "table/base")) == [3]
-    users.drop_folded()
-    assert written_versions(spark, str(tmp_path / "table/changes")) == []
+    assert folders(tmp_path, "base") == [1] and folders(tmp_path, "changes") == []  # nothing is retained
     users.upsert(rows_in(spark, ("1", "z", "d")), 4)
+    assert folders(tmp_path, "changes") == [2]
     assert rows(users.read(), "id", "v") == [("1", "z"), ("2", "c")]
     assert rows(users.read(before=4), "id", "v") == [("1", "a"), ("2", "c")]
+    users.upsert(rows_in(spark, ("3", "y", "d")), 5)
+    users.compact(6)
+    users.upsert(rows_in(spark, ("4", "x", "d")), 6)
+    assert folders(tmp_path, "base") == [3] and users.read().count() == 4
+
+
+def test_superseded_folders_stay_for_a_while(spark, tmp_path):
+    users = table(spark, tmp_path, compact_every=1, retain=1000.0)
+    for batch in range(4):
+        users.compact(batch)
+        users.upsert(rows_in(spark, ("1", str(batch), "d")), batch)
+    assert folders(tmp_path, "changes") == [0, 1, 2, 3] and folders(tmp_path, "base") == [0, 1, 2]
+    assert len(users.manifest()["changes"]) == 1
+
+
+def test_a_new_checkpoint_keeps_the_state(spark, rows, tmp_path):
+    users = table(spark, tmp_path, compact_every=3)
+    old, new = users.of("old"), users.of("new")
+    for batch in range(4):
+        old.compact(batch)
+        old.upsert(rows_in(spark, (str(batch), f"old{batch}", "d")), batch)
+    assert users.manifest()["base"] == 2
+    assert new.read(before=0).count() == 4
+    for _ in range(2):  # the second time is a replay
+        new.upsert(rows_in(spark, ("3", "new", "d")), 0)
+    assert rows(users.read(), "id", "v") == [("0", "old0"), ("1", "old1"), ("2", "old2"), ("3", "new")]
+    assert rows(new.read(before=0), "id", "v")[3] == ("3", "old3")
+
+
+def test_a_user_state_that_changes_is_one_row(spark, rows, tmp_path):
+    state = KeyedTable(spark, str(tmp_path / "state"), schemas.ddl(schemas.USER_STATE), ("user_id",))
+    for batch, consumed in enumerate("01"):
+        state.upsert(spark.createDataFrame([("5", consumed)], "user_id string, if_consumed string"), batch)
+    assert rows(state.read()) == [("5", "1")]
+
+
+def test_reading_takes_one_file_call_whatever_the_batches(spark, tmp_path, monkeypatch):
+    from rivermart.sources import keyed_table, storage
+    users = table(spark, tmp_path)
+    users.upsert(rows_in(spark, ("1", "a", "d")), 0)
+    entry, calls = users.manifest(), []
+    entry["changes"] = [dict(entry["changes"][0], batch=i) for i in range(500)]
+    storage.replace_text(spark, f"{users.path}/manifest.json", json.dumps(entry))
+    monkeypatch.setattr(keyed_table, "read_text", lambda *a: calls.append(a) or storage.read_text(*a))
+    monkeypatch.setattr(storage, "_located", lambda *a, f=storage._located: calls.append(a) or f(*a))
+    users._earlier(users.manifest(), None)
+    assert len(calls) == 2
+
+
+def test_keyed_reads_open_only_their_buckets(spark, rows, tmp_path):
+    users = table(spark, tmp_path, compact_every=1, buckets=8)
+    users.upsert(rows_in(spark, *((str(i), "a", "d") for i in range(50))), 0)
+    users.compact(1)
+    found = users.read_keys(spark.createDataFrame([(3,)], "k bigint"), "k")
+    assert rows(found, "id", "v") == [("3", "a")]
+    filters = re.search(r"PartitionFilters: \[([^\]]*)", found._jdf.queryExecution().executedPlan().toString())[1]
+    assert "bucket" in filters
+    none = users.read_keys(spark.createDataFrame([], "k bigint"), "k")
+    assert none.count() == 0
 
 
 def test_days_are_pruned(spark, rows, tmp_path):
@@ -60,7 +123,20 @@ def test_days_are_pruned(spark, rows, tmp_path):
     assert rows(found) == [("2", "b", "2024-01-02")]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(period" in plan
-    assert users.read_days(rows_in(spark, ("x", "y", None))).count() == 2
+    users.upsert(rows_in(spark, ("3", "c", None)), 1)
+    assert rows(users.read_days(rows_in(spark, ("x", "y", None))), "id") == [("3",)]
+    both = rows_in(spark, ("1", "y", "2024-01-01"), ("2", "y", "2024-01-01"), ("2", "y", None))
+    assert rows(users.read_days(both), "id") == [("1",), ("3",)]
+    assert rows(users.read_days(both, key="id"), "id") == [("1",)]
+
+
+def test_many_days_are_joined(spark, rows, tmp_path, monkeypatch):
+    from rivermart.sources import keyed_table
+    monkeypatch.setattr(keyed_table, "LISTED_PERIODS", 1)
+    users = table(spark, tmp_path, day="dt")
+    users.upsert(rows_in(spark, ("1", "a", "2024-01-01"), ("2", "b", "2024-01-02"), ("3", "c", None), ("4", "d", "x")), 0)
+    asked = rows_in(spark, ("x", "y", "2024-01-02"), ("x", "y", None), ("x", "y", "2024-01-01"))
+    assert rows(users.read_days(asked), "id") == [("1",), ("2",), ("3",)]
 
 
 def test_keys_are_picked_before_the_merge(spark, rows, tmp_path):
@@ -107,8 +183,7 @@ def feed(spark, folder, values, columns):
 
 def test_order_stream_flags_once_over_restarts(spark, rows, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
-    state = KeyedTable(spark, str(tmp_path / "state"), schemas.ddl(schemas.USER_STATE), ("user_id",),
-                       insert_only=True, compact_every=1)
+    state = KeyedTable(spark, str(tmp_path / "state"), schemas.ddl(schemas.USER_STATE), ("user_id",), compact_every=1)
     provinces = spark.createDataFrame([("1", "north", "10")], "id string, name string, area_code string")
     users = spark.createDataFrame([("5", "F", "1990-01-01")], "id string, gender string, birthday string")
 

@@ -158,6 +158,23 @@ def test_chain_is_the_same_with_hot_orders(spark, sf_dir):
     assert plain.exceptAll(hot).count() == 0
 
 
+def test_hot_keys_are_looked_for_on_base_tables(spark, sf_dir, monkeypatch):
+    from rivermart.operators import dims, lookup, orders, skew
+    bed, searched = Testbed(spark, sf_dir), []
+    monkeypatch.setattr(lookup, "find_hot", lambda rows, *a, **b: searched.append(rows))
+    monkeypatch.setattr(skew, "find_hot", lambda rows, *a, **b: searched.append(rows))
+    large = Skew(hot_rows=100, small_input=0, broadcast_limit=-1)
+    dims.flatten_sku(bed.skus(), bed.trademarks(), bed.categories(3), bed.categories(2), bed.categories(1), bed.spus(), large)
+    source = bed.order_info(totals=False)
+    orders.enrich_orders(orders.with_time_parts(source), bed.provinces(), bed.users(), skew=large, counted=source)
+    detail = spark.createDataFrame(bed.order_detail().limit(50).collect(), bed.order_detail().schema)
+    orders.with_sku(wide.first_per_key(detail, ["id"], "order_id"), bed.flat_skus(), large, counted=detail)
+    assert len(searched) >= 7
+    for rows in searched:
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Window" not in plan
+
+
 def test_kept_rows_count_as_small_input(spark):
     """A micro-batch that was counted is known to be small and needs no search."""
     from rivermart.operators.skew import is_small
