@@ -13,6 +13,7 @@ from rivermart.functions import cents, from_cents
 from rivermart.operators.lookup import lookup
 from rivermart.operators.orders import with_order_columns
 from rivermart.operators.skew import estimated_bytes
+from rivermart.sources.storage import work_folder
 from rivermart.sources.tables import read_table
 
 LEFT_OUT_REGION = "MIDDLE EAST"
@@ -312,3 +313,33 @@ class Testbed:
                   .when(click & (value < 14), F.replace(text, F.lit('"uid":"'), F.lit('"uid":null,"x":"')))
                   .otherwise(text))
         return self.table("events").select("event_id", broken.alias("value"))
+
+
+class StagedTestbed(Testbed):
+    """Derived inputs are written when first asked for and then read from files, so that a
+    second run of a query does the operator's work only."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__(spark, sf_dir)
+        self._staged: dict[str, DataFrame] = {}
+
+    def _stage(self, key: str, rows: DataFrame) -> DataFrame:
+        folder = work_folder(self.spark, "staged")
+        rows.write.parquet(folder)
+        self._staged[key] = self.spark.read.schema(rows.schema).parquet(folder)
+        return self._staged[key]
+
+
+def _staged(name: str):
+    make = getattr(Testbed, name)
+
+    def method(self: StagedTestbed, *args, **options) -> DataFrame:
+        key = f"{name} {args} {options}"
+        return self._staged[key] if key in self._staged else self._stage(key, make(self, *args, **options))
+    return method
+
+
+for _name in ("all_users", "users", "skus", "trademarks", "categories", "spus", "flat_skus", "category_feed",
+              "spu_feed", "level_changes", "orders", "order_info", "order_times", "details", "order_detail",
+              "priced_detail", "order_records", "detail_records", "maxwell", "canal", "logs"):
+    setattr(StagedTestbed, _name, _staged(_name))
