@@ -22,12 +22,12 @@ from pyspark.sql import DataFrame, Window, functions as F
 from rivermart.llm import common
 
 #: Links kept for each vector.
-LINKS = 20
+LINKS = 30
 #: Trees and leaf size of the first graph; trees are fitted on so many vectors at most.
 TREES, LEAF, FIT_VECTORS = 5, 128, 8192
-ROUNDS = 3
+ROUNDS = 5
 #: Vectors in a query's beam, links followed in a round, and rounds at most.
-BEAM, FOLLOWED, WALKS = 128, 48, 8
+BEAM, FOLLOWED, WALKS = 128, 64, 8
 SEED = 11
 EDGES = [("a", pa.int64()), ("b", pa.int64()), ("score", pa.float32())]
 EDGES_SCHEMA = "a long, b long, score float"
