@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from rivermart.llm import common
 
 #: One in so many hashes is kept.
-KEEP_ONE_IN = 8
+KEEP_ONE_IN = 4
 #: Ranges of doc_id for each shuffle partition.
 RANGES = 4
 RESULT = [("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
