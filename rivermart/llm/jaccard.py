@@ -12,8 +12,9 @@ Prefix filters under several global token orders:
    hash) before their whole sets are compared.
 
 Candidates are not all pairs of a token's documents: first each document meets
-only the most typical one of its token, and documents already connected are not
-compared again. Only components are asked for, so no link that matters is lost.
+only the few most typical ones of some tokens, and documents already connected
+are not compared again. Two sets of n and m tokens of which k and l occur in any
+other set cannot link if min(k, l) is below the overlap that n and m need. Only components are asked for, so no link that matters is lost.
 Documents of equal sets count as one throughout.
 """
 
@@ -21,7 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from rivermart.llm import common
 from rivermart.llm.components import smallest_reachable
@@ -35,6 +36,8 @@ FRONTS = [("bucket", pa.int32()), ("tokens", pa.binary()), ("owners", pa.binary(
 FRONTS_SCHEMA = ("bucket int, tokens binary, owners binary, sets binary, "
                  "doc_ids array<long>, sizes array<long>")
 COUNTS = [("set_id", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("shared", pa.int64())]
+#: For a first connection: tokens of each document, and documents of each token that the others meet.
+STAR_TOKENS, HUBS = 3, 4
 SECOND, THIRD = np.uint64(0xA0761D6478BD642F), 0x2545F4914F6CDD1D
 
 
@@ -153,6 +156,25 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
     return common.map_arrow(docs, make, "node long, n long, tokens array<long>")
 
 
+def _may_link(n: str, k: str, m: str, l: str, percent: int):
+    """Whether sets of n and m tokens, k and l of them known to others, can link at all."""
+    return F.least(F.col(k), F.col(l)) * (100 + percent) >= (F.col(n) + F.col(m)) * percent
+
+
+def _near_pairs(prefixes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that connect most of a group of near copies: each document with the few most
+    typical ones of its most widespread tokens. Typical is whose tokens are known to others."""
+    some = prefixes.select("node", "n", "k", F.explode(F.slice("prefix", -F.least(F.size("prefix"), F.lit(STAR_TOKENS)),
+                                                               STAR_TOKENS)).alias("token"))
+    # Any document with the token in its prefix may be the one to meet: a typical one has a long prefix.
+    every = prefixes.select("node", "n", "k", F.explode("prefix").alias("token"))
+    order = Window.partitionBy("token").orderBy((F.col("n") - F.col("k")) / F.col("n"), "node")
+    hubs = every.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= HUBS).select(
+        "token", F.col("node").alias("hub"), F.col("n").alias("m"), F.col("k").alias("l"))
+    return some.join(hubs, "token").where("node <> hub").where(_may_link("n", "k", "m", "l", percent)).select(
+        F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+
+
 def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets link: the third order's prefixes first, then the whole sets."""
     left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("x"), F.col("third").alias("u"))
@@ -198,23 +220,26 @@ def similar_sets(docs: DataFrame, size: int = common.SHINGLE_WORDS, percent: int
     # Tokens of no other document come first under this order and take up places of the prefix.
     places = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.size("known"))
     prefixes = ranked.where(places > 0).select(
-        "node", "n", (F.size("known") / F.col("n")).alias("typical"),
-        F.explode(F.slice("known", F.lit(1), places.cast("int"))["token"]).alias("token"))
+        "node", "n", F.size("known").alias("k"), F.slice("known", F.lit(1), places.cast("int"))["token"].alias("prefix"))
     prefixes = common.stored(prefixes, "jaccard-prefixes")
 
-    hubs = prefixes.groupBy("token").agg(F.max(F.struct("typical", "node", "n")).alias("hub"))
-    near = prefixes.join(hubs, "token").where("node <> hub.node").where(
-        F.least("n", "hub.n") * 100 >= F.greatest("n", "hub.n") * percent)
-    near = near.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
+    near = common.stored(_near_pairs(prefixes, percent), "jaccard-near")
     links = common.stored(_links(near, sets, percent), "jaccard-links")
     first = smallest_reachable(links)
 
-    placed = prefixes.join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    # A token's place counts the document's own tokens, which come first.
+    placed = prefixes.join(first, "node", "left").select(
+        F.posexplode("prefix").alias("at", "token"), "node", "n", "k", F.coalesce("component", "node").alias("component"))
+    placed = placed.withColumn("at", F.col("at") + 1 + F.col("n") - F.col("k"))
     mixed = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    placed = placed.join(mixed.where("low <> high").select("token"), "token").select("token", "node", "n", "component")
-    other = placed.select("token", F.col("node").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
+    placed = placed.join(mixed.where("low <> high").select("token"), "token")
+    other = placed.select("token", F.col("node").alias("b"), F.col("n").alias("m"), F.col("k").alias("l"),
+                          F.col("at").alias("there"), F.col("component").alias("other"))
+    # At their first common token two sets can share no more than that one and what comes behind it.
+    left = F.least(F.col("n") - F.col("at"), F.col("m") - F.col("there")) + 1
     rest = placed.withColumnRenamed("node", "a").join(other, "token").where("a < b and component <> other").where(
-        F.least("n", "m") * 100 >= F.greatest("n", "m") * percent).select("a", "b").distinct()
+        _may_link("n", "k", "m", "l", percent)).where(
+        left * (100 + percent) >= (F.col("n") + F.col("m")) * percent).select("a", "b").distinct()
     rest = rest.join(near, ["a", "b"], "left_anti")
     more = common.stored(_links(rest, sets, percent), "jaccard-links")
     component = smallest_reachable(links.union(more)) if not more.isEmpty() else first
@@ -229,5 +254,5 @@ def similar_sets(docs: DataFrame, size: int = common.SHINGLE_WORDS, percent: int
 def keep_one(docs: DataFrame, size: int = common.SHINGLE_WORDS, percent: int = 75) -> DataFrame:
     """The rows of ``docs`` whose document has the smallest doc_id of its component."""
     groups = similar_sets(docs, size, percent)
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    gone = common.stored(groups.where("doc_id <> component_id").select("doc_id").distinct(), "jaccard-gone")
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
