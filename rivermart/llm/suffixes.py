@@ -173,28 +173,31 @@ def repeated_anchors(texts: DataFrame, parts: int, width: int, gram: int) -> Dat
             yield from rows()
 
     def meet(batches):
-        hashes, keys = [], []
+        hashes, keys, settled = [], [], []
         for batch in batches:
             for row in batch.to_pylist():
                 own = np.frombuffer(row["hashes"], np.uint64)
                 names = np.frombuffer(row["keys"], np.int64).reshape(-1, 2)
                 if row["known"]:
-                    yield from keyed_rows(names, own, parts)
+                    settled.append((names, own))
                 else:
                     hashes.append(own)
                     keys.append(names)
-        if not hashes:
+        if not hashes:  # every settled anchor comes with one row that is not
             return
         hashes, keys = np.concatenate(hashes), np.concatenate(keys)
         order = np.lexsort((keys[:, 1], keys[:, 0], hashes))
         hashes, keys = hashes[order], keys[order]
         same = hashes[1:] == hashes[:-1]
-        other = same & (keys[1:] != keys[:-1]).any(axis=1)
+        again = np.append(False, same & (keys[1:] == keys[:-1]).all(axis=1))
+        other = same & ~again[1:]
         group = np.append(0, np.cumsum(~same))
         mixed = np.zeros(group[-1] + 1, bool)
         mixed[group[1:][other]] = True
-        pick = mixed[group]
-        yield from keyed_rows(keys[pick], hashes[pick], parts)
+        pick = mixed[group] & ~again
+        # What a task has found to repeat stays so, whoever else has the anchor.
+        settled = [(keys[pick], hashes[pick]), *settled]
+        yield from keyed_rows(np.concatenate([k for k, _ in settled]), np.concatenate([h for _, h in settled]), parts)
 
     sent = common.map_arrow(texts, send, "part int, hashes binary, keys binary, known boolean")
     return per_key(common.map_arrow(sent.repartition(parts, "part"), meet, KEYED_SCHEMA), parts)
@@ -454,13 +457,14 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, with_t
         # Some anchors at a time: their strings take many times the room of their surroundings.
         order = np.argsort(hashes, kind="stable")
         cut = np.flatnonzero(np.diff(hashes[order])) + 1
-        low = 0
+        low, found = 0, []
         while low < len(order):
             at = np.searchsorted(cut, low + SEND_CONTEXTS // 4)
             high = int(cut[at]) if at < len(cut) else len(order)
             some = order[low:high]
-            yield from keyed_rows(*found_again(hashes[some], numbers[some], contexts[some], width), parts)
+            found.append(found_again(hashes[some], numbers[some], contexts[some], width))
             low = high
+        yield from keyed_rows(*(np.concatenate(x) for x in zip(*found)), parts)
 
     spans = per_key(common.map_arrow(sent, sort, KEYED_SCHEMA), parts).select(
         F.col("k1").alias("doc_id"), F.col("k2"), F.col("values").alias("spans"))
