@@ -28,10 +28,10 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 5: fewer low and toxic documents, so that tokens meet the target weights;
-    documents of the high domain keep a rate of one."""
+    """Operator 5: tokens meet the target weights by fewer low and toxic documents and, where that
+    is not enough, copies; no document whose likeliest domain is high is lost."""
     labels = read_table(spark, f"{sf_dir}/labels.parquet")
-    return mixing.draw(docs, mixing.mixing_rates(docs, labels, keep="high"))
+    return mixing.draw(docs, mixing.mixing_rates(docs, labels, keep="high"), snap=0.0)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,16 +8,19 @@ towards each domain by it. Rates r >= 0 then minimise
 
 by projected gradient steps, w being a document's share of all tokens. In that
 metric the gradient for one document is the sum over domains of posterior times
-residual, so a step is one aggregation over all documents (one number for each domain
-comes back) and one expression per document. Nothing but DataFrame functions is
-used, and no text is shuffled.
+residual, so a step is one aggregation over all documents (a few numbers for each
+domain come back) and one expression per document. Steps are preconditioned and the
+ridge vanishes, until the expected tokens of every domain are at its target. Nothing
+but DataFrame functions is used, and no text is shuffled.
 """
 
 from __future__ import annotations
 
 import math
+import warnings
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rivermart.llm import common
@@ -27,7 +30,10 @@ FIT_DOCUMENTS = 4000
 #: Words that speak for a domain: so many, each in so many labelled documents at least.
 WORDS, LEAST_DOCUMENTS = 48, 8
 BINS = 12
-STEPS, RIDGE = 30, 0.002
+#: Expected tokens of a domain are this near its target, as a share of the target.
+TOLERANCE = 0.001
+#: The ridge at the start, where it ends if targets cannot be met, and steps at most.
+FIRST_RIDGE, LAST_RIDGE, MOST_STEPS = 1e-5, 1e-9, 200
 #: Domains of the labels table and their share of tokens.
 TARGETS = {"high": 0.90, "low": 0.08, "toxic": 0.02}
 DOMAIN = "CASE WHEN toxic = 1 THEN 'toxic' WHEN quality = 1 THEN 'high' WHEN quality = 0 THEN 'low' END"
@@ -119,8 +125,77 @@ def posteriors(rows: DataFrame, labels: DataFrame, domains: list[str], bins: int
     return rows.select("row_id", "doc_id", "tokens", *[(F.col(f"e_{d}") / whole).alias(f"p_{d}") for d in domains])
 
 
-def fit_rates(rows: DataFrame, targets: dict[str, float], steps: int, ridge: float, keep: str | None) -> DataFrame:
-    """Adds rate. ``keep`` names a domain that the total is chosen for: its documents keep a rate of about one."""
+def plain_rate(rows: DataFrame, held: dict[str, float], goal: dict[str, float], steps: int, ridge: float) -> Column:
+    """The rate after so many plain steps, or fewer if they arrive before."""
+    step, rate, every = 1 / (1 + ridge), F.lit(1.0), sum(goal.values())
+    for _ in range(steps):
+        got = rows.agg(*[F.sum(F.col("tokens") * F.col(f"p_{d}") * rate).alias(d) for d in goal]).first()
+        pull = sum_of(F.col(f"p_{d}") * F.lit((got[d] - goal[d]) / held[d]) for d in goal)
+        # Each step's expression holds the one before once, so the steps need no table between them.
+        rate = F.greatest(F.lit(0.0), rate * (1 - step * ridge) - (pull - ridge) * step)
+        if max(abs(got[d] - goal[d]) for d in goal) < 1e-9 * every:
+            break
+    return rate
+
+
+def met_rate(rows: DataFrame, held: dict[str, float], wanted: dict[str, float], every: float, keep: str | None) -> Column:
+    """The rate that brings each domain's expected tokens within ``TOLERANCE`` of its target.
+
+    Where steps no longer change it, a rate is one plus a sum over domains of pulls
+    times posteriors, cut at its floor. Steps are taken on the pulls (one number for
+    each domain), preconditioned by the second moments of the posteriors of rows above
+    their floor, and halved where they overshoot; the ridge is divided by ten each time
+    the pulls have settled and the targets are not met. The floor is zero, and one for
+    rows that ``keep`` is the likeliest domain of; then the total is free, and
+    what a row adds to the domains counts less its share of the targets. Targets that
+    no rates reach are warned of with what was reached: the nearest in the metric above.
+    """
+    names = sorted(wanted)
+    n = len(names)
+    target = np.array([wanted[d] for d in names])
+    weight = np.array([held[d] for d in names]) / every
+    p, floor, aim = [F.col(f"p_{d}") for d in names], F.lit(0.0), target
+    if keep:
+        floor = (F.col(f"p_{keep}") >= F.greatest(*p, F.lit(0.0))).cast("double")
+        p, aim = [x - F.lit(float(t)) for x, t in zip(p, target)], np.zeros(n)
+    pulls, ridge, step, before = np.zeros(n), FIRST_RIDGE, np.zeros(n), None
+    for _ in range(MOST_STEPS):
+        raw = F.lit(1.0) + sum_of(x * F.lit(float(pull)) for x, pull in zip(p, pulls))
+        rate, share = F.greatest(floor, raw), F.col("tokens") / F.lit(every)
+        above = share * (raw > floor).cast("double")
+        found = rows.agg(F.sum(share * rate), F.sum(share * rate * (raw - rate / 2)), *[F.sum(share * rate * x) for x in p], *[
+            F.sum(above * p[i] * p[j]) for i in range(n) for j in range(i + 1)]).first()
+        left, total = np.array(found[2:2 + n]) - aim, found[0] if keep else 1.0
+        near = TOLERANCE * target * total
+        if (np.abs(left) <= near).all():
+            return rate
+        moments = np.zeros((n, n))
+        moments[np.tril_indices(n)] = found[2 + n:]
+        moments = moments + np.tril(moments, -1).T + np.diag(ridge * weight)
+        slope, value = left + ridge * weight * pulls, found[1] - pulls @ aim + ridge * (weight * pulls * pulls).sum() / 2
+        if before is not None and value > before[0] + 1e-12 * (1 + abs(before[0])) and np.abs(step).max() > 1e-12:
+            step = step / 2
+            pulls = before[1] + step
+            continue
+        before = value, pulls
+        if (np.abs(slope) <= near / 10).all():
+            if ridge <= LAST_RIDGE:
+                break
+            # The next step starts here, under a tenth of the ridge: what it adds to slope, moments and value changes.
+            slope, moments = slope - 0.9 * ridge * weight * pulls, moments - np.diag(0.9 * ridge * weight)
+            before = value - 0.45 * ridge * (weight * pulls * pulls).sum(), pulls
+            ridge /= 10
+        step = -np.linalg.solve(moments, slope)
+        pulls = pulls + step
+    reached = {d: round(float(x / (t * total) + 1), 4) for d, x, t in zip(names, left, target)}
+    warnings.warn(f"no rates meet the targets; expected tokens over target by domain: {reached}", stacklevel=2)
+    return rate
+
+
+def fit_rates(rows: DataFrame, targets: dict[str, float], steps: int | None, ridge: float | None, keep: str | None
+              ) -> DataFrame:
+    """Adds rate. ``keep`` names a domain that loses no document: rows that it is the likeliest of have
+    a rate of at least one, and the total follows. Plain steps choose the total by the domain's tokens instead."""
     domains = sorted(targets)
     now = rows.agg(F.sum("tokens").alias("all"), *[F.sum(F.col("tokens") * F.col(f"p_{d}")).alias(d) for d in domains]).first()
     every = float(now["all"] or 0)
@@ -128,23 +203,17 @@ def fit_rates(rows: DataFrame, targets: dict[str, float], steps: int, ridge: flo
         return rows.withColumn("rate", F.lit(1.0))
     held = {d: max(now[d], 1e-9 * every) for d in domains}
     whole = sum(targets.values())
-    total = held[keep] * whole / targets[keep] if keep else every
-    goal = {d: total * targets[d] / whole for d in domains}
-    step = 1 / (1 + ridge)
-    rate = F.lit(1.0)
-    for _ in range(steps):
-        got = rows.agg(*[F.sum(F.col("tokens") * F.col(f"p_{d}") * rate).alias(d) for d in domains]).first()
-        pull = sum_of(F.col(f"p_{d}") * F.lit((got[d] - goal[d]) / held[d]) for d in domains)
-        # Each step's expression holds the one before once, so the steps need no table between them.
-        rate = F.greatest(F.lit(0.0), rate * (1 - step * ridge) - (pull - ridge) * step)
-        if max(abs(got[d] - goal[d]) for d in domains) < 1e-9 * every:
-            break
-    return rows.withColumn("rate", rate)
+    wanted = {d: targets[d] / whole for d in domains}
+    if steps is None:
+        return rows.withColumn("rate", met_rate(rows, held, wanted, every, keep))
+    total = held[keep] / wanted[keep] if keep else every
+    goal = {d: total * wanted[d] for d in domains}
+    return rows.withColumn("rate", plain_rate(rows, held, goal, steps, ridge or 0.0))
 
 
 def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, domain: str = DOMAIN,
-                 fit_documents: int = FIT_DOCUMENTS, words: int = WORDS, bins: int = BINS, steps: int = STEPS,
-                 ridge: float = RIDGE, keep: str | None = None) -> DataFrame:
+                 fit_documents: int = FIT_DOCUMENTS, words: int = WORDS, bins: int = BINS, steps: int | None = None,
+                 ridge: float | None = None, keep: str | None = None) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): tokens (words), p_<domain> of each target, and rate.
 
     ``targets`` gives each domain's share of all tokens; ``domain`` is a SQL
@@ -152,6 +221,8 @@ def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] |
     one token. A label without a doc_id, or whose domain is not a target, is
     not used; without labels every posterior is the same. Rows of an equal
     doc_id are rated each by their text. With equal texts come equal rates.
+    Steps go on until each domain's expected tokens are within ``TOLERANCE`` of
+    its target; ``steps`` and ``ridge`` ask for so many plain steps instead.
     Other columns are ignored; an empty table gives no row.
     """
     targets = dict(TARGETS if targets is None else targets)

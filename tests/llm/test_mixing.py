@@ -38,6 +38,30 @@ def test_expected_tokens_meet_the_targets(frame, rows, labels):
     assert (sure["p_low"] > 0.5).all()
 
 
+def test_production_parameters_meet_every_target(spark):
+    found = queries.op5_soft_mixing(spark, "/root/testdata/sf0.01").toPandas()
+    got = shares(found)
+    assert all(abs(got[d] / mixing.TARGETS[d] - 1) <= 2 * mixing.TOLERANCE for d in mixing.TARGETS), got
+    assert (found["rate"] >= 0).all()
+
+
+@pytest.mark.parametrize("keep", [None, "high"])
+def test_defaults_meet_every_target(frame, rows, labels, keep):
+    found = mixing.mixing_rates(frame(rows), labels, keep=keep).toPandas()
+    got = shares(found)
+    assert all(abs(got[d] / mixing.TARGETS[d] - 1) <= 2 * mixing.TOLERANCE for d in mixing.TARGETS), got
+    if keep:
+        clean = found["p_high"] >= found[["p_low", "p_toxic"]].max(axis=1)
+        assert clean.sum() > 100 and (found["rate"][clean] >= 1).all()
+    else:
+        assert abs((found["tokens"] * found["rate"]).sum() / found["tokens"].sum() - 1) <= 2 * mixing.TOLERANCE
+
+
+def test_targets_out_of_reach_are_told(frame, rows, labels):
+    with pytest.warns(UserWarning, match="no rates meet the targets"):
+        mixing.mixing_rates(frame(rows), labels.where("false")).count()
+
+
 def test_steps_equal_plain_projected_gradient(frame, rows, labels):
     targets = {"high": 0.7, "low": 0.2, "toxic": 0.1}
     found = mixing.mixing_rates(frame(rows), labels, targets, steps=12, ridge=0.01).toPandas()
