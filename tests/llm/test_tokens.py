@@ -130,6 +130,62 @@ def test_packed_documents(frame, odd_texts):
     assert at == sum(map(len, ids.values()))
 
 
+def test_targets_hold_until_a_queue_runs_dry():
+    draw = random.Random(6)
+    for _ in range(200):
+        length, sequences = draw.choice([4, 8, 16]), draw.randint(1, 4)
+        window = length * sequences
+        n = draw.randint(1, 5)
+        sizes, weights = [draw.randint(1, 300) for _ in range(n)], [draw.randint(1, 9) for _ in range(n)]
+        if min(weights) * window < sum(weights):
+            continue
+        total, filled = sum(sizes), {}
+        for queue, size in enumerate(sizes):
+            parts, begin = packing.phases(sizes, weights, queue), 0
+            while begin < size:
+                end = min(size, begin + draw.randint(1, 60))
+                found, _ = packing.cuts_of(begin, end, parts, total, window, length)
+                ends = [at for at, _, _ in found[1:]] + [end]
+                for (at, sequence, offset), stop in zip(found, ends):
+                    for i in range(stop - at):
+                        assert (sequence, offset + i) not in filled
+                        filled[sequence, offset + i] = queue
+                begin = end
+        assert sorted(s * length + o for s, o in filled) == list(range(total))
+        given, left = [0.0] * n, list(range(n))  # plain renormalisation, a window at a time
+        for k in range(total // window):
+            need = float(window)
+            while need > 1e-9:
+                whole = sum(weights[q] for q in left)
+                step = min([need / whole] + [(sizes[q] - given[q]) / weights[q] for q in left])
+                need -= step * whole
+                for q in left:
+                    given[q] += step * weights[q]
+                left = [q for q in left if sizes[q] - given[q] > 1e-9]
+            for queue in range(n):
+                upto = sum(1 for (s, _), q in filled.items() if q == queue and s < (k + 1) * sequences)
+                assert abs(upto - given[queue]) < 1 + 1e-6
+
+
+def test_target_shares_and_small_sources(frame):
+    rows = [(i, "w " * 30, f"s{i % 2}") for i in range(300)] + [(1000 + i, "w " * 12, f"h{i % 60}") for i in range(240)]
+    docs = frame(rows, "doc_id long, text string, source string").repartition(3)
+    pack = lambda **more: packing.pack_documents(
+        docs, tokens.vocabulary(NAMES[0]), 1, length=16, window_sequences=2, **more).toPandas()
+    got = pack(targets={"s0": 0.6, "s1": 0.3})
+    size = got.groupby("source")["length"].sum()
+    assert size.sum() == got.drop_duplicates("doc_id")["doc_tokens"].sum() and got["doc_id"].nunique() == len(rows)
+    head = got[got["sequence_id"] < 200]
+    assert abs(head[head["source"] == "s0"]["length"].sum() - 0.6 * 3200) <= 1
+    assert abs(head[head["source"] == "s1"]["length"].sum() - 0.3 * 3200) <= 1
+    small = pack()
+    small = small[small["source"].str.startswith("h")]
+    half = small[small["sequence_id"] < small["sequence_id"].max() / 2]
+    assert half["source"].nunique() == 60 and half.groupby("source")["doc_id"].nunique().max() <= 3
+    with pytest.raises(ValueError):
+        pack(targets={"s0": 0.6, "s1": 0.4})
+
+
 def test_empty_table_packs_nothing(frame):
     docs = frame([], "doc_id long, text string, source string")
     assert packing.pack_documents(docs, tokens.vocabulary(NAMES[0])).count() == 0
