@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rivermart.llm import (
-    bitpack, common, fim, jaccard, langid, mixing, neighbours, packing, pii, quality, sketch, suffixes, tokens, tries)
+    bitpack, common, conversations, fim, jaccard, langid, mixing, neighbours, packing, pii, quality, sketch, suffixes, tokens,
+    tries)
 from rivermart.sources.storage import work_folder
 from rivermart.sources.tables import read_table
 
@@ -71,10 +72,14 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("restored", 256).alias("restored_sha256"))
 
 
+def op13_repaired_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.damage_and_repair(_table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (op1_site_quality, op2_surrogates, op3_nn_descent, op4_scaled_sketch, op5_soft_mixing,
              op6_suffix_dedup, op7_bit_packed_ids, op8_jaccard_components, op9_language, op10_mixture_packing,
-             op11_trie_owners, op12_fill_in_middle)
+             op11_trie_owners, op12_fill_in_middle, op13_repaired_conversations)
     return {query.__name__: query for query in every}
 
 

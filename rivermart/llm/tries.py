@@ -38,7 +38,11 @@ ENTRY = [("task", pa.int32()), ("string", pa.int64()), ("row", pa.int64()), ("do
          ("times", pa.int64()), ("own_task", pa.int32()), ("sha256", pa.string()), ("n_bytes", pa.int64()), ("text", pa.binary())]
 ENTRY_SCHEMA = ("task int, string long, row long, doc_id long, chars long, times long, own_task int, "
                 "sha256 string, n_bytes long, text binary")
-SPILLED = object()
+
+
+class Spilled:
+    """The entry of a place whose strings were given away."""
+
 
 
 class Node:
@@ -68,9 +72,9 @@ class Trie:
         self.root, self.size = Node(b""), 0
 
     def place(self, key: bytes) -> Node:
-        """The node where ``key`` ends, made if there is none; one whose entry is SPILLED if it fell into a spilled subtree."""
+        """The node where ``key`` ends, made if there is none; one whose entry is Spilled if it fell into a spilled subtree."""
         node, at = self.root, 0
-        while at < len(key) and node.entry is not SPILLED:
+        while at < len(key) and node.entry is not Spilled:
             if node.below is None:
                 node.below = {}
             child = node.below.get(key[at])
@@ -94,7 +98,7 @@ class Trie:
         while waiting:
             node, path = waiting.pop()
             path += node.label
-            if node.entry is not None and node.entry is not SPILLED:
+            if node.entry is not None and node.entry is not Spilled:
                 yield path, node.entry
             if node.below:
                 waiting += [(child, path) for child in node.below.values()]
@@ -109,7 +113,7 @@ class Trie:
         found: dict[Node, tuple[int, int]] = {}
         for node in reversed(order):
             below = [found[child] for child in (node.below or {}).values()]
-            own = node.entry is not None and node.entry is not SPILLED
+            own = node.entry is not None and node.entry is not Spilled
             found[node] = (len(node.label) + NODE_BYTES + sum(b for b, _ in below), own + sum(n for _, n in below))
         return found
 
@@ -128,7 +132,7 @@ class Trie:
             path += node.label
             node = max(below, key=lambda child: measured[child][0])
         gone = list(self.strings(node, path))
-        node.entry, node.below = SPILLED, None
+        node.entry, node.below = Spilled, None
         self.size -= measured[node][0] - len(node.label) - NODE_BYTES
         return gone
 
@@ -204,7 +208,7 @@ def _settle(budget: int):
             for batch in batches:
                 for key, *member in zip(batch.column("text").to_pylist(), *(batch.column(name).to_pylist() for name in names)):
                     node = trie.place(key)
-                    if node.entry is SPILLED:
+                    if node.entry is Spilled:
                         yield *member, member[0], None, len(key), key
                         continue
                     if node.entry is None:
