@@ -58,10 +58,27 @@ def spread_by_user(orders: DataFrame, skew: Skew = DEFAULT,
                   **{_FIRST: F.min(F.struct("create_time", "id"))})
 
 
-def flag_first(orders: Spread, state: DataFrame | None = None) -> Spread:
+def with_new_users(orders: DataFrame) -> DataFrame:
+    """A stream's orders, and a row with ``_new`` for each user when the first order comes.
+
+    Users stay known for good: that one has ordered is what the stream remembers.
+    """
+    first = orders.select("user_id").dropDuplicates(["user_id"])
+    marks = first.select(*(F.col("user_id") if field.name == "user_id" else F.lit(None).cast(field.dataType).alias(field.name)
+                           for field in orders.schema), F.lit(True).alias("_new"))
+    return orders.withColumn("_new", F.lit(False)).unionByName(marks)
+
+
+def parted_by_mark(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The orders of a batch of ``with_new_users``, and the users (user_id) who are new in it."""
+    return rows.where("NOT _new").drop("_new"), rows.where("_new").select("user_id")
+
+
+def flag_first(orders: Spread, state: DataFrame | None = None, fresh: DataFrame | None = None) -> Spread:
     """if_first_order: '1' for a user's earliest order if no earlier batch had one, else '0'.
 
-    ``state`` is (user_id, if_consumed); no row or '0' means no order so far.
+    ``state`` is (user_id, if_consumed); no row or '0' means no order so far. Or
+    ``fresh`` (user_id) are the users of whom no earlier batch had an order.
     """
     place = Window.partitionBy(*orders.keys).orderBy("create_time", "id")
     rows = orders.rows.withColumn("_place", F.row_number().over(place))
@@ -74,9 +91,13 @@ def flag_first(orders: Spread, state: DataFrame | None = None) -> Spread:
                            rows.schema["user_id"].dataType.simpleString())
         ranked = lookup_spread(ranked, side)
         earliest = earliest & (F.col("_consumed").isNull() | (F.col("_consumed") == "0"))
+    if fresh is not None:
+        side = lookup_side(fresh, "user_id", {"_fresh": F.lit(True)})
+        ranked = lookup_spread(ranked, side)
+        earliest = earliest & F.col("_fresh").isNotNull()
     flag = F.when(earliest, F.lit("1")).otherwise(F.lit("0"))
     return orders.on(ranked.rows.withColumn("if_first_order", flag)
-                     .drop("_place", "_consumed"))
+                     .drop("_place", "_consumed", "_fresh"))
 
 
 def first_order_flag(orders: DataFrame, state: DataFrame | None = None,
@@ -112,7 +133,7 @@ def with_user(orders: DataFrame, users: DataFrame, as_of: Column | None = None,
 def enrich_orders(orders: DataFrame, provinces: DataFrame, users: DataFrame,
                   state: DataFrame | None = None, as_of: Column | None = None,
                   keep: tuple[str, ...] = (), skew: Skew = DEFAULT,
-                  counted: DataFrame | None = None) -> DataFrame:
+                  counted: DataFrame | None = None, fresh: DataFrame | None = None) -> DataFrame:
     """First-order flag, user and province in one go; ``keep`` columns are passed on.
 
     The flag's ranking, the state lookup and the user lookup share one shuffle
@@ -120,7 +141,7 @@ def enrich_orders(orders: DataFrame, provinces: DataFrame, users: DataFrame,
     """
     columns = _user_columns(F.current_date() if as_of is None else as_of)
     derived = ("if_first_order", "province_name", "province_area_code", *columns)
-    per_user = flag_first(spread_by_user(orders.drop(*derived), skew, counted), state)
+    per_user = flag_first(spread_by_user(orders.drop(*derived), skew, counted), state, fresh)
     side = lookup_side(users, "id", columns, orders.schema["user_id"].dataType.simpleString())
     per_user = lookup_spread(per_user, side)
     counted = orders if counted is None else counted

@@ -128,17 +128,15 @@ _WIDE_INFO = """i.order_status, i.create_time, i.user_id, i.benefit_reduce_amoun
   i.original_total_amount, i.feight_fee, i.final_total_amount"""
 
 _PLAIN_WIDE = """
-SELECT d.id AS order_detail_id, i.o_orderkey AS order_id, i.o_orderstatus AS order_status,
-  i.create_time, i.o_custkey AS user_id, d.sku_id, CAST(0 AS DOUBLE) AS sku_price, d.sku_num, d.sku_name,
-  CAST(0 AS DOUBLE) AS benefit_reduce_amount, CAST(0 AS DOUBLE) AS original_total_amount,
-  CAST(i.final AS DOUBLE) / 100 AS feight_fee, i.o_totalprice AS final_total_amount,
+SELECT d.id AS order_detail_id, i.id AS order_id, i.order_status, i.create_time, i.user_id, d.sku_id, d.sku_price,
+  d.sku_num, d.sku_name, i.benefit_reduce_amount, i.original_total_amount, i.feight_fee, i.final_total_amount,
   CAST(0 AS DOUBLE) AS final_detail_amount, CAST(NULL AS VARCHAR) AS if_first_order,
   CAST(NULL AS VARCHAR) AS province_name, CAST(NULL AS VARCHAR) AS province_area_code,
   CAST(NULL AS VARCHAR) AS user_age_group, CAST(NULL AS VARCHAR) AS user_gender,
-  substr(i.create_time, 1, 10) AS dt, CAST(0 AS BIGINT) AS spu_id, CAST(0 AS BIGINT) AS tm_id,
+  i.create_date AS dt, CAST(0 AS BIGINT) AS spu_id, CAST(0 AS BIGINT) AS tm_id,
   CAST(0 AS BIGINT) AS category3_id, CAST(NULL AS VARCHAR) AS spu_name,
   CAST(NULL AS VARCHAR) AS tm_name, CAST(NULL AS VARCHAR) AS category3_name
-FROM {lines} d JOIN source_order i ON i.o_orderkey = d.order_id"""
+FROM {lines} d JOIN order_info i ON i.id = d.order_id"""
 
 _NULL_ENRICHMENT = """CAST(NULL AS VARCHAR) AS if_first_order, CAST(NULL AS VARCHAR) AS province_name,
   CAST(NULL AS VARCHAR) AS province_area_code, CAST(NULL AS VARCHAR) AS user_age_group,
@@ -232,11 +230,10 @@ BODIES = {
       WHERE start IN (detail_batch, detail_batch - 1)""",
     "wide_join": _PLAIN_WIDE.format(lines="line_once") + """
       WHERE d.id IN (SELECT order_detail_id FROM pair WHERE abs(order_batch - detail_batch) <= 1)""",
-    "wide_dedup": f"""
-      SELECT * EXCLUDE (n) FROM (
-        SELECT * REPLACE (order_id * 10 + (order_detail_id // 34359738368) % 8 AS order_detail_id),
-               row_number() OVER (PARTITION BY order_id, (order_detail_id // 34359738368) % 8
-                                  ORDER BY sku_id, sku_num) AS n FROM ({_PLAIN_WIDE.format(lines='line')})) WHERE n = 1""",
+    "wide_dedup": _PLAIN_WIDE.format(lines="""(
+        SELECT * REPLACE (order_id * 10 + l_linenumber AS id) FROM (
+          SELECT *, row_number() OVER (PARTITION BY order_id, l_linenumber ORDER BY sku_id, sku_num) AS n FROM line)
+        WHERE n = 1)"""),
     "amount_split": "SELECT order_id, order_detail_id, sku_num, sku_price, final_detail_amount FROM " + _split("line"),
     "amount_split_incremental": """
       SELECT batch, order_id, order_detail_id, sku_num, sku_price, final_detail_amount FROM """ + _split("line"),
@@ -263,11 +260,13 @@ BODIES = {
       FROM order_info o JOIN first_order f ON f.id = o.id
       LEFT JOIN province p ON p.id = CAST(o.province_id AS VARCHAR)
       LEFT JOIN known_user u ON u.c_custkey = o.user_id""",
-    "stream_wide_join": """SELECT DISTINCT order_id, order_detail_id FROM pair
-      WHERE abs(order_batch - detail_batch) <= 1""",
+    "stream_late_lines": """SELECT order_id, id, sku_id, sku_num, sku_price FROM line_once
+      WHERE order_id IN (SELECT o_orderkey FROM orders) AND 2 * l_linenumber > 3""",
 }
+BODIES["stream_dim_published"] = f"""SELECT * FROM ({BODIES["dim_spu"]})
+      WHERE id IN (SELECT CAST(p_partkey // 4 AS VARCHAR) FROM part WHERE p_size <= 5)"""
 # Streams that end with the rows of a batch query.
-TWINS = {"stream_cdc_route": "cdc_maxwell_route", "stream_resume": "cdc_maxwell_route",
+TWINS = {"stream_cdc_route": "cdc_maxwell_route", "stream_wide_join": "wide_join", "stream_resume": "cdc_maxwell_route",
          "stream_dim_upsert": "dim_spu", "stream_order_wide": "dws_order_wide"}
 
 

@@ -15,25 +15,29 @@ from rivermart.functions import json_fields
 from rivermart.operators import dims, orders, wide
 from rivermart.operators.lookup import keyed_scan
 from rivermart.plans.testbed import Testbed, as_json
-from rivermart.sources.keyed_table import KeyedTable
+from rivermart.sources.published import PublishedTable
 from rivermart.sources.sinks import to_folder
 from rivermart.sources.storage import work_folder
 from rivermart.sources.streams import read_stream
-from rivermart.streaming import jobs
+from rivermart.streaming import jobs, state
 
 SLICES = 2
 AVAILABLE = {"availableNow": True}
 
 
 class Feed:
-    """One run: its folder, and inputs that are handed out slice by slice."""
+    """One run: its folder, and inputs that are handed out slice by slice.
 
-    def __init__(self, bed: Testbed, name: str):
+    ``idle`` lets batches without input run, which give what only time brings about.
+    """
+
+    def __init__(self, bed: Testbed, name: str, idle: bool = False):
         self.spark = bed.spark.newSession()
         # State is kept per shuffle partition, so their number is fixed at the first start.
         self.spark.conf.set("spark.sql.shuffle.partitions",
                             str(self.spark.sparkContext.defaultParallelism))
         self.spark.conf.set("spark.sql.session.timeZone", bed.spark.conf.get("spark.sql.session.timeZone"))
+        self.spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", str(idle).lower())
         self.bed = Testbed(self.spark, bed.sf_dir)
         self.folder = work_folder(bed.spark, name)
         self.staged: dict[str, DataFrame] = {}
@@ -114,16 +118,31 @@ def stream_resume(bed: Testbed) -> DataFrame:
 
 
 def stream_dim_upsert(bed: Testbed) -> DataFrame:
+    """The table as the stream's state has it."""
     feed = Feed(bed, "dim_upsert")
     changes = feed.bed.spu_feed()
     last = changes.agg(F.max("offset")).first()[0]
     feed.stage("changes", changes, F.floor(F.col("offset") * SLICES / F.lit(last + 1)))
-    table = KeyedTable(feed.spark, feed.path("spu"), schemas.ddl(schemas.SPU), ("id",),
-                       compact_every=2)
+    table = PublishedTable(feed.spark, feed.path("spu"), schemas.ddl(schemas.SPU))
+    feed.run(lambda: jobs.maintain_dimension(
+        feed.stream("changes"), lambda rows: dims.spu(rows, keep=("offset",)), table, ["offset"],
+        feed.path("checkpoint")))
+    return state.dimension_state(bed.spark, feed.path("checkpoint")).select(*schemas.SPU)
+
+
+def stream_dim_published(bed: Testbed) -> DataFrame:
+    """The same table as other jobs read it: of the keys that some facts name, from sorted files."""
+    feed = Feed(bed, "dim_published")
+    changes = feed.bed.spu_feed()
+    last = changes.agg(F.max("offset")).first()[0]
+    feed.stage("changes", changes, F.floor(F.col("offset") * SLICES / F.lit(last + 1)))
+    table = PublishedTable(feed.spark, feed.path("spu"), schemas.ddl(schemas.SPU), every=1)
     feed.run(lambda: jobs.maintain_dimension(
         feed.stream("changes"), lambda rows: dims.spu(rows, keep=("offset",)), table, ["offset"],
         feed.path("checkpoint")))
-    return table.read()
+    wanted = bed.table("part").where(F.col("p_size") <= 5).select(bed.spu_id().alias("k"))
+    published = PublishedTable(bed.spark, table.path, table.columns, every=1)
+    return published.read_keys(wanted, "k")
 
 
 def stream_dau(bed: Testbed) -> DataFrame:
@@ -142,13 +161,9 @@ def _keyed(table: Callable[[], DataFrame]) -> jobs.KeyedRead:
 
 
 def _order_info_writer(feed: Feed, keep: tuple[str, ...] = ()):
-    state = KeyedTable(feed.spark, feed.path("user_state"), schemas.ddl(schemas.USER_STATE),
-                       ("user_id",), compact_every=2)
     as_of = F.lit("2024-01-01").cast("date")
-    return jobs.order_info_job(feed.stream("orders"), feed.bed.provinces,
-                               _keyed(feed.bed.users), state,
-                               to_folder(feed.path("dwd_orders")), feed.path("checkpoint/orders"),
-                               as_of, keep)
+    return jobs.order_info_job(feed.stream("orders"), feed.bed.provinces, _keyed(feed.bed.users),
+                               to_folder(feed.path("dwd_orders")), feed.path("checkpoint/orders"), as_of, keep)
 
 
 def _timed_orders(bed: Testbed) -> DataFrame:
@@ -164,21 +179,47 @@ def stream_order_info(bed: Testbed) -> DataFrame:
     return orders.parse_order_records(records)
 
 
+def _arrivals(feed: Feed) -> tuple:
+    """Stage orders and their lines by the second of their arrival; gives the first and last order's."""
+    info = feed.bed.at(orders.with_time_parts(feed.bed.order_info()), "id", "order_ts")
+    detail = feed.bed.at(feed.bed.priced_detail("l_linenumber"), "order_id", "detail_ts", "l_linenumber")
+    detail = detail.select(*schemas.ORDER_DETAIL, "detail_ts")
+    bounds = _bounds(feed.bed.at(feed.bed.order_times(), "id", "order_ts"), "order_ts")
+    feed.stage("info", info, _time_slice("order_ts", bounds))
+    feed.stage("detail", detail, _time_slice("detail_ts", bounds))
+    return bounds
+
+
 def stream_wide_join(bed: Testbed) -> DataFrame:
     feed = Feed(bed, "wide_join")
-    info = feed.bed.at(orders.with_time_parts(feed.bed.order_info(totals=False)), "id", "order_ts")
-    detail = feed.bed.at(feed.bed.order_detail("l_linenumber"), "order_id", "detail_ts", "l_linenumber")
-    bounds = _bounds(info, "order_ts")
-    feed.stage("info", info, _time_slice("order_ts", bounds))
-    feed.stage("detail", detail.drop("l_linenumber"), _time_slice("detail_ts", bounds))
+    _arrivals(feed)
     feed.run(lambda: _file_sink(
-        jobs.wide_pairs(feed.stream("info"), feed.stream("detail"), "30 seconds", salts=2)
-        .select("order_id", "order_detail_id"), feed))
+        jobs.wide_pairs(feed.stream("info"), feed.stream("detail"), "30 seconds", salts=2).drop("at"), feed))
     return bed.spark.read.parquet(feed.path("out"))
 
 
+def stream_late_lines(bed: Testbed) -> DataFrame:
+    """Lines more than three seconds behind their order; an hour later comes one more of each, which moves
+    the watermark past all the others."""
+    feed = Feed(bed, "late_lines", idle=True)
+    _, last = _arrivals(feed)
+    later = F.lit(last) + F.expr("INTERVAL 1 HOUR")
+    for name, time in (("info", "order_ts"), ("detail", "detail_ts")):
+        rows = feed.staged[name]
+        known = {time: later, "_slice": F.lit(SLICES - 1), "id": F.lit(-1), "order_id": F.lit(-2)}
+        mark = feed.spark.range(1).select(*(
+            known.get(field.name, F.lit(None)).cast(field.dataType).alias(field.name) for field in rows.schema))
+        feed.staged[name] = rows.unionByName(mark)
+
+    def writer():
+        lines = jobs.unmatched_lines(feed.stream("info"), feed.stream("detail"), "30 seconds", "3 seconds")
+        return _file_sink(lines.select("order_id", "id", "sku_id", "sku_num", "sku_price"), feed)
+    feed.run(writer)
+    return bed.spark.read.parquet(feed.path("out")).where("id >= 0")
+
+
 def stream_order_wide(bed: Testbed) -> DataFrame:
-    """Raw order and detail records through all three jobs to wide rows."""
+    """Raw order and detail records through all four jobs to wide rows."""
     feed = Feed(bed, "order_wide")
     timed = _timed_orders(feed.bed)
     bounds = _bounds(timed, "order_ts")
@@ -192,29 +233,25 @@ def stream_order_wide(bed: Testbed) -> DataFrame:
               .drop("_order", "_created", "l_linenumber"))
     feed.stage("details", as_json(detail, "detail_ts"), _time_slice("detail_ts", bounds))
 
-    year = {"day": "dt", "day_length": 4}
-    emitted = KeyedTable(feed.spark, feed.path("emitted"), "dt string, order_detail_id bigint",
-                         ("order_detail_id",), insert_only=True, **year)
-    sums = KeyedTable(feed.spark, feed.path("sums"),
-                      f"dt string, {schemas.ddl(schemas.AMOUNT_STATE)}", ("order_id",),
-                      compact_every=2, **year)
-
     def detail_writer():
         return jobs.order_detail_job(feed.stream("details"), _keyed(feed.bed.flat_skus),
                                      to_folder(feed.path("dwd_details")),
                                      feed.path("checkpoint/details"),
                                      keep=("detail_ts",))
 
-    def wide_writer():
+    def pair_writer():
         info, lines = (read_stream(feed.spark, "parquet", feed.path(name),
                                    f"{schemas.RECORD}, {time} timestamp, batch bigint")
                        for name, time in (("dwd_orders", "order_ts"), ("dwd_details", "detail_ts")))
         pairs = jobs.wide_pairs(orders.parse_order_records(info, "order_ts"),
                                 orders.order_detail(lines, keep=("detail_ts",)), "1 minute", "1 minute")
-        return jobs.order_wide_job(pairs, emitted, sums, to_folder(feed.path("dws")),
-                                   feed.path("checkpoint/wide"))
+        return jobs.order_pair_job(pairs, to_folder(feed.path("pairs")), feed.path("checkpoint/pairs"))
+
+    def wide_writer():
+        records = read_stream(feed.spark, "parquet", feed.path("pairs"), f"{schemas.RECORD}, batch bigint")
+        return jobs.order_wide_job(wide.parse_pairs(records), to_folder(feed.path("dws")), feed.path("checkpoint/wide"))
 
-    feed.run(lambda: _order_info_writer(feed, keep=("order_ts",)), detail_writer, wide_writer)
+    feed.run(lambda: _order_info_writer(feed, keep=("order_ts",)), detail_writer, pair_writer, wide_writer)
     records = bed.spark.read.schema(schemas.RECORD).parquet(feed.path("dws"))
     return wide.parse_wide_records(records)
 
@@ -222,9 +259,11 @@ def stream_order_wide(bed: Testbed) -> DataFrame:
 STREAM_QUERIES: dict[str, Callable[[Testbed], DataFrame]] = {
     "stream_cdc_route": stream_cdc_route,
     "stream_dim_upsert": stream_dim_upsert,
+    "stream_dim_published": stream_dim_published,
     "stream_dau": stream_dau,
     "stream_order_info": stream_order_info,
     "stream_wide_join": stream_wide_join,
+    "stream_late_lines": stream_late_lines,
     "stream_order_wide": stream_order_wide,
     "stream_resume": stream_resume,
 }

@@ -96,13 +96,14 @@ class Testbed:
     def _trademark(self) -> Column:
         return F.regexp_extract("p_brand", r"(\d+)", 1)
 
-    def _spu(self) -> Column:
+    @staticmethod
+    def spu_id() -> Column:
         return F.call_function("div", F.col("p_partkey"), F.lit(4).cast("bigint"))
 
     def skus(self) -> DataFrame:
         """SKU rows before flattening."""
         return self.table("part").select(
-            _text("p_partkey").alias("id"), _text(self._spu()).alias("spu_id"),
+            _text("p_partkey").alias("id"), _text(self.spu_id()).alias("spu_id"),
             F.col("p_retailprice").alias("price"), F.col("p_name").alias("sku_name"),
             F.concat_ws(" ", "p_type", "p_name").alias("sku_desc"),
             (F.col("p_size") / F.lit(10.0)).alias("weight"), self._trademark().alias("tm_id"),
@@ -128,7 +129,7 @@ class Testbed:
 
     def spus(self) -> DataFrame:
         return (self.table("part").filter(F.col("p_type") != LEFT_OUT_SPU_TYPE)
-                .select(_text(self._spu()).alias("id"))
+                .select(_text(self.spu_id()).alias("id"))
                 .distinct().withColumn("spu_name", F.concat(F.lit("spu_"), "id")))
 
     def flat_skus(self, complete: bool = True) -> DataFrame:
@@ -137,12 +138,12 @@ class Testbed:
         if not complete:
             part = part.filter(F.col("p_type") != LEFT_OUT_SKU_TYPE)
         return part.select(
-            _text("p_partkey").alias("id"), _text(self._spu()).alias("spu_id"),
+            _text("p_partkey").alias("id"), _text(self.spu_id()).alias("spu_id"),
             F.col("p_retailprice").alias("price"), F.col("p_name").alias("sku_name"),
             self._trademark().alias("tm_id"), F.col("p_brand").alias("tm_name"),
             _text("p_size").alias("category3_id"),
             F.concat(F.lit("category3 "), "p_size").alias("category3_name"),
-            F.concat(F.lit("spu_"), self._spu()).alias("spu_name"))
+            F.concat(F.lit("spu_"), self.spu_id()).alias("spu_name"))
 
     # ------------------------------------------------- change feeds of the dims
 
@@ -158,7 +159,7 @@ class Testbed:
 
     def spu_feed(self) -> DataFrame:
         return as_json(self.table("part").select(
-            self._spu().alias("id"), F.concat(F.lit("spu_"), self._spu()).alias("spu_name"),
+            self.spu_id().alias("id"), F.concat(F.lit("spu_"), self.spu_id()).alias("spu_name"),
             F.col("p_name").alias("description"), F.col("p_size").alias("category3_id"),
             self._trademark().alias("tm_id"), F.col("p_partkey").alias("offset")), "offset")
 

@@ -26,39 +26,12 @@ def _located(spark: SparkSession, folder: str):
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
 
 
-def folder_bytes(spark: SparkSession, folder: str) -> int:
-    files, path = _located(spark, folder)
-    return files.getContentSummary(path).getLength()
-
-
 def remove_folder(spark: SparkSession, folder: str) -> None:
     files, path = _located(spark, folder)
     files.delete(path, True)
 
 
-def read_text(spark: SparkSession, file: str) -> str | None:
-    """A small text file; None if there is none."""
-    files, path = _located(spark, file)
-    if not files.exists(path):
-        return None
-    stream = files.open(path)
-    try:
-        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
-def replace_text(spark: SparkSession, file: str, text: str) -> None:
-    """Write a small text file; readers see the old one or the new one, nothing between."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    files, path = _located(spark, file)
-    fresh = hadoop.Path(f"{file}.{uuid.uuid4().hex}")
-    stream = files.create(fresh, True)
-    try:
-        stream.write(bytearray(text.encode()))
-    finally:
-        stream.close()
-    overwrite = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
-    overwrite[0] = getattr(hadoop, "Options$Rename").OVERWRITE
-    hadoop.FileContext.getFileContext(files.getUri(), spark._jsc.hadoopConfiguration()).rename(
-        files.makeQualified(fresh), files.makeQualified(path), overwrite)
+def finished_batches(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers of the folders batch=<number> that Spark has written to the end, in order."""
+    files, path = _located(spark, f"{folder}/batch=*/_SUCCESS")
+    return sorted(int(mark.getPath().getParent().getName().split("=")[1]) for mark in files.globStatus(path) or ())

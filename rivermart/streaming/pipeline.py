@@ -1,4 +1,4 @@
-"""The thirteen jobs, wired to topics and tables.
+"""The pipeline's jobs, wired to topics and tables.
 
     python -m rivermart.streaming.pipeline order_info --topics kafka:host:9092 --root s3a://shop
 
@@ -17,10 +17,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from rivermart import schemas
-from rivermart.operators import dims, orders
+from rivermart.operators import dims, orders, wide
 from rivermart.session import build_session
-from rivermart.sources.keyed_table import KeyedTable
-from rivermart.sources.sinks import Emit, to_folder, to_kafka
+from rivermart.sources.published import PublishedTable
+from rivermart.sources.sinks import Emit, to_folder, to_kafka, to_records
 from rivermart.sources.streams import read_stream
 from rivermart.streaming import jobs
 
@@ -37,7 +37,7 @@ PACE = {
     "maxwell_router": (3, 500), "canal_router": (3, 150), "category1": (3, None),
     "category2": (3, None), "category3": (3, None), "spu": (3, None), "user": (3, None),
     "province": (3, None), "sku": (3, None), "order_info": (5, 200), "order_detail": (3, 500),
-    "order_wide": (3, 500), "dau": (3, 50)}
+    "order_pair": (3, 500), "order_wide": (3, 500), "late_lines": (3, 500), "dau": (3, 50)}
 
 
 @dataclass(frozen=True)
@@ -83,11 +83,9 @@ class Site:
     def emit(self, topic: str) -> Emit:
         return to_kafka(self.kafka) if self.kafka else to_folder(self.topic_folder(topic))
 
-    def table(self, name: str, columns: dict[str, str], key: str = "id", **options) -> KeyedTable:
-        return KeyedTable(self.spark, f"{self.root}/tables/{name}", schemas.ddl(columns), (key,), **options)
-
-    def dimension(self, name: str) -> KeyedTable:
-        return self.table(name, DIMENSIONS[name], "tm_id" if name == "trademark" else "id")
+    def dimension(self, name: str) -> PublishedTable:
+        return PublishedTable(self.spark, f"{self.root}/tables/{name}", schemas.ddl(DIMENSIONS[name]),
+                              "tm_id" if name == "trademark" else "id")
 
 
 # Table -> columns. Region and trademark are filled from outside the pipeline.
@@ -107,33 +105,31 @@ def _router(envelope: str, topic: str) -> Callable[[Site, str], DataStreamWriter
     return job
 
 
-def _dimension(table: str, project: Callable[[Site, DataFrame], DataFrame]
+def _dimension(table: str, project: Callable[..., DataFrame],
+               complete: Callable[[Site, DataFrame], DataFrame] = lambda _, rows: rows
                ) -> Callable[[Site, str], DataStreamWriter]:
     def job(site: Site, name: str) -> DataStreamWriter:
-        return jobs.maintain_dimension(site.source_records(table, name),
-                                       lambda batch: project(site, batch), site.dimension(name),
-                                       list(ARRIVAL[:1]), site.checkpoint(name))
+        order = ARRIVAL[:1]
+        return jobs.maintain_dimension(
+            site.source_records(table, name), lambda records: project(records, keep=order), site.dimension(name),
+            list(order), site.checkpoint(name), lambda rows: complete(site, rows))
     return job
 
 
-def _province(site: Site, batch: DataFrame) -> DataFrame:
-    rows = dims.province(batch, keep=ARRIVAL[:1])
-    return dims.with_region(rows, site.dimension("region").read()).select(
-        *schemas.PROVINCE, *ARRIVAL[:1])
+def _with_region(site: Site, rows: DataFrame) -> DataFrame:
+    return dims.with_region(rows, site.dimension("region").read()).select(*schemas.PROVINCE)
 
 
-def _sku(site: Site, batch: DataFrame) -> DataFrame:
+def _flattened(site: Site, rows: DataFrame) -> DataFrame:
     parents = (site.dimension(name).read()
                for name in ("trademark", "category3", "category2", "category1", "spu"))
-    return dims.flatten_sku(dims.sku(batch, keep=ARRIVAL[:1]), *parents)
+    return dims.flatten_sku(rows, *parents)
 
 
 def _order_info(site: Site, name: str) -> DataStreamWriter:
-    state = site.table("user_state", schemas.USER_STATE, "user_id")
     return jobs.order_info_job(
         site.source_records("order_info", name), lambda: site.dimension("province").read(),
-        site.dimension("user").read_keys, state, site.emit(jobs.ORDER_TOPIC),
-        site.checkpoint(name), site.as_of)
+        site.dimension("user").read_keys, site.emit(jobs.ORDER_TOPIC), site.checkpoint(name), site.as_of)
 
 
 def _order_detail(site: Site, name: str) -> DataStreamWriter:
@@ -142,18 +138,31 @@ def _order_detail(site: Site, name: str) -> DataStreamWriter:
         site.emit(jobs.DETAIL_TOPIC), site.checkpoint(name))
 
 
+def _arrived(site: Site, name: str) -> tuple[DataFrame, DataFrame]:
+    """Enriched orders and details as they arrive on their topics."""
+    def records(topic: str, time: str) -> DataFrame:
+        rows = site.records(topic, name, f"{schemas.RECORD}, timestamp timestamp, batch bigint")
+        return rows.withColumnRenamed("timestamp", time)
+    return (orders.parse_order_records(records(jobs.ORDER_TOPIC, "order_ts"), "order_ts"),
+            orders.order_detail(records(jobs.DETAIL_TOPIC, "detail_ts"), keep=("detail_ts",)))
+
+
+def _order_pair(site: Site, name: str) -> DataStreamWriter:
+    pairs = jobs.wide_pairs(*_arrived(site, name), site.delay, site.bound, site.salts)
+    return jobs.order_pair_job(pairs, site.emit(jobs.PAIR_TOPIC), site.checkpoint(name))
+
+
 def _order_wide(site: Site, name: str) -> DataStreamWriter:
-    def arrived(topic: str, time: str) -> DataFrame:
-        records = site.records(topic, name, f"{schemas.RECORD}, timestamp timestamp, batch bigint")
-        return records.withColumnRenamed("timestamp", time)
-    pairs = jobs.wide_pairs(
-        orders.parse_order_records(arrived(jobs.ORDER_TOPIC, "order_ts"), "order_ts"),
-        orders.order_detail(arrived(jobs.DETAIL_TOPIC, "detail_ts"), keep=("detail_ts",)),
-        site.delay, site.bound, site.salts)
-    emitted = site.table("emitted", {"dt": "string", "order_detail_id": "bigint"}, "order_detail_id",
-                         insert_only=True, day="dt")
-    sums = site.table("amounts", {"dt": "string", **schemas.AMOUNT_STATE}, "order_id", day="dt")
-    return jobs.order_wide_job(pairs, emitted, sums, site.emit(jobs.WIDE_TOPIC), site.checkpoint(name))
+    records = site.records(jobs.PAIR_TOPIC, name, f"{schemas.RECORD}, batch bigint")
+    return jobs.order_wide_job(wide.parse_pairs(records), site.emit(jobs.WIDE_TOPIC), site.checkpoint(name), site.keep)
+
+
+def _late_lines(site: Site, name: str) -> DataStreamWriter:
+    """Without a bound, pairs meet in windows of six seconds: beyond that a line has surely missed its order."""
+    lines = jobs.unmatched_lines(*_arrived(site, name), site.delay, site.bound or wide.WINDOW)
+    emit = site.emit(jobs.UNMATCHED_TOPIC)
+    return (lines.writeStream.option("checkpointLocation", site.checkpoint(name))
+            .foreachBatch(lambda rows, batch_id: emit(to_records(rows, jobs.UNMATCHED_TOPIC, "id"), batch_id)))
 
 
 def _dau(site: Site, name: str) -> DataStreamWriter:
@@ -166,16 +175,18 @@ def _dau(site: Site, name: str) -> DataStreamWriter:
 JOBS: dict[str, Callable[[Site, str], DataStreamWriter]] = {
     "maxwell_router": _router("maxwell", MAXWELL_TOPIC),
     "canal_router": _router("canal", CANAL_TOPIC),
-    "category1": _dimension("base_category1", lambda _, batch: dims.category1(batch, ARRIVAL[:1])),
-    "category2": _dimension("base_category2", lambda _, batch: dims.category2(batch, ARRIVAL[:1])),
-    "category3": _dimension("base_category3", lambda _, batch: dims.category3(batch, ARRIVAL[:1])),
-    "spu": _dimension("spu_info", lambda _, batch: dims.spu(batch, ARRIVAL[:1])),
-    "user": _dimension("user_info", lambda _, batch: dims.user(batch, ARRIVAL[:1])),
-    "province": _dimension("base_province", _province),
-    "sku": _dimension("sku_info", _sku),
+    "category1": _dimension("base_category1", dims.category1),
+    "category2": _dimension("base_category2", dims.category2),
+    "category3": _dimension("base_category3", dims.category3),
+    "spu": _dimension("spu_info", dims.spu),
+    "user": _dimension("user_info", dims.user),
+    "province": _dimension("base_province", dims.province, _with_region),
+    "sku": _dimension("sku_info", dims.sku, _flattened),
     "order_info": _order_info,
     "order_detail": _order_detail,
+    "order_pair": _order_pair,
     "order_wide": _order_wide,
+    "late_lines": _late_lines,
     "dau": _dau,
 }
 
@@ -196,7 +207,7 @@ def main() -> None:
     parser.add_argument("--delay", default="1 minute", help="how far orders and details may be behind the newest")
     parser.add_argument("--bound", help="join orders and details up to this far apart")
     parser.add_argument("--salts", type=int, default=jobs.SALTS, help="tasks one order is spread over")
-    parser.add_argument("--keep", default="2 days", help="how long a device's visit of a day is known")
+    parser.add_argument("--keep", default="2 days", help="how long a device's visit of a day and an order's lines are known")
     parser.add_argument("--day-from", default="event", choices=("event", "processing"), help="the day of a visit")
     args = parser.parse_args()
     site = Site(build_session(), args.root.rstrip("/"), args.topics.removeprefix("kafka:") or None,

@@ -17,24 +17,23 @@ def skew(request):
 
 def test_sku_category_chain(spark, skew):
     sku = spark.createDataFrame([(
-        '{"sku_desc":"lipstick","tm_id":7,"create_time":"2020-02-28 01:21:13","price":252,'
-        '"sku_default_img":"http://x","weight":0.00,"sku_name":"lipstick","id":15,"spu_id":12,'
-        '"category3_id":%s}' % c3,) for c3 in (477, 478, 479, 480)], "value string")
-    trademarks = spark.createDataFrame([("7", "brand")], "tm_id string, tm_name string")
-    c3 = spark.createDataFrame([("477", "lips", "60"), ("478", "eyes", "61"), ("479", "nails", "62")],
+        '{"id":3001,"sku_name":"oak desk","price":119.5,"weight":31.25,"spu_id":88,"tm_id":21,"colour":"brown",'
+        '"create_time":"2023-11-05 06:07:08","category3_id":%s}' % c3,) for c3 in (901, 902, 903, 904)], "value string")
+    trademarks = spark.createDataFrame([("21", "woodworks")], "tm_id string, tm_name string")
+    c3 = spark.createDataFrame([("901", "desks", "40"), ("902", "lamps", "41"), ("903", "shelves", "42")],
                                schemas.ddl(schemas.CATEGORY3))
-    c2 = spark.createDataFrame([("60", "make-up", "1"), ("62", "care", "9")], schemas.ddl(schemas.CATEGORY2))
-    c1 = spark.createDataFrame([("1", "beauty")], schemas.ddl(schemas.CATEGORY1))
+    c2 = spark.createDataFrame([("40", "office", "5"), ("42", "storage", "8")], schemas.ddl(schemas.CATEGORY2))
+    c1 = spark.createDataFrame([("5", "furniture")], schemas.ddl(schemas.CATEGORY1))
     spus = spark.createDataFrame([("99", "other")], "id string, spu_name string")
     flat = dims.flatten_sku(dims.sku(sku), trademarks, c3, c2, c1, spus, skew)
     assert flat.columns == list(schemas.SKU)
     found = {row.category3_id: row for row in flat.collect()}
     names = {key: (r.category3_name, r.category2_id, r.category2_name, r.category1_id, r.category1_name)
              for key, r in found.items()}
-    assert names == {"477": ("lips", "60", "make-up", "1", "beauty"), "478": ("eyes", "61", None, None, None),
-                     "479": ("nails", "62", "care", "9", None), "480": (None, None, None, None, None)}
-    row = found["477"]
-    assert (row.id, row.price, row.weight, row.tm_name, row.spu_name) == ("15", 252.0, 0.0, "brand", None)
+    assert names == {"901": ("desks", "40", "office", "5", "furniture"), "902": ("lamps", "41", None, None, None),
+                     "903": ("shelves", "42", "storage", "8", None), "904": (None, None, None, None, None)}
+    row = found["901"]
+    assert (row.id, row.price, row.weight, row.tm_name, row.spu_name) == ("3001", 119.5, 31.25, "woodworks", None)
 
 
 def test_category_samples(spark):

@@ -16,7 +16,7 @@ def change(table, **data):
 
 
 def test_every_job_has_a_pace():
-    assert len(JOBS) == 13 and set(JOBS) == set(PACE)
+    assert len(JOBS) == 15 and set(JOBS) == set(PACE)
 
 
 def test_rates_are_capped_only_if_asked_for(spark, monkeypatch):
@@ -45,8 +45,8 @@ def test_from_change_events_to_wide_rows(spark, rows, tmp_path):
         for name in names:
             start_job(site, name, NOW).awaitTermination()
 
-    site.dimension("region").upsert(spark.createDataFrame([("1", "north")], "id string, region_name string"), 0)
-    site.dimension("trademark").upsert(spark.createDataFrame([("7", "brand")], "tm_id string, tm_name string"), 0)
+    site.dimension("region").put(spark.createDataFrame([("1", "north")], "id string, region_name string"), 0)
+    site.dimension("trademark").put(spark.createDataFrame([("7", "brand")], "tm_id string, tm_name string"), 0)
     send(MAXWELL_TOPIC,
          change("base_category1", id=1, name="c1"), change("base_category2", id=2, name="c2", category1_id=1),
          change("base_category3", id=3, name="old", category2_id=2),
@@ -64,8 +64,8 @@ def test_from_change_events_to_wide_rows(spark, rows, tmp_path):
     send(CANAL_TOPIC, json.dumps({"table": "t", "data": [{"id": "1"}, {"id": "2"}]}))
     send(START_LOG_TOPIC, '{"mid":"m","ts":1704067200000}', '{"mid":"m","ts":1704067300000}', '{"mid":"m"}')
     dimensions = ("category1", "category2", "category3", "spu", "user", "province", "sku")
-    flow = ("maxwell_router", "order_info", "order_detail", "order_wide")
-    run("maxwell_router", "canal_router", *dimensions, "order_info", "order_detail", "order_wide", "dau")
+    flow = ("maxwell_router", "order_info", "order_detail", "order_pair", "order_wide")
+    run("maxwell_router", "canal_router", *dimensions, "order_info", "order_detail", "order_pair", "order_wide", "dau")
 
     assert rows(site.dimension("sku").read(), "id", "category1_name", "category3_name", "tm_name", "spu_name") == [
         ("8", "c1", "c3", "brand", "spu")]

@@ -1,152 +1,95 @@
 import json
-import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from rivermart import schemas
-from rivermart.operators import cdc, dims, orders
-from rivermart.sources.keyed_table import KeyedTable
+from rivermart.operators import cdc, dims, orders, wide
+from rivermart.sources.published import PublishedTable, pick_keys
 from rivermart.sources.sinks import to_folder, to_records, write_batch
 from rivermart.sources.storage import work_folder
 from rivermart.sources.streams import read_stream
 from rivermart.sources.tables import read_table
-from rivermart.streaming import jobs
+from rivermart.streaming import jobs, state
 
 NOW = {"availableNow": True}
 
 
 def table(spark, tmp_path, **options):
-    return KeyedTable(spark, str(tmp_path / "table"), "id string, v string, dt string", ("id",), **options)
+    return PublishedTable(spark, str(tmp_path / "table"), "id string, v string", **options)
 
 
 def rows_in(spark, *values):
-    return spark.createDataFrame(values, "id string, v string, dt string")
+    return spark.createDataFrame(values, "id string, v string")
 
 
-def test_keyed_table_reads_the_last_row(spark, rows, tmp_path):
-    users = table(spark, tmp_path)
-    assert users.read().count() == 0
-    users.upsert(rows_in(spark, ("1", "a", "d"), ("2", "b", "d")), 0)
-    users.upsert(rows_in(spark, ("2", "c", "d")), 1)
-    assert rows(users.read(), "id", "v") == [("1", "a"), ("2", "c")]
-    assert rows(users.read(before=1), "id", "v") == [("1", "a"), ("2", "b")]
-
-
-def test_a_repeated_batch_replaces_its_rows(spark, rows, tmp_path):
-    users = table(spark, tmp_path, insert_only=True)
-    users.upsert(rows_in(spark, ("1", "a", "d")), 0)
-    for _ in range(2):
-        users.upsert(rows_in(spark, ("2", "b", "d")), 1)
-    assert rows(users.read(), "id") == [("1",), ("2",)]
+def folders(tmp_path, kind):
+    return sorted(int(f.name.split("=")[1]) for f in (tmp_path / "table" / kind).glob("batch=*"))
 
 
-def folders(tmp_path, kind):
-    return sorted(int(f.name.split("=")[1]) for f in (tmp_path / "table" / kind).iterdir() if "=" in f.name)
-
-
-def test_compaction_keeps_the_table(spark, rows, tmp_path):
-    users = table(spark, tmp_path, compact_every=2, retain=0.0)
-    users.upsert(rows_in(spark, ("1", "a", "d"), ("2", "b", "d")), 0)
-    users.upsert(rows_in(spark, ("2", "c", "d")), 3)
-    users.compact(4)
-    assert folders(tmp_path, "base") == [1] and folders(tmp_path, "changes") == []  # nothing is retained
-    users.upsert(rows_in(spark, ("1", "z", "d")), 4)
-    assert folders(tmp_path, "changes") == [2]
-    assert rows(users.read(), "id", "v") == [("1", "z"), ("2", "c")]
-    assert rows(users.read(before=4), "id", "v") == [("1", "a"), ("2", "c")]
-    users.upsert(rows_in(spark, ("3", "y", "d")), 5)
-    users.compact(6)
-    users.upsert(rows_in(spark, ("4", "x", "d")), 6)
-    assert folders(tmp_path, "base") == [3] and users.read().count() == 4
-
-
-def test_superseded_folders_stay_for_a_while(spark, tmp_path):
-    users = table(spark, tmp_path, compact_every=1, retain=1000.0)
-    for batch in range(4):
-        users.compact(batch)
-        users.upsert(rows_in(spark, ("1", str(batch), "d")), batch)
-    assert folders(tmp_path, "changes") == [0, 1, 2, 3] and folders(tmp_path, "base") == [0, 1, 2]
-    assert len(users.manifest()["changes"]) == 1
-
-
-def test_a_new_checkpoint_keeps_the_state(spark, rows, tmp_path):
-    users = table(spark, tmp_path, compact_every=3)
-    old, new = users.of("old"), users.of("new")
-    for batch in range(4):
-        old.compact(batch)
-        old.upsert(rows_in(spark, (str(batch), f"old{batch}", "d")), batch)
-    assert users.manifest()["base"] == 2
-    assert new.read(before=0).count() == 4
+def test_a_published_table_reads_the_last_row(spark, rows, tmp_path):
+    users = table(spark, tmp_path)
+    assert users.read().count() == 0 and users.read_keys(rows_in(spark, ("1", "a")), "id").count() == 0
+    users.put(rows_in(spark, ("1", "a"), ("2", "b")), 0)
     for _ in range(2):  # the second time is a replay
-        new.upsert(rows_in(spark, ("3", "new", "d")), 0)
-    assert rows(users.read(), "id", "v") == [("0", "old0"), ("1", "old1"), ("2", "old2"), ("3", "new")]
-    assert rows(new.read(before=0), "id", "v")[3] == ("3", "old3")
+        users.put(rows_in(spark, ("2", "c")), 1)
+    assert rows(users.read()) == [("1", "a"), ("2", "c")]
+    assert rows(users.read(before=1)) == [("1", "a"), ("2", "b")]
 
 
-def test_a_user_state_that_changes_is_one_row(spark, rows, tmp_path):
-    state = KeyedTable(spark, str(tmp_path / "state"), schemas.ddl(schemas.USER_STATE), ("user_id",))
-    for batch, consumed in enumerate("01"):
-        state.upsert(spark.createDataFrame([("5", consumed)], "user_id string, if_consumed string"), batch)
-    assert rows(state.read()) == [("5", "1")]
+def test_an_unfinished_batch_does_not_count(spark, rows, tmp_path):
+    users = table(spark, tmp_path)
+    users.put(rows_in(spark, ("1", "a")), 0)
+    users.put(rows_in(spark, ("1", "b")), 1)
+    (tmp_path / "table" / "changes" / "batch=1" / "_SUCCESS").unlink()
+    assert rows(users.read()) == [("1", "a")]
+
+
+def test_whole_copies_keep_the_table_and_what_running_reads_need(spark, rows, tmp_path):
+    users = table(spark, tmp_path, every=2)
+    for batch in range(7):
+        users.gather(batch)
+        users.put(rows_in(spark, (str(batch % 3), f"v{batch}"), ("x", str(batch))), batch)
+        newest = {str(i % 3): f"v{i}" for i in range(batch + 1)}
+        assert rows(users.read()) == sorted([*newest.items(), ("x", str(batch))])
+    assert folders(tmp_path, "whole") == [3, 5] and folders(tmp_path, "changes") == [4, 5, 6]
+    users.gather(6)  # a repeated batch finds nothing new to gather
+    assert folders(tmp_path, "whole") == [3, 5]
+
+
+def scanned_rows(frame):
+    """Rows that the file scans of a plan have given, once it has run."""
+    leaves = frame._jdf.queryExecution().executedPlan().collectLeaves()
+    metrics = [leaves.apply(i).metrics() for i in range(leaves.size())]
+    return sum(m.apply("numOutputRows").value() for m in metrics if m.contains("numOutputRows"))
+
+
+def test_a_read_of_few_keys_reads_few_rows(spark, rows, tmp_path):
+    users = table(spark, tmp_path, every=1)
+    users.put(spark.range(60_000).selectExpr("CAST(id * 7 % 60000 AS STRING) AS id", "'v' || id AS v"), 0)
+    users.gather(1)
+    users.put(rows_in(spark, ("5", "new")), 1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        wanted = spark.createDataFrame([(5,), (44_444,), (5,), (99_999,), (None,)], "k bigint")
+        found = users.read_keys(wanted, "k")
+        assert [row[0] for row in rows(found)] == ["44444", "5"] and dict(rows(found))["5"] == "new"
+        picked = pick_keys(spark.read.parquet(str(tmp_path / "table" / "whole" / "batch=0")), "id", wanted, "k")
+        assert len(picked.collect()) == 2 and 2 <= scanned_rows(picked) <= 4_000
+        missing = pick_keys(spark.read.parquet(str(tmp_path / "table" / "whole" / "batch=0")), "id",
+                            spark.createDataFrame([(f"{i}x",) for i in range(20)], "k string"), "k")
+        assert missing.collect() == [] and scanned_rows(missing) == 0  # the Bloom filters know none of them
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
 
 
-def test_reading_takes_one_file_call_whatever_the_batches(spark, tmp_path, monkeypatch):
-    from rivermart.sources import keyed_table, storage
+def test_many_keys_are_joined(spark, rows, tmp_path):
     users = table(spark, tmp_path)
-    users.upsert(rows_in(spark, ("1", "a", "d")), 0)
-    entry, calls = users.manifest(), []
-    entry["changes"] = [dict(entry["changes"][0], batch=i) for i in range(500)]
-    storage.replace_text(spark, f"{users.path}/manifest.json", json.dumps(entry))
-    monkeypatch.setattr(keyed_table, "read_text", lambda *a: calls.append(a) or storage.read_text(*a))
-    monkeypatch.setattr(storage, "_located", lambda *a, f=storage._located: calls.append(a) or f(*a))
-    users._earlier(users.manifest(), None)
-    assert len(calls) == 2
-
-
-def test_keyed_reads_open_only_their_buckets(spark, rows, tmp_path):
-    users = table(spark, tmp_path, compact_every=1, buckets=8)
-    users.upsert(rows_in(spark, *((str(i), "a", "d") for i in range(50))), 0)
-    users.compact(1)
-    found = users.read_keys(spark.createDataFrame([(3,)], "k bigint"), "k")
-    assert rows(found, "id", "v") == [("3", "a")]
-    filters = re.search(r"PartitionFilters: \[([^\]]*)", found._jdf.queryExecution().executedPlan().toString())[1]
-    assert "bucket" in filters
-    none = users.read_keys(spark.createDataFrame([], "k bigint"), "k")
-    assert none.count() == 0
-
-
-def test_days_are_pruned(spark, rows, tmp_path):
-    users = table(spark, tmp_path, day="dt")
-    users.upsert(rows_in(spark, ("1", "a", "2024-01-01"), ("2", "b", "2024-01-02")), 0)
-    found = users.read_days(rows_in(spark, ("x", "y", "2024-01-02")))
-    assert rows(found) == [("2", "b", "2024-01-02")]
-    plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(period" in plan
-    users.upsert(rows_in(spark, ("3", "c", None)), 1)
-    assert rows(users.read_days(rows_in(spark, ("x", "y", None))), "id") == [("3",)]
-    both = rows_in(spark, ("1", "y", "2024-01-01"), ("2", "y", "2024-01-01"), ("2", "y", None))
-    assert rows(users.read_days(both), "id") == [("1",), ("3",)]
-    assert rows(users.read_days(both, key="id"), "id") == [("1",)]
-
-
-def test_many_days_are_joined(spark, rows, tmp_path, monkeypatch):
-    from rivermart.sources import keyed_table
-    monkeypatch.setattr(keyed_table, "LISTED_PERIODS", 1)
-    users = table(spark, tmp_path, day="dt")
-    users.upsert(rows_in(spark, ("1", "a", "2024-01-01"), ("2", "b", "2024-01-02"), ("3", "c", None), ("4", "d", "x")), 0)
-    asked = rows_in(spark, ("x", "y", "2024-01-02"), ("x", "y", None), ("x", "y", "2024-01-01"))
-    assert rows(users.read_days(asked), "id") == [("1",), ("2",), ("3",)]
-
-
-def test_keys_are_picked_before_the_merge(spark, rows, tmp_path):
-    users = table(spark, tmp_path)
-    for version, v in enumerate("ab"):
-        users.upsert(rows_in(spark, *((str(i), v, "d") for i in range(20))), version)
-    found = users.read_keys(spark.createDataFrame([(3,), (3,), (99,)], "k bigint"), "k")
-    plan = found._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.index("Window") < plan.index("Join LeftSemi")
-    assert rows(found, "id", "v") == [("3", "b")]
+    users.put(rows_in(spark, *((str(i), "a") for i in range(50))), 0)
+    facts = spark.range(10, 70).toDF("k")
+    few = pick_keys(users.read(), "id", facts, "k", listed=5)
+    assert "LeftSemi" in few._jdf.queryExecution().optimizedPlan().toString()
+    assert few.count() == users.read_keys(facts, "k").count() == 40
 
 
 def test_records_omit_nulls_and_keep_names(spark):
@@ -183,13 +126,12 @@ def feed(spark, folder, values, columns):
 
 def test_order_stream_flags_once_over_restarts(spark, rows, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
-    state = KeyedTable(spark, str(tmp_path / "state"), schemas.ddl(schemas.USER_STATE), ("user_id",), compact_every=1)
     provinces = spark.createDataFrame([("1", "north", "10")], "id string, name string, area_code string")
     users = spark.createDataFrame([("5", "F", "1990-01-01")], "id string, gender string, birthday string")
 
     def run():
         job = jobs.order_info_job(read_stream(spark, "parquet", source), lambda: provinces, lambda facts, key: users,
-                                  state, to_folder(out), str(tmp_path / "checkpoint"), F.lit("2024-01-01").cast("date"))
+                                  to_folder(out), str(tmp_path / "checkpoint"), F.lit("2024-01-01").cast("date"))
         jobs.start(job, NOW).awaitTermination()
 
     def order(key, user, time):
@@ -197,6 +139,7 @@ def test_order_stream_flags_once_over_restarts(spark, rows, tmp_path):
             {"id": key, "user_id": str(user), "province_id": 1, "create_time": time}))
     feed(spark, source, [order(1, 5, "2020-01-02 10:00:00"), order(2, 5, "2020-01-01 09:00:00")], schemas.RECORD)
     run()
+    assert rows(state.user_state(spark, str(tmp_path / "checkpoint"))) == [("5", "1")]
     # A late older order is not the first: the user has state by now.
     feed(spark, source, [order(3, 5, "2019-01-01 00:00:00"), order(4, 6, "2020-02-01 00:00:00")], schemas.RECORD)
     run()
@@ -205,24 +148,115 @@ def test_order_stream_flags_once_over_restarts(spark, rows, tmp_path):
     assert rows(found, "id", "if_first_order", "province_name", "user_gender", "user_age_group") == [
         (1, "0", "north", "F", "28-45"), (2, "1", "north", "F", "28-45"),
         (3, "0", "north", "F", "28-45"), (4, "1", "north", None, None)]
-    assert rows(state.read()) == [("5", "1"), ("6", "1")]
+    assert rows(state.user_state(spark, str(tmp_path / "checkpoint"))) == [("5", "1"), ("6", "1")]
 
 
 def test_dimension_stream(spark, rows, tmp_path):
-    source = str(tmp_path / "in")
-    users = KeyedTable(spark, str(tmp_path / "users"), schemas.ddl(schemas.CATEGORY1), ("id",))
+    source, checkpoint = str(tmp_path / "in"), str(tmp_path / "checkpoint")
+    users = PublishedTable(spark, str(tmp_path / "users"), schemas.ddl(schemas.CATEGORY1))
+    columns = f"{schemas.RECORD}, offset bigint"
 
     def run():
-        stream = read_stream(spark, "parquet", source, f"{schemas.RECORD}, offset bigint")
-        jobs.start(jobs.maintain_dimension(stream, lambda batch: dims.category1(batch, keep=("offset",)),
-                                           users, ["offset"], str(tmp_path / "checkpoint")),
-                   NOW).awaitTermination()
-    columns = f"{schemas.RECORD}, offset bigint"
+        stream = read_stream(spark, "parquet", source, columns)
+        jobs.start(jobs.maintain_dimension(stream, lambda batch: dims.category1(batch, keep=("offset",)), users,
+                                           ["offset"], checkpoint), NOW).awaitTermination()
+        assert rows(state.dimension_state(spark, checkpoint).select("id", "name")) == rows(users.read())
     feed(spark, source, [("t", "1", '{"id":1,"name":"a"}', 1), ("t", "1", '{"id":1,"name":"b"}', 2)], columns)
     run()
-    feed(spark, source, [("t", "2", '{"id":2,"name":"c"}', 3), ("t", "1", '{"id":"1","name":"d"}', 4)], columns)
+    feed(spark, source, [("t", "2", '{"id":2,"name":"c"}', 3), ("t", "1", '{"id":"1","name":"d"}', 5)], columns)
     run()
-    assert rows(users.read()) == [("1", "d"), ("2", "c")]
+    # A change that was overtaken is none.
+    feed(spark, source, [("t", "1", '{"id":1,"name":"old"}', 4), ("t", "3", '{"id":3}', 6)], columns)
+    run()
+    assert rows(users.read()) == [("1", "d"), ("2", "c"), ("3", None)]
+
+
+def test_a_dimension_stream_keeps_its_state_in_rocksdb(spark, rows, tmp_path):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        test_dimension_stream(spark, rows, tmp_path)
+    finally:
+        spark.conf.unset(name)
+
+
+def wide_row(detail, order, num=1, price=2.5, original=10.0, final=9.0, created="2024-01-01 10:00:00"):
+    known = {"order_detail_id": detail, "order_id": order, "sku_num": num, "sku_price": price, "original_total_amount": original,
+             "final_total_amount": final, "create_time": created, "dt": created[:10]}
+    return (json.dumps(known),)
+
+
+def wide_stream(spark, tmp_path, **options):
+    """Feeds batches of pairs to the wide job; gives what each has emitted, as (order, line, share)."""
+    source, out = str(tmp_path / "pairs"), str(tmp_path / "out")
+    seen = set()
+
+    def run(*values):
+        feed(spark, source, list(values), "value string")
+        stream = wide.parse_pairs(read_stream(spark, "parquet", source, "value string"))
+        jobs.start(jobs.order_wide_job(stream, to_folder(out), str(tmp_path / "checkpoint"), **options), NOW).awaitTermination()
+        found = wide.parse_wide_records(spark.read.parquet(out)).collect()
+        every = [(r.order_id, r.order_detail_id, r.final_detail_amount) for r in found]
+        assert len(every) == len(set(row[:2] for row in every))
+        new = sorted(row for row in every if row[:2] not in seen)
+        seen.update(row[:2] for row in every)
+        return new
+    return run
+
+
+def test_lines_go_out_once_and_share_the_payment_over_batches(spark, tmp_path):
+    run = wide_stream(spark, tmp_path)
+    assert run(wide_row(2, 1), wide_row(1, 1), wide_row(1, 1)) == [(1, 1, 2.25), (1, 2, 2.25)]
+    assert run(wide_row(9, 2, num=4)) == [(2, 9, 9.0)]
+    # Two batches after it went out the first line comes again; the last line gets what is left.
+    assert run(wide_row(1, 1), wide_row(3, 1, num=2, final=9.0)) == [(1, 3, 4.5)]
+    assert run(wide_row(4, 1), wide_row(9, 2, num=4)) == [(1, 4, 2.25)]
+
+
+def test_shares_over_batches_are_those_of_one_split(spark, tmp_path):
+    run = wide_stream(spark, tmp_path)
+    prices = [3.33, 1.11, 2.22, 0.01, 5.0, 0.0, 4.44]
+    total = round(sum(prices), 2)
+    lines = [wide_row(i, 1, price=price, original=total, final=10.01) for i, price in enumerate(prices)]
+    got = [row for batch in (lines[:2], lines[2:3], lines[3:]) for row in run(*batch)]
+    plain = spark.createDataFrame([(1, i, 1, price, total, 10.01) for i, price in enumerate(prices)],
+                                  "order_id bigint, order_detail_id bigint, sku_num bigint, sku_price double, "
+                                  "original_total_amount double, final_total_amount double")
+    split = wide.split_amounts(plain).select("order_id", "order_detail_id", "final_detail_amount")
+    assert got == sorted(tuple(row) for row in split.collect())
+    assert round(sum(row[2] for row in got), 2) == 10.01
+
+
+def test_the_lines_of_an_old_order_are_forgotten(spark, tmp_path):
+    run = wide_stream(spark, tmp_path, keep="1 day")
+    assert run(wide_row(1, 1)) == [(1, 1, 2.25)]
+    assert run(wide_row(5, 2, created="2024-01-03 10:00:00")) == [(2, 5, 2.25)]
+    assert run(wide_row(6, 3, created="2024-01-03 11:00:00")) == [(3, 6, 2.25)]
+    assert run(wide_row(2, 1), wide_row(1, 1)) == []  # too late: the sums have gone
+
+
+def test_lines_whose_order_never_comes_are_reported(spark, rows, tmp_path):
+    folders_ = {name: str(tmp_path / name) for name in ("info", "detail", "out")}
+
+    def send(name, *values):
+        frame = spark.createDataFrame(values, "id bigint, order_id bigint, s bigint")
+        frame = frame.withColumn("at", F.timestamp_seconds("s")).drop("s")
+        (frame.drop("order_id") if name == "info" else frame).coalesce(1).write.mode("append").parquet(folders_[name])
+
+    def run():
+        info = read_stream(spark, "parquet", folders_["info"], "id bigint, at timestamp").withColumnRenamed("at", "order_ts")
+        detail = read_stream(spark, "parquet", folders_["detail"], "id bigint, order_id bigint, at timestamp")
+        lines = jobs.unmatched_lines(info, detail.withColumnRenamed("at", "detail_ts"), "10 seconds", "6 seconds")
+        writer = (lines.writeStream.format("parquet").option("path", folders_["out"])
+                  .option("checkpointLocation", str(tmp_path / "checkpoint")))
+        jobs.start(writer, NOW).awaitTermination()
+        return rows(spark.read.schema("id bigint, order_id bigint").parquet(folders_["out"]))
+    send("info", (1, None, 100), (2, None, 100))
+    send("detail", (11, 1, 104), (12, 1, 107), (21, 2, 90), (31, 3, 100))
+    assert run() == []  # an order may still come
+    send("info", (9, None, 200))
+    send("detail", (99, 9, 200))
+    assert run() == [(12, 1), (21, 2), (31, 3)]
 
 
 def test_router_writes_one_folder_per_topic(spark, rows, tmp_path):
