@@ -174,10 +174,24 @@ def by_hash(*columns: str) -> Callable[[Column], Column]:
     return lambda chunks: F.pmod(F.xxhash64(*columns), chunks)
 
 
-def by_position(position: str, low: str, high: str) -> Callable[[Column], Column]:
-    """Chunk by equal slices of a number's range: a later chunk holds later rows."""
+#: Bounds that say how a hot group's positions lie; between two of them they count as even.
+CELLS = 64
+
+
+def quantile_bounds(position: str) -> Column:
+    """Measure of a hot group: CELLS + 1 bounds with about as many of its rows between any two."""
+    return F.percentile_approx(position, F.array(*(F.lit(i / CELLS) for i in range(CELLS + 1))), F.lit(10_000))
+
+
+def by_quantile(position: str, bounds: str) -> Callable[[Column], Column]:
+    """Chunk by slices of about as many rows, however the positions lie: a later chunk holds later
+    rows, and rows of one position stay together."""
     def chunk(chunks: Column) -> Column:
-        slice_ = F.width_bucket(F.col(position).cast("double"), F.col(low).cast("double"),
-                                F.col(high).cast("double") + 1, chunks)
-        return F.least(F.greatest(slice_ - 1, F.lit(0)), chunks - 1).cast("bigint")
+        at, ends = F.col(position), F.col(bounds)
+        below = F.size(F.filter(ends, lambda bound: bound < at))
+        low, high = (F.get(ends, below - 1).cast("double"), F.get(ends, below).cast("double"))
+        # Within the cell (low, high]; ahead of the first bound and behind the last there is no cell.
+        part = F.least((at.cast("double") - low) / (high - low), F.lit(1.0))
+        place = F.when(below == 0, F.lit(0.0)).when(below > CELLS, F.lit(1.0)).otherwise((below - 1 + part) / CELLS)
+        return F.least(F.floor(place * chunks), chunks - 1).cast("bigint")
     return chunk

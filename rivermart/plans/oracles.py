@@ -265,8 +265,9 @@ BODIES = {
 }
 BODIES["stream_dim_published"] = f"""SELECT * FROM ({BODIES["dim_spu"]})
       WHERE id IN (SELECT CAST(p_partkey // 4 AS VARCHAR) FROM part WHERE p_size <= 5)"""
-# Streams that end with the rows of a batch query.
-TWINS = {"stream_cdc_route": "cdc_maxwell_route", "stream_wide_join": "wide_join", "stream_resume": "cdc_maxwell_route",
+# Queries that end with the rows of another.
+TWINS = {"order_user_bucketed": "order_user_enrich",
+         "stream_cdc_route": "cdc_maxwell_route", "stream_wide_join": "wide_join", "stream_resume": "cdc_maxwell_route",
          "stream_dim_upsert": "dim_spu", "stream_order_wide": "dws_order_wide"}
 
 

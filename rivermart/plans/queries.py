@@ -11,10 +11,13 @@ from rivermart.functions import age_years, json_fields
 from rivermart.operators import cdc, dims, logs, orders, wide
 from rivermart.operators.keyed import upsert_latest
 from rivermart.operators.lookup import keyed_scan
+from rivermart.operators.skew import Skew
 from rivermart.plans import testbed
 from rivermart.plans.stream_queries import STREAM_QUERIES
 from rivermart.plans.testbed import Testbed, as_json
+from rivermart.sources.bucketed import save_bucketed
 from rivermart.sources.sinks import to_records
+from rivermart.sources.storage import work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -174,6 +177,18 @@ def order_user_enrich(bed: Testbed) -> DataFrame:
         "id", "user_gender", "user_age_group")
 
 
+def _bucketed_users(bed: Testbed) -> DataFrame:
+    folder = work_folder(bed.spark, "users")
+    buckets = bed.spark.sparkContext.defaultParallelism
+    return save_bucketed(bed.users().select("id", "gender", "birthday"), f"users_{folder[-32:]}", "id", "bigint", buckets, folder)
+
+
+def order_user_bucketed(bed: Testbed) -> DataFrame:
+    """Users as if they were too many to broadcast: bucketed once, then only orders are shuffled."""
+    return orders.with_user(_plain_orders(bed), _bucketed_users(bed), as_of(), Skew(broadcast_limit=-1)).select(
+        "id", "user_gender", "user_age_group")
+
+
 def detail_sku_enrich(bed: Testbed) -> DataFrame:
     return orders.with_sku(bed.order_detail(), bed.flat_skus(complete=False))
 
@@ -278,6 +293,7 @@ BATCH_QUERIES: dict[str, Callable[[Testbed], DataFrame]] = {
     "order_province_enrich": order_province_enrich,
     "user_age": user_age,
     "order_user_enrich": order_user_enrich,
+    "order_user_bucketed": order_user_bucketed,
     "detail_sku_enrich": detail_sku_enrich,
     "wide_window_join_raw": wide_window_join_raw,
     "wide_join": wide_join,

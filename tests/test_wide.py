@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 
 from rivermart import schemas
 from rivermart.operators import wide
-from rivermart.operators.skew import Skew, hot_groups
+from rivermart.operators.orders import with_user
+from rivermart.operators.skew import CHUNK, Skew, by_quantile, hot_groups, quantile_bounds, spread
 from rivermart.plans.testbed import Testbed
+from rivermart.sources.bucketed import save_bucketed
 
 PATHS = [Skew(), Skew(hot_rows=3, small_input=0, broadcast_limit=-1),
          Skew(hot_rows=1, small_input=0, broadcast_limit=-1, buckets=4)]
@@ -183,3 +185,39 @@ def test_kept_rows_count_as_small_input(spark):
     kept.count()
     assert is_small(kept.withColumn("y", F.lit(1)))
     kept.unpersist()
+
+
+def test_chunks_of_a_hot_order_are_even_wherever_its_ids_lie(spark):
+    """Of 40,000 lines nine in ten are crowded in a thousandth of the range of ids."""
+    ids = spark.range(40_000).selectExpr("IF(id % 10 = 0, id * 250, id) AS order_detail_id", "7L AS order_id")
+    cut = spread(ids, "order_id", by_quantile("order_detail_id", "_bounds"), Skew(hot_rows=5_000, small_input=0),
+                 _bounds=quantile_bounds("order_detail_id"))
+    chunks = cut.rows.groupBy(CHUNK).agg(F.count("*").alias("n"), F.min("order_detail_id").alias("low"),
+                                         F.max("order_detail_id").alias("high")).orderBy(CHUNK).collect()
+    sizes = [row["n"] for row in chunks]
+    assert sum(sizes) == 40_000 and len(sizes) == 8 and max(sizes) <= 2 * min(sizes)
+    assert all(a["high"] < b["low"] for a, b in zip(chunks, chunks[1:]))
+
+
+def test_lines_of_one_id_stay_in_one_chunk(spark):
+    rows = spark.range(3_000).selectExpr("IF(id % 3 = 0, 5, id) AS order_detail_id", "7L AS order_id")
+    cut = spread(rows, "order_id", by_quantile("order_detail_id", "_bounds"), Skew(hot_rows=300, small_input=0),
+                 _bounds=quantile_bounds("order_detail_id"))
+    assert cut.rows.groupBy("order_detail_id").agg(F.countDistinct(CHUNK).alias("n")).where("n > 1").count() == 0
+
+
+def test_a_bucketed_dimension_is_not_shuffled(spark, rows, tmp_path):
+    users = spark.range(200).selectExpr("CAST(id AS STRING) AS id", "IF(id % 2 = 0, 'F', 'M') AS gender", "'1990-01-01' AS birthday")
+    users = users.unionByName(spark.createDataFrame([("x", "F", None)], "id string, gender string, birthday string"))
+    facts = spark.range(500).selectExpr("id", "id % 300 AS user_id")
+    table = save_bucketed(users, "bucketed_users", "id", "bigint", 4, str(tmp_path / "users"))
+    day, skew = F.lit("2024-01-01").cast("date"), Skew(broadcast_limit=-1)
+    found = with_user(facts, table, day, skew)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+        assert rows(found) == rows(with_user(facts, users, day, skew))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE bucketed_users")
