@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -30,6 +30,20 @@ def prepare(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
 
 
+_KEPT: list[tuple[str, Callable[[], None]]] = []
+
+
+def claim(operator: str, forget: Callable[[], None] = lambda: None) -> None:
+    """Called by an operator's tasks: what another operator has kept in this worker goes.
+
+    Workers outlive stages, so what each operator keeps would otherwise add up.
+    """
+    if _KEPT and _KEPT[0][0] != operator:
+        _KEPT.pop()[1]()
+    if not _KEPT:
+        _KEPT.append((operator, forget))
+
+
 def stored(frame: DataFrame, purpose: str) -> DataFrame:
     """Write the rows to the shared folder and read them again, which cuts the lineage."""
     spark = frame.sparkSession

@@ -28,7 +28,7 @@ from rivermart.llm import common
 from rivermart.llm.components import smallest_reachable
 
 #: Bytes of text for each partition that counts tokens.
-PARTITION_BYTES = 24 << 20
+PARTITION_BYTES = 12 << 20
 #: A task sends what it has gathered once it holds so many tokens.
 SEND_TOKENS = 1 << 20
 FRONTS = [("bucket", pa.int32()), ("tokens", pa.binary()), ("owners", pa.binary()), ("sets", pa.binary()),
@@ -57,6 +57,7 @@ def front_shared(n, percent: int):
 
 def shingle_sets(column: pa.Array, size: int):
     """Chunks (low, high, sorted distinct hashes, bounds) of a column of texts."""
+    common.claim("sets")
     data, bounds = common.utf8(column)
     for low, high in common.chunks(bounds):
         own = bounds[low:high + 1] - bounds[low]
@@ -114,6 +115,7 @@ def _shared(fronts: DataFrame) -> DataFrame:
     """(set_id, doc_id, n) of every document and (set_id, shared) of the sets in each bucket."""
 
     def count(batches):
+        common.claim("sets")
         tokens, owners = [], []
         for batch in batches:
             for row in batch.to_pylist():

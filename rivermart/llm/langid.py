@@ -27,7 +27,7 @@ ROUNDS = 2
 #: Weight of the pooled probabilities in a language's own, in pieces.
 PRIOR_PIECES = 200.0
 #: Words kept with their scores per worker, in numbers stored.
-KEPT_NUMBERS = 4_000_000
+KEPT_NUMBERS = 1_500_000
 #: Multiplies a piece's probability per character, so that long words stay in range.
 LIFT = 32.0
 SPLIT_WORD = 48
@@ -270,6 +270,7 @@ class _Judge:
 
     def __call__(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
         languages, pieces, chances = self.known.value
+        common.claim("language", _SCORERS.clear)
         if self.key not in _SCORERS:  # one scorer is kept, with the words it has met
             _SCORERS.clear()
             _SCORERS[self.key] = Scorer(pieces, chances)

@@ -8,6 +8,8 @@ from collections.abc import Callable
 
 import numpy as np
 
+from rivermart.llm import common
+
 #: Distinct pieces kept per worker; the store is emptied when it is full.
 KEPT_PIECES = 700_000
 #: Texts with these are encoded whole: the two sides may disagree about what a space is.
@@ -108,6 +110,7 @@ _ENCODERS: dict[str, Encoder] = {}
 
 def encoder(path: str) -> Encoder:
     """One encoder per worker and vocabulary."""
+    common.claim("tokens", _ENCODERS.clear)
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
