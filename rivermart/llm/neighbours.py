@@ -31,8 +31,8 @@ BEAM, FOLLOWED, WALKS = 128, 64, 8
 SEED = 11
 EDGES = [("a", pa.int64()), ("b", pa.int64()), ("score", pa.float32())]
 EDGES_SCHEMA = "a long, b long, score float"
-#: Pairs that a task holds before it keeps the best of each vector only.
-HELD_PAIRS = 1 << 20
+#: Pairs that a task holds before it keeps the best of each vector only, and before it hands them on.
+HELD_PAIRS, MOST_PAIRS = 1 << 20, 1 << 22
 
 
 def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
@@ -62,24 +62,45 @@ def best_per(a: np.ndarray, b: np.ndarray, score: np.ndarray, keep: int
 
 
 class _Best:
-    """Gathers scored pairs and yields the best of each vector that this task knows."""
+    """Gathers scored pairs and gives the best of each vector that this task knows.
 
-    def __init__(self, keep: int):
-        self.keep, self.held, self.count = keep, [], 0
+    Once a vector has as many as it keeps, pairs below its worst are not taken. The
+    held pairs are sorted when they have doubled; beyond ``MOST_PAIRS`` they are handed on,
+    to be joined with other tasks' pairs, and gathering starts anew.
+    """
 
-    def add(self, a: np.ndarray, b: np.ndarray, score: np.ndarray) -> None:
-        self.held.append((a, b, score.astype(np.float32)))
+    def __init__(self, keep: int):
+        self.keep = keep
+        self._clear()
+
+    def _clear(self) -> None:
+        self.held, self.count, self.limit = [], 0, HELD_PAIRS
+        self.full, self.worst = np.zeros(0, np.int64), np.zeros(0, np.float32)
+
+    def add(self, a: np.ndarray, b: np.ndarray, score: np.ndarray):
+        score = score.astype(np.float32)
+        if len(self.full):
+            at = np.minimum(np.searchsorted(self.full, a), len(self.full) - 1)
+            good = (self.full[at] != a) | (score >= self.worst[at])
+            a, b, score = a[good], b[good], score[good]
+        self.held.append((a, b, score))
         self.count += len(a)
-        if self.count > HELD_PAIRS:
-            self.shrink()
-
-    def shrink(self) -> None:
-        parts = best_per(*(np.concatenate(x) for x in zip(*self.held)), self.keep)
-        self.held, self.count = [parts], len(parts[0]) // 2
+        if self.count > self.limit:
+            self._shrink()
+            if self.count > MOST_PAIRS:
+                yield from self.rows()
+                self._clear()
+
+    def _shrink(self) -> None:
+        a, b, score = best_per(*(np.concatenate(x) for x in zip(*self.held)), self.keep)
+        self.held, self.count, self.limit = [(a, b, score)], len(a), max(HELD_PAIRS, 2 * len(a))
+        ends = np.flatnonzero(np.append(a[1:] != a[:-1], True)) if len(a) else np.zeros(0, np.int64)
+        whole = np.diff(ends, prepend=-1) >= self.keep
+        self.full, self.worst = a[ends[whole]], score[ends[whole]]
 
     def rows(self):
         if self.held:
-            self.shrink()
+            self._shrink()
             a, b, score = self.held[0]
             for i in range(0, len(a), 50_000):
                 yield common.batch_of(EDGES, a[i:i + 50_000], b[i:i + 50_000], score[i:i + 50_000])
@@ -190,7 +211,7 @@ def first_graph(units: DataFrame, links: int, trees: int, leaf: int, fit_vectors
             k = min(links, len(ids) - 1)
             if k > 0:
                 top = np.argpartition(-score, k - 1, axis=1)[:, :k]
-                best.add(np.repeat(ids, k), ids[top].ravel(), np.take_along_axis(score, top, axis=1).ravel())
+                yield from best.add(np.repeat(ids, k), ids[top].ravel(), np.take_along_axis(score, top, axis=1).ravel())
         yield from best.rows()
 
     return kept_best(common.map_arrow(dealt, compare, EDGES_SCHEMA), links)
@@ -253,7 +274,7 @@ def improve(graph: DataFrame, units: DataFrame, links: int, seed: int) -> DataFr
                 np.fill_diagonal(score, -2)
                 k = min(links, len(ids) - 1)
                 top = np.argpartition(-score, k - 1, axis=1)[:, :k]
-                best.add(np.repeat(ids, k), ids[top].ravel(), np.take_along_axis(score, top, axis=1).ravel())
+                yield from best.add(np.repeat(ids, k), ids[top].ravel(), np.take_along_axis(score, top, axis=1).ravel())
         yield from best.rows()
 
     return kept_best(common.map_arrow(dealt, compare, EDGES_SCHEMA).union(graph), links)

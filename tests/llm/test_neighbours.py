@@ -1,6 +1,7 @@
 """NN-descent against brute force."""
 
 import numpy as np
+import pytest
 
 from rivermart.llm import neighbours, queries
 
@@ -65,3 +66,20 @@ def test_whole_table_recall(spark):
     got, want = found(queries.op3_nn_descent(spark, "/root/testdata/sf0.001")), truth(rows, 50, 5)
     assert set(got) == set(want)
     assert sum(len({v for _, v, _ in got[k]} & {v for v, _ in want[k]}) for k in want) >= 0.9 * 5 * len(want)
+
+
+@pytest.mark.parametrize("most", [1 << 22, 300])
+def test_gathered_pairs_are_the_best(monkeypatch, most):
+    monkeypatch.setattr(neighbours, "HELD_PAIRS", 200)
+    monkeypatch.setattr(neighbours, "MOST_PAIRS", most)
+    draw = np.random.default_rng(3)
+    best, every, out = neighbours._Best(4), [], []
+    for _ in range(60):
+        pairs = draw.integers(0, 40, 90), draw.integers(0, 40, 90)
+        every.append((*pairs, (pairs[0] * 7919 + pairs[1] * 104729) % 1000 / np.float32(1000)))
+        out += best.add(*every[-1])
+    out += best.rows()
+    given = [np.concatenate([batch.column(i).to_numpy() for batch in out]) for i in range(3)]
+    expected = neighbours.best_per(*(np.concatenate(x) for x in zip(*every)), 4)
+    for got, wanted in zip(neighbours.best_per(*given, 4), expected):
+        assert np.array_equal(got, wanted.astype(got.dtype))
