@@ -34,6 +34,8 @@ BINS = 12
 TOLERANCE = 0.001
 #: The ridge at the start, where it ends if targets cannot be met, and steps at most.
 FIRST_RIDGE, LAST_RIDGE, MOST_STEPS = 1e-5, 1e-9, 200
+#: Plain steps that are taken before the rates are written to the shared folder.
+STEPS_AT_ONCE = 10
 #: Domains of the labels table and their share of tokens.
 TARGETS = {"high": 0.90, "low": 0.08, "toxic": 0.02}
 DOMAIN = "CASE WHEN toxic = 1 THEN 'toxic' WHEN quality = 1 THEN 'high' WHEN quality = 0 THEN 'low' END"
@@ -125,17 +127,19 @@ def posteriors(rows: DataFrame, labels: DataFrame, domains: list[str], bins: int
     return rows.select("row_id", "doc_id", "tokens", *[(F.col(f"e_{d}") / whole).alias(f"p_{d}") for d in domains])
 
 
-def plain_rate(rows: DataFrame, held: dict[str, float], goal: dict[str, float], steps: int, ridge: float) -> Column:
-    """The rate after so many plain steps, or fewer if they arrive before."""
-    step, rate, every = 1 / (1 + ridge), F.lit(1.0), sum(goal.values())
-    for _ in range(steps):
+def with_plain_rate(rows: DataFrame, held: dict[str, float], goal: dict[str, float], steps: int, ridge: float) -> DataFrame:
+    """Adds the rate after so many plain steps, or fewer if they arrive before."""
+    step, every, rate = 1 / (1 + ridge), sum(goal.values()), F.lit(1.0)
+    for number in range(steps):
+        if number and number % STEPS_AT_ONCE == 0:
+            rows, rate = common.stored(rows.withColumn("rate", rate), "rates"), F.col("rate")
         got = rows.agg(*[F.sum(F.col("tokens") * F.col(f"p_{d}") * rate).alias(d) for d in goal]).first()
         pull = sum_of(F.col(f"p_{d}") * F.lit((got[d] - goal[d]) / held[d]) for d in goal)
-        # Each step's expression holds the one before once, so the steps need no table between them.
+        # Each step's expression holds the one before; every so often the rates are written out.
         rate = F.greatest(F.lit(0.0), rate * (1 - step * ridge) - (pull - ridge) * step)
         if max(abs(got[d] - goal[d]) for d in goal) < 1e-9 * every:
             break
-    return rate
+    return rows.withColumn("rate", rate)
 
 
 def met_rate(rows: DataFrame, held: dict[str, float], wanted: dict[str, float], every: float, keep: str | None) -> Column:
@@ -208,7 +212,7 @@ def fit_rates(rows: DataFrame, targets: dict[str, float], steps: int | None, rid
         return rows.withColumn("rate", met_rate(rows, held, wanted, every, keep))
     total = held[keep] / wanted[keep] if keep else every
     goal = {d: total * wanted[d] for d in domains}
-    return rows.withColumn("rate", plain_rate(rows, held, goal, steps, ridge or 0.0))
+    return with_plain_rate(rows, held, goal, steps, ridge or 0.0)
 
 
 def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, domain: str = DOMAIN,
