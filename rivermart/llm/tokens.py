@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 from collections.abc import Callable
 
 import numpy as np
@@ -17,7 +18,7 @@ ODD_SPACES = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
 SPACED = re.compile(r" ?[^ \t-\r]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+")
 
 
-#: A word and the marks after it: the vocabularies split there.
+#: A word and the marks after it: the vocabularies split there if the word stays one of letters.
 MARKED = re.compile(r"( ?[^\W\d_]+)([!-/:-@[-^`{-~]+)")
 
 
@@ -43,6 +44,15 @@ def bare_words(text: str) -> list[str]:
     return text.split()
 
 
+def stays_letters(word: str) -> bool:
+    """Whether a word is of letters only, also when composed and in lower case.
+
+    Some letters are not: a capital I with a dot, or Indic letters with a nukta,
+    come apart into a letter and a mark, which joins the marks that follow.
+    """
+    return word.isalpha() and unicodedata.normalize("NFC", word).lower().isalpha()
+
+
 class Pieces(dict):
     """Ids of pieces of text, worked out when first asked for."""
 
@@ -75,7 +85,8 @@ class Pieces(dict):
         ids = self.word(piece)
         if ids is None:
             match = MARKED.fullmatch(piece)
-            ids = self[match[1]] + self[match[2]] if match else self.whole(piece)
+            parts = match and stays_letters(match[1].removeprefix(" "))
+            ids = self[match[1]] + self[match[2]] if parts else self.whole(piece)
         self[piece] = ids
         return ids
 

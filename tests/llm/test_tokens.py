@@ -25,6 +25,17 @@ def test_encoder_equals_the_library(name, kept, odd_texts):
         assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("name", NAMES)
+def test_every_letter_before_marks(name):
+    path = tokens.vocabulary(name)
+    library, encoder = Tokenizer.from_file(path), tokens.Encoder(path)
+    letters = [c for c in map(chr, range(0x10000)) if c.isalpha()]
+    texts = ["SERG\u0130.", "\u0130Y\u0130!"] + [t for c in letters for t in (c, c + ".", "a" + c + "!?", " " + c + "x,")]
+    own = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)]
+    theirs = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [t for t, a, b in zip(texts, own, theirs) if a != b] == []
+
+
 @pytest.mark.parametrize("width", range(1, 33))
 def test_bits_round_trip_and_random_access(width):
     ids = np.random.default_rng(width).integers(0, 1 << width, 1000, dtype=np.uint64)
