@@ -7,7 +7,14 @@ of key, kind and normal form and keeps the kind, the script, the gender of a
 given name, the length classes and, when written back, the surface's
 separators and letter case. Two entities that draw the same surrogate, or one
 that draws an existing entity, are found by grouping all of them; all but the
-first draw again until none are left.
+first draw again until none are left. Later attempts draw from more surrogates
+(longer ones, wider address blocks), so that this ends; given names are told apart
+over all genders together.
+
+A name is found after a title, up to four capitalised words with the particles
+between them, and then wherever one of its words is written the same way in the
+document, unless the document also has that word in lower case. A given name after a
+title without gender is that of the same given name with one, if the document has it.
 """
 
 from __future__ import annotations
@@ -23,6 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 from rivermart.llm import common
 
 DEFAULT_KEY = "change-me"
+MOST_ATTEMPTS = 64
 KEY_SETTING = "spark.rivermart.surrogate.key"
 
 #: Titles before names, with the gender they tell.
@@ -50,9 +58,10 @@ GAP = r"[^\w\n]{1,6}"
 PATTERNS = [
     ("email", re.compile(r"(?<![\w.+-])[\w.+-]{1,64}@[\w-]{1,63}(?:\.[\w-]{1,63}){1,6}")),
     ("secret", re.compile(r"(?i)\b(?:api[_-]?key|access[_-]?key|secret|token|passw(?:or)?d)\b[^\w\n]{0,8}[=:][^\w\n]{0,8}"
-                          r"(?P<value>[A-Za-z0-9+/_-]{8,512})")),
-    ("secret", re.compile(r"(?<!\w)(?P<value>(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{20,80}|sk-[0-9A-Za-z_-]{16,160})(?!\w)")),
-    ("secret", re.compile(r"(?<!\w)(?P<value>(?=[a-fA-F]{0,40}\d)(?=\d{0,40}[a-fA-F])[0-9a-fA-F]{32,128})(?!\w)")),
+                          r"(?P<value>[A-Za-z0-9+/_-]{8,}(?:\.[A-Za-z0-9+/_-]+)*={0,2})")),
+    ("secret", re.compile(r"(?<![\w.-])(?P<value>eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}(?:\.[A-Za-z0-9_-]+){0,3})(?![\w-])")),
+    ("secret", re.compile(r"(?<![\w-])(?P<value>(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{20,}|sk-[0-9A-Za-z_-]{16,})(?!\w)")),
+    ("secret", re.compile(r"(?<!\w)(?P<value>(?=[a-fA-F]*\d)(?=\d*[a-fA-F])[0-9a-fA-F]{32,})(?!\w)")),
     ("iban", re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?(?!\w)")),
     ("ip", re.compile(r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)")),
     ("ssn", re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")),
@@ -60,8 +69,14 @@ PATTERNS = [
     ("phone", re.compile(rf"(?<!\w)(?:\+?\d{{1,3}}{GAP})?\(?\d{{3}}\)?{GAP}\d{{3}}[^\w\n]{{1,4}}\d{{4}}(?!\w)")),
     ("phone", re.compile(r"(?<!\w)\+\d{1,3}(?:[ .-]?\(?\d{1,5}\)?){2,6}(?!\w)")),
 ]
-NAMED = re.compile(r"(?<!\w)(" + "|".join(sorted(TITLES, key=len, reverse=True)) + r")\.?[ \t]+"
-                   r"([^\W\d_][\w'’-]*(?:[ \t]+[^\W\d_][\w'’-]*){0,2})")
+TITLED = re.compile(r"(?<!\w)(" + "|".join(sorted(TITLES, key=len, reverse=True)) + r")\.?[ \t]+(?=[^\W\d_])")
+#: Small words within names.
+PARTICLES = {"al", "bin", "da", "de", "del", "den", "der", "di", "du", "la", "le", "van", "von"}
+NAME_WORDS = 4
+WORD = re.compile(r"[^\W\d_](?:[\w'’-]*\w)?")
+NEXT_WORD = re.compile(r"[ \t]+([^\W\d_](?:[\w'’-]*\w)?)")
+#: How known kinds of secrets begin.
+MARKED_SECRET = re.compile(r"AKIA|ASIA|gh[pousr]_|sk-|eyJ")
 DIGIT = re.compile(r"\d")
 FOUND = [("k", pa.int64()), ("kind", pa.string()), ("norm", pa.string())]
 DRAWN = [("kind", pa.string()), ("norm", pa.string()), ("attempt", pa.int32()), ("surrogate", pa.string())]
@@ -85,7 +100,7 @@ def _normal(kind: str, surface: str) -> str | None:
         octets = [int(x) for x in surface.split(".")]
         return ".".join(map(str, octets)) if max(octets) < 256 else None
     if kind == "secret":
-        if not DIGIT.search(surface) and len(surface) < 16:
+        if not any(map(str.isalnum, surface)) or not DIGIT.search(surface) and len(surface.partition(".")[0]) < 16:
             return None
         return surface.lower() if all(c in string.hexdigits for c in surface) else surface
     if kind == "iban":
@@ -99,6 +114,43 @@ def _normal(kind: str, surface: str) -> str | None:
     return digits
 
 
+def names(text: str) -> list[tuple[int, int, str, str]]:
+    """The words of names after titles, then all further mentions of those words."""
+    found: list[tuple[int, int, str, str]] = []
+    for match in TITLED.finditer(text):
+        words: list[tuple[int, int]] = []
+        step = WORD.match(text, match.end())
+        while step:
+            a, b = step.span(step.re.groups)
+            if text[a].isupper():
+                words.append((a, b))
+            elif not words or text[a:b] not in PARTICLES:
+                break
+            if len(words) == NAME_WORDS:
+                break
+            step = NEXT_WORD.match(text, b)
+        for i, (a, b) in enumerate(words):
+            kind = "family" if i == len(words) - 1 else f"given-{TITLES[match[1]]}"
+            found.append((a, b, kind, text[a:b].lower()))
+    genders = {norm: kind for _, _, kind, norm in found if kind in ("given-m", "given-f")}
+    found = [(a, b, genders.get(norm, kind) if kind == "given-" else kind, norm) for a, b, kind, norm in found]
+    if not found:
+        return found
+    known: dict[str, tuple[str, str]] = {}
+    for a, b, kind, norm in found:
+        if kind != "family" or text[a:b] not in known:
+            known[text[a:b]] = (kind, norm)
+    mentions = [m.span() for m in WORD.finditer(text) if m[0] in known]
+    lower = {norm for _, norm in known.values()}
+    common_words = {m[0] for m in WORD.finditer(text) if m[0] in lower}
+    # Words joined by an apostrophe or a hyphen: "Smith's" mentions Smith.
+    joined = [(m.start(), m.start() + len(head)) for m in WORD.finditer(text) if m[0] not in known
+              for head in [re.split("['’-]", m[0])[0]] if head in known]
+    titled = {a for a, _, _, _ in found}
+    return found + [(a, b, *known[text[a:b]]) for a, b in mentions + joined
+                    if a not in titled and known[text[a:b]][1] not in common_words]
+
+
 def entities(text: str | None) -> list[tuple[int, int, str, str]]:
     """Start, end, kind and normal form of every entity; earlier kinds win where two overlap."""
     if not text:
@@ -116,15 +168,7 @@ def entities(text: str | None) -> list[tuple[int, int, str, str]]:
             if norm is not None:
                 out.append((a, a + len(text[a:b].rstrip(".-")) if kind == "email" else b, kind, norm))
     if any(title in text for title in TITLES):
-        for match in NAMED.finditer(text):
-            gender = TITLES[match[1]]
-            words = [m for m in re.finditer(r"[\w'’-]+", match[2])]
-            while words and not words[-1][0][0].isupper():
-                words.pop()
-            if words and all(w[0][0].isupper() for w in words):
-                for i, word in enumerate(words):
-                    kind = "family" if i == len(words) - 1 else f"given-{gender}"
-                    out.append((match.start(2) + word.start(), match.start(2) + word.end(), kind, word[0].lower()))
+        out += names(text)
     taken: list[tuple[int, int, str, str]] = []
     used: set[int] = set()
     for found in out:
@@ -179,8 +223,9 @@ def _alike(char: str, draw: _Draw, hexadecimal: bool = False) -> str:
 
 
 def surrogate(kind: str, norm: str, attempt: int, key: str) -> str:
-    """The surrogate's normal form; another attempt draws anew."""
+    """The surrogate's normal form; another attempt draws anew, later ones from more surrogates."""
     draw = _Draw(key, kind, norm, str(attempt))
+    longer = "".join(draw.one(string.ascii_lowercase) for _ in range(min(attempt // 2, 32)))
     if kind == "email":
         local, _, domain = norm.partition("@")
         labels = domain.split(".")
@@ -188,25 +233,33 @@ def surrogate(kind: str, norm: str, attempt: int, key: str) -> str:
         # The domain draws by itself: addresses of one domain stay together.
         host = _Draw(key, "domain", domain, "0")
         head = ["".join(_alike(c, host) for c in label) for label in own]
-        return "".join(_alike(c, draw) for c in local) + "@" + ".".join([*head, "example", "com"])
+        return "".join(_alike(c, draw) for c in local) + longer + "@" + ".".join([*head, "example", "com"])
     if kind == "ip":
         octets = norm.split(".")
         kept = 2 if norm.startswith("192.168.") else 1 if octets[0] in ("10", "127") else 0
+        if attempt >= 4 and kept == 2:  # a block that is full: the largest private one, then any
+            octets, kept = ["10", *octets[1:]], 1
+        kept = 0 if attempt >= 24 else kept
         return ".".join(octets[:kept] + [str(1 + draw.below(254)) for _ in octets[kept:]])
+    more = "".join(draw.one(string.digits) for _ in range(max(0, attempt // 8 - 2)))
     if kind in ("card", "phone", "ssn"):
         kept = 1 if kind == "card" else max(0, len(norm) - 10) if kind == "phone" else 0
         made = norm[:kept] + "".join(draw.one(string.digits) for _ in norm[kept:])
         if kind == "card":
             valid = next(made[:-1] + d for d in string.digits if luhn(made[:-1] + d))
             made = valid if luhn(norm) else made if not luhn(made) else made[:-1] + str((int(made[-1]) + 1) % 10)
-        return made
+        return made + more
     if kind == "iban":
         body = norm[:2] + "00" + "".join(_alike(c, draw) for c in norm[4:])
         rest = int("".join(str(int(c, 36)) for c in body[4:] + body[:4])) % 97
-        return f"{body[:2]}{98 - rest:02d}{body[4:]}"
+        return f"{body[:2]}{98 - rest:02d}{body[4:]}{more}"
     if kind == "secret":
         hexadecimal = all(c in string.hexdigits for c in norm)
-        return "".join(_alike(c, draw, hexadecimal) for c in norm)
+        parts = []
+        for part in norm.split("."):
+            head = MARKED_SECRET.match(part)[0] if MARKED_SECRET.match(part) else ""
+            parts.append(head + "".join(_alike(c, draw, hexadecimal) for c in part[len(head):]))
+        return ".".join(parts) + (longer if not hexadecimal else "".join(draw.one("0123456789abcdef") for _ in longer))
     script, gender = script_of(norm), kind.partition("-")[2]
     given = GIVEN.get((script, gender or draw.one("mf")))
     if kind != "family" and attempt == 0 and given:
@@ -219,7 +272,7 @@ def written(kind: str, surface: str, norm: str) -> str:
     """A normal form in the surface's separators and letter case."""
     if kind in ("card", "phone", "ssn", "iban"):
         left = iter(norm)
-        return "".join(next(left, "") if c.isalnum() else c for c in surface)
+        return "".join([next(left, "") if c.isalnum() else c for c in surface] + list(left))
     if kind == "secret" or kind == "ip":
         return norm.upper() if surface.isupper() else norm
     if surface.isupper() and len(surface) > 1:
@@ -255,21 +308,27 @@ def later_attempts(names: DataFrame, key: str, draw: Callable[..., str] = surrog
 
     Of entities with one surrogate the one of the fewest attempts, then the
     first by name, keeps it; an entity's own form or another's is no surrogate.
-    Each round groups all surrogates; only those that lost are drawn again.
+    Given names of all genders count as one kind here. Each round groups all
+    surrogates; only those that lost are drawn again, and if some still lose after
+    ``MOST_ATTEMPTS`` rounds, which takes billions of entities, this stops with an error.
     """
+    group = F.element_at(F.split("kind", "-"), 1)
     every = common.stored(_drawn(names.withColumn("attempt", F.lit(0)), key, draw), "surrogates")
-    originals = every.select("kind", F.col("norm").alias("surrogate"))
-    while True:
-        best = every.groupBy("kind", "surrogate").agg(
-            F.count("*").alias("n"), F.min(F.struct("attempt", "norm")).alias("best")).where("n > 1")
-        lost = every.join(best, ["kind", "surrogate"]).where("norm <> best.norm").select("kind", "norm", "attempt")
-        known = every.join(originals, ["kind", "surrogate"], "left_semi").select("kind", "norm", "attempt")
+    originals = every.select(group.alias("group"), F.col("norm").alias("surrogate")).distinct()
+    for _ in range(MOST_ATTEMPTS):
+        grouped = every.withColumn("group", group)
+        best = grouped.groupBy("group", "surrogate").agg(
+            F.count("*").alias("n"), F.min(F.struct("attempt", "norm", "kind")).alias("best")).where("n > 1")
+        lost = (grouped.join(best, ["group", "surrogate"]).where("norm <> best.norm OR kind <> best.kind")
+                .select("kind", "norm", "attempt"))
+        known = grouped.join(originals, ["group", "surrogate"], "left_semi").select("kind", "norm", "attempt")
         bad = common.stored(lost.union(known).distinct(), "surrogates-lost")
         if bad.isEmpty():
             return every.where("attempt > 0").select("kind", "norm", "attempt")
         again = _drawn(bad.withColumn("attempt", F.col("attempt") + 1), key, draw)
         every = common.stored(every.join(bad.select("kind", "norm"), ["kind", "norm"], "left_anti")
                               .select("kind", "norm", "attempt", "surrogate").union(again), "surrogates")
+    raise RuntimeError(f"entities without a surrogate of their own after {MOST_ATTEMPTS} attempts")
 
 
 def replace_entities(docs: DataFrame, key: str, draw: Callable[..., str] = surrogate) -> DataFrame:

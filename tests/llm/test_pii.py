@@ -79,3 +79,50 @@ def test_collisions_are_drawn_again(frame):
             assert origin.setdefault(new, old) == old  # distinct stay distinct
             assert int(new.split(".")[-1]) >= 40  # and no surrogate is somebody's own
     assert len(origin) == 40 == len(set(origin.values()))
+
+
+def test_full_surrogate_spaces_come_to_an_end(frame):
+    rows = [(i, f"{c}@example.com") for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")]
+    rows += [(100, "token: " + "-" * 40), (101, "secret = _______1")]
+    rows += [(1000 + i, " ".join(f"192.168.{i}.{j}" for j in range(256))) for i in range(256)]
+    got = {r["doc_id"]: r["text"] for r in pii.replace_entities(frame(rows), "key").collect()}
+    mails = [got[i] for i in range(26)]
+    assert len(set(mails)) == 26 and not set(mails) & {r[1] for r in rows}
+    addresses = [a for i in range(256) for a in got[1000 + i].split(" ")]
+    assert len(set(addresses)) == 65_536
+    assert not any(a.startswith("192.168.") for a in addresses) and sum(a.startswith("10.") for a in addresses) == 65_536
+    assert got[100] == rows[26][1] and re.fullmatch("secret = _______[0-9][a-z]*", got[101]) and got[101] != rows[27][1]
+
+
+def test_every_mention_of_a_name_is_replaced():
+    text = ("Mr John Smith met Dr John Smith. John Smith left. Smith said that SMITH and smithy stay, Smith's hat too; "
+            "Mrs Will Brown will go by a brown door, Will. Herr Ludwig van der Rohe Mies, Rohe.")
+    out = pii.replaced(text, "key", {})
+    john, smith = re.match(r"Mr (\w+) (\w+) met", out).groups()
+    assert "John" not in out and not re.search(r"\bSmith\b", out)
+    assert f"Dr {john} {smith}. {john} {smith} left. {smith} said that SMITH and smithy stay, {smith}'s hat too" in out
+    assert "will go by a brown door, Will." in out and " van der " in out and "Rohe" not in out
+    assert pii.replaced("Miss Anna ran. Anna won", "key", {}).count("Anna") == 0
+    assert [x[2:] for x in pii.entities("Mr John said Hello")] == [("family", "john")]
+
+
+@pytest.mark.parametrize("secret", [
+    "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9P", "sk-" + "aB3_" * 150,
+    "ghp_" + "a1B2" * 40, "0123456789abcdef" * 40])
+def test_whole_secrets_of_any_length(secret):
+    for text in (f"see {secret} now", f"token = {secret}.", f'"secret": "{secret}"' .replace('"secret":', "secret:")):
+        (a, b, kind, _), = pii.entities(text)
+        assert (text[a:b], kind) == (secret, "secret")
+        made = pii.replaced(text, "key", {})
+        assert len(made) == len(text) and not any(part[8:] in made for part in secret.split("."))
+    padded = "password=QWxhZGRpbjpvcGVu1234=="
+    assert padded[9:] == padded[slice(*pii.entities(padded)[0][:2])]
+
+
+def test_names_stay_distinct_over_genders(frame):
+    rows = [(i, f"{title}. Given{chr(97 + i // 26)}{chr(97 + i % 26)} Family went") for i in range(120)
+            for title in [("Mr", "Mrs", "Dr")[i % 3]]]
+    got = pii.replace_entities(frame(rows), "key").collect()
+    given = [re.match(r"\w+\. (\w+)", r["text"])[1] for r in got]
+    family = {re.match(r"\w+\. \w+ (\w+)", r["text"])[1] for r in got}
+    assert len(set(given)) == 120 and len(family) == 1
