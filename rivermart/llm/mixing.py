@@ -142,7 +142,8 @@ def with_plain_rate(rows: DataFrame, held: dict[str, float], goal: dict[str, flo
     return rows.withColumn("rate", rate)
 
 
-def met_rate(rows: DataFrame, held: dict[str, float], wanted: dict[str, float], every: float, keep: str | None) -> Column:
+def met_rate(rows: DataFrame, held: dict[str, float], wanted: dict[str, float], every: float, keep: str | None,
+             most: float | None = None) -> Column:
     """The rate that brings each domain's expected tokens within ``TOLERANCE`` of its target.
 
     Where steps no longer change it, a rate is one plus a sum over domains of pulls
@@ -151,7 +152,8 @@ def met_rate(rows: DataFrame, held: dict[str, float], wanted: dict[str, float],
     their floor, and halved where they overshoot; the ridge is divided by ten each time
     the pulls have settled and the targets are not met. The floor is zero, and one for
     rows that ``keep`` is the likeliest domain of; then the total is free, and
-    what a row adds to the domains counts less its share of the targets. Targets that
+    what a row adds to the domains counts less its share of the targets. ``most`` is the
+    largest rate, by default without bound: rates are projected on the box between. Targets that
     no rates reach are warned of with what was reached: the nearest in the metric above.
     """
     names = sorted(wanted)
@@ -166,7 +168,10 @@ def met_rate(rows: DataFrame, held: dict[str, float], wanted: dict[str, float],
     for _ in range(MOST_STEPS):
         raw = F.lit(1.0) + sum_of(x * F.lit(float(pull)) for x, pull in zip(p, pulls))
         rate, share = F.greatest(floor, raw), F.col("tokens") / F.lit(every)
-        above = share * (raw > floor).cast("double")
+        free = raw > floor
+        if most is not None:
+            rate, free = F.least(rate, F.lit(float(most))), free & (raw < most)
+        above = share * free.cast("double")
         found = rows.agg(F.sum(share * rate), F.sum(share * rate * (raw - rate / 2)), *[F.sum(share * rate * x) for x in p], *[
             F.sum(above * p[i] * p[j]) for i in range(n) for j in range(i + 1)]).first()
         left, total = np.array(found[2:2 + n]) - aim, found[0] if keep else 1.0
@@ -196,8 +201,8 @@ def met_rate(rows: DataFrame, held: dict[str, float], wanted: dict[str, float],
     return rate
 
 
-def fit_rates(rows: DataFrame, targets: dict[str, float], steps: int | None, ridge: float | None, keep: str | None
-              ) -> DataFrame:
+def fit_rates(rows: DataFrame, targets: dict[str, float], steps: int | None, ridge: float | None, keep: str | None,
+              most: float | None = None) -> DataFrame:
     """Adds rate. ``keep`` names a domain that loses no document: rows that it is the likeliest of have
     a rate of at least one, and the total follows. Plain steps choose the total by the domain's tokens instead."""
     domains = sorted(targets)
@@ -209,7 +214,7 @@ def fit_rates(rows: DataFrame, targets: dict[str, float], steps: int | None, rid
     whole = sum(targets.values())
     wanted = {d: targets[d] / whole for d in domains}
     if steps is None:
-        return rows.withColumn("rate", met_rate(rows, held, wanted, every, keep))
+        return rows.withColumn("rate", met_rate(rows, held, wanted, every, keep, most))
     total = held[keep] / wanted[keep] if keep else every
     goal = {d: total * wanted[d] for d in domains}
     return with_plain_rate(rows, held, goal, steps, ridge or 0.0)
@@ -217,7 +222,7 @@ def fit_rates(rows: DataFrame, targets: dict[str, float], steps: int | None, rid
 
 def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, domain: str = DOMAIN,
                  fit_documents: int = FIT_DOCUMENTS, words: int = WORDS, bins: int = BINS, steps: int | None = None,
-                 ridge: float | None = None, keep: str | None = None) -> DataFrame:
+                 ridge: float | None = None, keep: str | None = None, most: float | None = None) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): tokens (words), p_<domain> of each target, and rate.
 
     ``targets`` gives each domain's share of all tokens; ``domain`` is a SQL
@@ -226,12 +231,16 @@ def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] |
     not used; without labels every posterior is the same. Rows of an equal
     doc_id are rated each by their text. With equal texts come equal rates.
     Steps go on until each domain's expected tokens are within ``TOLERANCE`` of
-    its target; ``steps`` and ``ridge`` ask for so many plain steps instead.
+    its target, or as near as rates of ``most`` at the most (one or more) can bring it, which is
+    warned of and told by ``expected_shares``; ``steps`` and ``ridge`` ask for so many plain steps
+    instead, without ``most``.
     Other columns are ignored; an empty table gives no row.
     """
     targets = dict(TARGETS if targets is None else targets)
     if not targets or min(targets.values()) <= 0:
         raise ValueError("targets are positive shares")
+    if most is not None and (most < 1 or steps is not None):
+        raise ValueError("the largest rate is one or more, and not for plain steps")
     domains = sorted(targets)
     known = labelled(labels, domain).where(F.col("domain").isin(domains))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
@@ -241,7 +250,23 @@ def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] |
     rows = common.stored(measured(docs, marking), "mixing-measures")
     rows, _ = binned(rows, bins)
     rows = common.stored(posteriors(rows, known, domains, bins), "mixing-posteriors")
-    return fit_rates(rows, targets, steps, ridge, keep)
+    return fit_rates(rows, targets, steps, ridge, keep, most)
+
+
+def expected_shares(rates: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
+    """Per domain of ``targets``: its target, the expected share of the tokens before and after
+    the rates, and the residual (after less target). Without rows or tokens the shares are null."""
+    targets = dict(TARGETS if targets is None else targets)
+    whole = sum(targets.values())
+    names = sorted(targets)
+    sums = rates.agg(F.sum("tokens").alias("tokens"), F.sum(F.col("tokens") * F.col("rate")).alias("rated"), *[
+        F.struct(F.sum(F.col("tokens") * F.col(f"p_{d}")).alias("before"),
+                 F.sum(F.col("tokens") * F.col("rate") * F.col(f"p_{d}")).alias("after")).alias(f"d_{d}") for d in names])
+    rows = sums.select(F.explode(F.array(*[F.struct(
+        F.lit(d).alias("domain"), F.lit(targets[d] / whole).alias("target"),
+        F.try_divide(F.col(f"d_{d}.before"), F.col("tokens")).alias("before"),
+        F.try_divide(F.col(f"d_{d}.after"), F.col("rated")).alias("after")) for d in names])).alias("row")).select("row.*")
+    return rows.withColumn("residual", F.col("after") - F.col("target"))
 
 
 def draw(docs: DataFrame, rates: DataFrame, snap: float = 0.05) -> DataFrame:

@@ -57,6 +57,26 @@ def test_defaults_meet_every_target(frame, rows, labels, keep):
         assert abs((found["tokens"] * found["rate"]).sum() / found["tokens"].sum() - 1) <= 2 * mixing.TOLERANCE
 
 
+def test_largest_rate(frame, rows, labels):
+    free = mixing.mixing_rates(frame(rows), labels, keep="high").toPandas()["rate"].max()
+    docs = frame(rows)
+    loose = mixing.mixing_rates(docs, labels, keep="high", most=free * 1.01).toPandas()
+    assert all(abs(shares(loose)[d] / mixing.TARGETS[d] - 1) <= 2 * mixing.TOLERANCE for d in mixing.TARGETS)
+    most = max(1.0, 1 + (free - 1) / 4)
+    with pytest.warns(UserWarning, match="no rates meet the targets"):
+        rates = mixing.mixing_rates(docs, labels, keep="high", most=most)
+    found = rates.toPandas()
+    clean = found["p_high"] >= found[["p_low", "p_toxic"]].max(axis=1)
+    assert found["rate"].max() <= most and (found["rate"][clean] >= 1).all() and (found["rate"] >= 0).all()
+    told = {r["domain"]: r for r in mixing.expected_shares(rates).collect()}
+    for d, share in shares(found).items():
+        assert told[d]["after"] == pytest.approx(share) and told[d]["residual"] == pytest.approx(share - mixing.TARGETS[d])
+        assert told[d]["before"] == pytest.approx(shares(found, False)[d])
+    assert abs(told["toxic"]["residual"]) <= abs(told["toxic"]["before"] - 0.02)  # nearer than before
+    with pytest.raises(ValueError):
+        mixing.mixing_rates(docs, labels, most=0.5)
+
+
 def test_targets_out_of_reach_are_told(frame, rows, labels):
     with pytest.warns(UserWarning, match="no rates meet the targets"):
         mixing.mixing_rates(frame(rows), labels.where("false")).count()
