@@ -9,6 +9,8 @@ from rivermart.sources.tables import read_table
 
 #: Stages learn, cluster and solve by iteration, which SQL cannot express.
 ORACLE_SQL = None
+#: No document comes more often than this: copies beyond it would undo the near-duplicate stage.
+MOST_RATE = 4.0
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,9 +31,10 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: tokens meet the target weights by fewer low and toxic documents and, where that
-    is not enough, copies; no document whose likeliest domain is high is lost."""
+    is not enough, copies, ``MOST_RATE`` of a document at most, or come as near as these can bring
+    them; no document whose likeliest domain is high is lost."""
     labels = read_table(spark, f"{sf_dir}/labels.parquet")
-    return mixing.draw(docs, mixing.mixing_rates(docs, labels, keep="high"), snap=0.0)
+    return mixing.draw(docs, mixing.mixing_rates(docs, labels, keep="high", most=MOST_RATE), snap=0.0)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
