@@ -5,7 +5,9 @@ of them. A word's probability is the sum over every way to cut it into pieces,
 by the forward algorithm, and a text's is the product over its words (runs of
 letters, in lower case, with the vocabulary's word mark in front). The
 probabilities are learned by expectation-maximisation: the forward-backward
-algorithm spreads each word over its segmentations.
+algorithm spreads each word over its segmentations. Every piece of the vocabulary
+takes part, and no word is cut: beyond ``LONG_WORD`` characters the forward values
+are rescaled and carried from block to block.
 """
 
 from __future__ import annotations
@@ -19,24 +21,23 @@ from pyspark.sql import DataFrame, functions as F
 
 from rivermart.llm import common
 
-#: Longer pieces are left out: they add cost and hardly any evidence.
-LONGEST_PIECE = 8
 #: Documents per language that the model is fitted on, about: the documented bound of the sample.
 FIT_DOCUMENTS = 1500
 ROUNDS = 2
 #: Weight of the pooled probabilities in a language's own, in pieces.
 PRIOR_PIECES = 200.0
-#: Words kept with their scores per worker, in numbers stored.
-KEPT_NUMBERS = 1_500_000
+#: Words kept with their scores per worker, in numbers stored, and in characters.
+KEPT_NUMBERS, KEPT_CHARACTERS = 1_500_000, 4_000_000
 #: Multiplies a piece's probability per character, so that long words stay in range.
 LIFT = 32.0
-SPLIT_WORD = 48
+#: Longer words are worked out in blocks of places, rescaled every so many places.
+LONG_WORD, BLOCK, RESCALE = 48, 1024, 32
 MARK = "▁"
 LETTERS = re.compile(r"[^\W\d_]+")
 PREDICTED = [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())]
 
 
-def pieces_of(vocabulary_path: str, longest: int = LONGEST_PIECE) -> list[str]:
+def pieces_of(vocabulary_path: str) -> list[str]:
     """The vocabulary's pieces of letters, with or without the word mark in front."""
     import sentencepiece
 
@@ -46,7 +47,7 @@ def pieces_of(vocabulary_path: str, longest: int = LONGEST_PIECE) -> list[str]:
         piece = library.id_to_piece(i)
         body = piece.removeprefix(MARK)
         if not library.is_control(i) and not library.is_byte(i) and not library.is_unknown(i) \
-                and 0 < len(piece) <= longest and (body == "" or body.isalpha()):
+                and piece and (body == "" or body.isalpha()):
             found.add(piece.lower())
     return sorted(found | {MARK})
 
@@ -67,6 +68,7 @@ class Pieces:
         hashes = np.array([substring_hashes(points_of(p), len(p))[-1][0] for p in pieces], np.uint64)
         order = np.argsort(hashes)
         self.hashes, self.numbers, self.n = hashes[order], order, len(pieces)
+        self.lift = LIFT ** np.array([*map(len, pieces), 0, 1], float)
 
     def lattice(self, words: list[str]) -> np.ndarray:
         """Numbers of the pieces at [word, place, length - 1], words of one length; n where there is none.
@@ -88,44 +90,102 @@ class Pieces:
         return out
 
     def lifted(self, chances: np.ndarray, unknown: float = 1e-6) -> np.ndarray:
-        """Rows for the pieces, for none and for the unknown piece."""
+        """Lifted rows for the pieces, for none and for the unknown piece."""
         rest = np.zeros((2, chances.shape[1]))
         rest[1] = unknown
-        return np.vstack([chances, rest])
+        return np.vstack([chances, rest]) * self.lift[:, None]
+
+    def blocks(self, words: list[str]):
+        """The lattice of words of one length by blocks of places: first place and [word, place, length - 1]."""
+        for first in range(0, len(words[0]), BLOCK):
+            some = self.lattice([w[first:first + BLOCK + self.longest - 1] for w in words])
+            yield first, some[:, :BLOCK]
 
 
 def points_of(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
 
 
-def forward(lattice: np.ndarray, table: np.ndarray) -> np.ndarray:
+def forward(lattice: np.ndarray, table: np.ndarray, none: int) -> np.ndarray:
     """Lifted probability of the first t characters: [word, t, column of table]."""
     n, width, longest = lattice.shape
     out = np.zeros((n, width + 1, table.shape[1]))
     out[:, 0] = 1
     for t in range(1, width + 1):
         for i in range(1, min(longest, t) + 1):
-            out[:, t] += out[:, t - i] * table[lattice[:, t - i, i - 1]] * LIFT ** i
+            piece = lattice[:, t - i, i - 1]
+            at = np.flatnonzero(piece != none)
+            if len(at):
+                out[at, t] += out[at, t - i] * table[piece[at]]
     return out
 
 
-def expected(lattice: np.ndarray, table: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Expected uses of each piece over all segmentations, with table's one column."""
-    ahead = forward(lattice, table)[:, :, 0]
+def log_forward(finder: Pieces, words: list[str], table: np.ndarray, every: bool = False) -> np.ndarray:
+    """Logs of the lifted probabilities of words of one length, however long: [word, column].
+
+    ``every`` gives those of all beginnings instead: [word, t, column].
+    """
+    n, width = len(words), len(words[0])
+    ahead = np.zeros((n, finder.longest + 1, table.shape[1]))  # of the next places, as far as they are summed
+    ahead[:, 0] = 1
+    logs = np.zeros((n, table.shape[1]))
+    kept = np.zeros((n, width + 1, table.shape[1])) if every else None
+    for first, lattice in finder.blocks(words):
+        for t in range(lattice.shape[1]):
+            ahead[:, 1:] += ahead[:, :1] * table[lattice[:, t]]
+            ahead[:, :-1] = ahead[:, 1:]
+            ahead[:, -1] = 0
+            if t % RESCALE == 0:
+                top = ahead.max(axis=1)
+                ahead /= top[:, None]
+                logs += np.log(top)
+            if every:
+                kept[:, first + t + 1] = logs + np.log(ahead[:, 0])
+    return kept if every else logs + np.log(ahead[:, 0])
+
+
+def expected(finder: Pieces, words: list[str], table: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Expected uses of each piece over all segmentations of words of one length, with table's one column."""
+    if len(words[0]) > LONG_WORD:
+        return _expected_long(finder, words, table, counts)
+    lattice = finder.lattice(words)
+    ahead = forward(lattice, table, finder.n)[:, :, 0]
     n, width, longest = lattice.shape
     behind = np.zeros((n, width + 1))
     behind[:, width] = 1
     for t in range(width - 1, -1, -1):
         for i in range(1, min(longest, width - t) + 1):
-            behind[:, t] += behind[:, t + i] * table[lattice[:, t, i - 1], 0] * LIFT ** i
+            behind[:, t] += behind[:, t + i] * table[lattice[:, t, i - 1], 0]
     out = np.zeros(len(table))
     scale = counts / np.maximum(ahead[:, width], 1e-300)
     for i in range(1, min(longest, width) + 1):
-        use = ahead[:, :width - i + 1] * table[lattice[:, :width - i + 1, i - 1], 0] * LIFT ** i * behind[:, i:]
+        use = ahead[:, :width - i + 1] * table[lattice[:, :width - i + 1, i - 1], 0] * behind[:, i:]
         out += np.bincount(lattice[:, :width - i + 1, i - 1].ravel(), (use * scale[:, None]).ravel(), len(table))
     return out
 
 
+def _expected_long(finder: Pieces, words: list[str], table: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    ahead = log_forward(finder, words, table, every=True)[:, :, 0]
+    n, width, longest = len(words), len(words[0]), finder.longest
+    out = np.zeros(len(table))
+    behind, log = np.zeros((n, longest)), np.zeros(n)  # of the places after this one
+    behind[:, 0] = 1
+    for first in range((width - 1) // BLOCK * BLOCK, -1, -BLOCK):
+        lattice = finder.lattice([w[first:first + BLOCK + longest - 1] for w in words])[:, :BLOCK]
+        uses = np.zeros(lattice.shape)
+        for t in range(lattice.shape[1] - 1, -1, -1):
+            part = table[lattice[:, t], 0] * behind
+            uses[:, t] = part * np.exp(ahead[:, first + t] + log - ahead[:, width])[:, None]
+            behind[:, 1:] = behind[:, :-1]
+            behind[:, 0] = part.sum(axis=1)
+            if t % RESCALE == 0:
+                top = behind.max(axis=1)
+                behind /= top[:, None]
+                log += np.log(top)
+        out += np.bincount(lattice.ravel(), (uses * counts[:, None, None]).ravel(), len(table))
+    return out
+
+
 def by_length(words: list[str], limit: int = 20_000):
     """Positions of words of one length, at most so many characters together."""
     lengths = np.array([len(w) for w in words])
@@ -136,12 +196,6 @@ def by_length(words: list[str], limit: int = 20_000):
             yield part[i:i + step]
 
 
-def cut_word(word: str) -> list[str]:
-    """A marked word, in parts if it is very long."""
-    marked = MARK + word
-    return [marked[i:i + SPLIT_WORD] for i in range(0, len(marked), SPLIT_WORD)]
-
-
 def letter_words(text: str | None) -> list[str]:
     return LETTERS.findall(text.lower()) if text else []
 
@@ -155,31 +209,32 @@ class Scorer:
         self.languages = chances.shape[1]
         self.known: dict[str, int] = {}
         self.values = np.zeros((0, self.languages))
+        self.characters = 0
 
     def learn(self, words: list[str]) -> None:
-        parts, owner = [], []
-        for i, word in enumerate(words):
-            if any(map(str.isalpha, word)):
-                cut = cut_word(word)
-                parts += cut
-                owner += [i] * len(cut)
+        # A run without a letter scores nothing and is marked by -1.
+        real = np.array([any(map(str.isalpha, w)) for w in words])
+        owner = np.flatnonzero(real)
+        marked = [MARK + words[i] for i in owner]
         scores = np.zeros((len(words), self.languages))
-        owner = np.array(owner, np.int64)
-        for at in by_length(parts):
-            some = [parts[i] for i in at]
-            last = forward(self.pieces.lattice(some), self.table)[:, -1]
-            np.add.at(scores, owner[at], np.log(np.maximum(last, 1e-300)) - len(some[0]) * np.log(LIFT))
+        for at in by_length(marked):
+            some = [marked[i] for i in at]
+            if len(some[0]) > LONG_WORD:
+                logs = log_forward(self.pieces, some, self.table)
+            else:
+                logs = np.log(np.maximum(forward(self.pieces.lattice(some), self.table, self.pieces.n)[:, -1], 1e-300))
+            scores[owner[at]] = logs - len(some[0]) * np.log(LIFT)
         first = len(self.values)
-        # A run without a letter scores nothing and is marked by -1.
-        real = np.isin(np.arange(len(words)), owner)
         self.known.update((w, first + i if r else -1) for i, (w, r) in enumerate(zip(words, real.tolist())))
         self.values = np.vstack([self.values, scores])
+        self.characters += sum(map(len, words))
 
     def score(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Log probabilities [text, language] and the number of words with a letter."""
         found = [letter_words(t) for t in texts]
-        if len(self.values) * self.languages > KEPT_NUMBERS:
+        if len(self.values) * self.languages > KEPT_NUMBERS or self.characters > KEPT_CHARACTERS:
             self.known.clear()
+            self.characters = 0
             self.values = np.zeros((0, self.languages))
         new = set().union(*found) - self.known.keys() if found else set()
         if new:
@@ -234,19 +289,14 @@ def fit(docs: DataFrame, vocabulary_path: str, fit_documents: int = FIT_DOCUMENT
                     for word in letter_words(text):
                         own[word] = own.get(word, 0) + 1
             for lang, own in words.items():
-                parts, weights = [], []
-                for word, count in own.items():
-                    cut = cut_word(word)
-                    parts += cut
-                    weights += [count] * len(cut)
-                weights = np.array(weights, float)
+                marked, weights = [MARK + word for word in own], np.array(list(own.values()), float)
                 if now is None:  # at first every piece of a length is as likely
                     table = finder.lifted(np.array([[len(p) ** 2 * 0.1 / len(names)] for p in names]))
                 else:
                     table = finder.lifted(now[:, lang:lang + 1])
                 uses = np.zeros(len(table))
-                for at in by_length(parts):
-                    uses += expected(finder.lattice([parts[i] for i in at]), table, weights[at])
+                for at in by_length(marked):
+                    uses += expected(finder, [marked[i] for i in at], table, weights[at])
                 some = np.flatnonzero(uses[:len(names)] > 1e-6)
                 yield common.batch_of(kinds, np.full(len(some), lang, np.int32), some.astype(np.int32), uses[some])
 

@@ -1,6 +1,7 @@
 """Language by segmentation-marginalised unigrams."""
 
 import zlib
+from decimal import Decimal
 from functools import lru_cache
 
 import numpy as np
@@ -13,29 +14,36 @@ MODEL = tokens.vocabulary("piece_bpe_32k.model")
 
 
 def test_forward_sums_all_segmentations():
-    pieces = ["a", "b", "ab", "ba", "aba", langid.MARK]
+    pieces = ["a", "b", "ab", "ba", "aba", "abbaabbaabba", langid.MARK]
     chances = np.random.default_rng(1).random((len(pieces), 2)) / 4
     scorer = langid.Scorer(pieces, chances)
     table = dict(zip(pieces, chances))
 
-    def total(word):
-        @lru_cache(None)
-        def upto(t):
-            if t == 0:
-                return (1.0, 1.0)
-            sums = np.zeros(2)
-            for n in range(1, 4):
-                if n <= t:
-                    piece = word[t - n:t]
-                    p = table.get(piece, np.full(2, 1e-6) if n == 1 else np.zeros(2))
-                    sums += np.array(upto(t - n)) * p
-            return tuple(sums)
-        return np.log(upto(len(word)))
-
-    texts = ["abba", "aba ba", "zab", "b" * 30]
+    @lru_cache(None)
+    def total(word, t):
+        if t == 0:
+            return (Decimal(1), Decimal(1))
+        sums = [Decimal(0), Decimal(0)]
+        for n in range(1, min(12, t) + 1):
+            p = table.get(word[t - n:t], (1e-6, 1e-6) if n == 1 else (0.0, 0.0))
+            sums = [s + u * Decimal(float(x)) for s, u, x in zip(sums, total(word, t - n), p)]
+        return tuple(sums)
+
+    def logs_of(values):
+        return np.array([float(x.ln()) for x in values])
+
+    texts = ["abba", "aba ba", "zab", "b" * 30, "abba" * 5, "abba" * 50 + "z", "abba" * 11 + "abb", "z" * 90, "ab" * 700]
     logs, counts = scorer.score(texts)
-    want = [sum(total(langid.MARK + w) for w in t.split()) for t in texts]
-    assert np.allclose(logs, want) and counts.tolist() == [1, 2, 1, 1]
+    want = []
+    for text in texts:
+        sums = np.zeros(2)
+        for word in text.split():
+            total.cache_clear()
+            for t in range(0, len(word) + 2, 200):  # keeps the recursion shallow
+                total(langid.MARK + word, t)
+            sums += logs_of(total(langid.MARK + word, len(word) + 1))
+        want.append(sums)
+    assert np.allclose(logs, want, rtol=1e-9) and counts.tolist() == [1, 2] + [1] * 7
     again, _ = scorer.score(texts)
     assert np.allclose(again, want)
 
@@ -44,8 +52,25 @@ def test_expected_uses_spell_the_word():
     pieces = ["a", "b", "ab", langid.MARK, langid.MARK + "a"]
     finder = langid.Pieces(pieces)
     table = finder.lifted(np.full((len(pieces), 1), 0.2))
-    uses = langid.expected(finder.lattice([langid.MARK + "abab"]), table, np.array([3.0]))
-    assert np.isclose((uses[:5] * [len(p) for p in pieces]).sum(), 3 * 5)
+    for letters in ("abab", "ab" * 40, "ab" * 1500):
+        uses = langid.expected(finder, [langid.MARK + letters], table, np.array([3.0]))
+        assert np.isclose((uses[:5] * [len(p) for p in pieces]).sum(), 3 * (1 + len(letters)))
+
+
+def test_long_words_are_counted_as_short_ones(monkeypatch):
+    pieces = ["a", "b", "ab", "bab", "ababababab", langid.MARK, langid.MARK + "a"]
+    finder = langid.Pieces(pieces)
+    table = finder.lifted(np.random.default_rng(2).random((len(pieces), 1)) / 4)
+    words = [langid.MARK + w for w in ("ababababababbabzab", "bbbabababababababa")]
+    short = langid.expected(finder, words, table, np.array([3.0, 1.0]))
+    monkeypatch.setattr(langid, "LONG_WORD", 4)
+    monkeypatch.setattr(langid, "BLOCK", 7)
+    assert np.allclose(langid.expected(finder, words, table, np.array([3.0, 1.0])), short)
+
+
+def test_every_letter_piece_takes_part():
+    found = langid.pieces_of(MODEL)
+    assert max(map(len, found)) > 12 and langid.MARK + "information" in found
 
 
 def test_words_without_letters_do_not_count():
