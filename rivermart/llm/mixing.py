@@ -2,16 +2,17 @@
 
 Membership is soft. A naive Bayes classifier, learned from a table of labelled
 documents, gives each document a posterior over domains, and a document counts
-towards each domain by it. Rates r >= 0 then minimise
+towards each domain by it. Rates r >= 0, one for each document, then minimise
 
-    sum over domains (expected tokens - target)^2 / (total * now) + ridge * sum over documents w (r - 1)^2
+    sum over domains (expected tokens - target)^2 / target
 
-by projected gradient steps, w being a document's share of all tokens. In that
-metric the gradient for one document is the sum over domains of posterior times
-residual, so a step is one aggregation over all documents (a few numbers for each
-domain come back) and one expression per document. Steps are preconditioned and the
-ridge vanishes, until the expected tokens of every domain are at its target. Nothing
-but DataFrame functions is used, and no text is shuffled.
+by projected gradient steps from r = 1. The gradient for one document is the sum over
+domains of posterior times residual; the domains' residuals are preconditioned by the
+second moments of the posteriors, so a step is one aggregation over all documents (a few
+numbers come back) and one expression per document, cut at its bounds. Steps go on until
+the expected tokens of every domain are at its target. Plain steps, with a ridge
+sum over documents w (r - 1)^2, w being a document's share of all tokens, can be asked for.
+Nothing but DataFrame functions is used, and no text is shuffled.
 """
 
 from __future__ import annotations
@@ -32,9 +33,9 @@ WORDS, LEAST_DOCUMENTS = 48, 8
 BINS = 12
 #: Expected tokens of a domain are this near its target, as a share of the target.
 TOLERANCE = 0.001
-#: The ridge at the start, where it ends if targets cannot be met, and steps at most.
-FIRST_RIDGE, LAST_RIDGE, MOST_STEPS = 1e-5, 1e-9, 200
-#: Plain steps that are taken before the rates are written to the shared folder.
+#: A step is halved at most to this share; aggregations at most, halved steps included.
+LEAST_STEP, MOST_STEPS = 1 / 64, 200
+#: Steps that are taken before the rates are written to the shared folder.
 STEPS_AT_ONCE = 10
 #: Domains of the labels table and their share of tokens.
 TARGETS = {"high": 0.90, "low": 0.08, "toxic": 0.02}
@@ -142,63 +143,69 @@ def with_plain_rate(rows: DataFrame, held: dict[str, float], goal: dict[str, flo
     return rows.withColumn("rate", rate)
 
 
-def met_rate(rows: DataFrame, held: dict[str, float], wanted: dict[str, float], every: float, keep: str | None,
-             most: float | None = None) -> Column:
-    """The rate that brings each domain's expected tokens within ``TOLERANCE`` of its target.
+def with_met_rate(rows: DataFrame, wanted: dict[str, float], every: float, keep: str | None,
+                  most: float | None = None) -> DataFrame:
+    """Adds the rate that brings each domain's expected tokens within ``TOLERANCE`` of its target.
 
-    Where steps no longer change it, a rate is one plus a sum over domains of pulls
-    times posteriors, cut at its floor. Steps are taken on the pulls (one number for
-    each domain), preconditioned by the second moments of the posteriors of rows above
-    their floor, and halved where they overshoot; the ridge is divided by ten each time
-    the pulls have settled and the targets are not met. The floor is zero, and one for
-    rows that ``keep`` is the likeliest domain of; then the total is free, and
-    what a row adds to the domains counts less its share of the targets. ``most`` is the
-    largest rate, by default without bound: rates are projected on the box between. Targets that
-    no rates reach are warned of with what was reached: the nearest in the metric above.
+    Each step takes every document's rate against its gradient and projects it on its bounds.
+    The gradient is preconditioned by the second moments of the posteriors of documents that
+    it does not press against a bound, and a step that does not lessen the sum of squares is
+    halved. The lower bound is zero, and one for rows that ``keep`` is the likeliest domain of; then
+    the total is free, and what a row adds to the domains counts less its share of the targets.
+    ``most`` is the upper bound, by default none. Targets that no rates reach are warned of with what
+    was reached: where steps lessen the sum of squares no more.
     """
     names = sorted(wanted)
     n = len(names)
     target = np.array([wanted[d] for d in names])
-    weight = np.array([held[d] for d in names]) / every
     p, floor, aim = [F.col(f"p_{d}") for d in names], F.lit(0.0), target
     if keep:
         floor = (F.col(f"p_{keep}") >= F.greatest(*p, F.lit(0.0))).cast("double")
         p, aim = [x - F.lit(float(t)) for x, t in zip(p, target)], np.zeros(n)
-    pulls, ridge, step, before = np.zeros(n), FIRST_RIDGE, np.zeros(n), None
-    for _ in range(MOST_STEPS):
-        raw = F.lit(1.0) + sum_of(x * F.lit(float(pull)) for x, pull in zip(p, pulls))
-        rate, share = F.greatest(floor, raw), F.col("tokens") / F.lit(every)
-        free = raw > floor
+
+    def pull(by: np.ndarray) -> Column:
+        return sum_of(x * F.lit(float(b)) for x, b in zip(p, by))
+
+    def measure(rate: Column, before: np.ndarray):
+        """Residuals, all expected tokens, sum of squares, and moments of what ``before`` leaves free."""
+        share, slope = F.col("tokens") / F.lit(every), pull(before / target)
+        free = (F.col("rate") > floor) | (slope < 0)
         if most is not None:
-            rate, free = F.least(rate, F.lit(float(most))), free & (raw < most)
+            free = free & ((F.col("rate") < most) | (slope > 0))
         above = share * free.cast("double")
-        found = rows.agg(F.sum(share * rate), F.sum(share * rate * (raw - rate / 2)), *[F.sum(share * rate * x) for x in p], *[
-            F.sum(above * p[i] * p[j]) for i in range(n) for j in range(i + 1)]).first()
-        left, total = np.array(found[2:2 + n]) - aim, found[0] if keep else 1.0
+        found = rows.withColumn("rate", rate).agg(
+            F.sum(share * F.col("rate")), *[F.sum(share * F.col("rate") * x) for x in p], *[
+                F.sum(above * p[i] * p[j]) for i in range(n) for j in range(i + 1)]).first()
+        left, moments = np.array(found[1:1 + n]) - aim, np.zeros((n, n))
+        moments[np.tril_indices(n)] = found[1 + n:]
+        return left, found[0] if keep else 1.0, (left * left / target).sum(), moments + np.tril(moments, -1).T
+
+    # The start is within all bounds, so the first step needs no residuals to tell what is free.
+    rate, taken = F.lit(1.0), 0
+    left, total, squares, moments = measure(rate, np.zeros(n))
+    for _ in range(MOST_STEPS):
         near = TOLERANCE * target * total
         if (np.abs(left) <= near).all():
-            return rate
-        moments = np.zeros((n, n))
-        moments[np.tril_indices(n)] = found[2 + n:]
-        moments = moments + np.tril(moments, -1).T + np.diag(ridge * weight)
-        slope, value = left + ridge * weight * pulls, found[1] - pulls @ aim + ridge * (weight * pulls * pulls).sum() / 2
-        if before is not None and value > before[0] + 1e-12 * (1 + abs(before[0])) and np.abs(step).max() > 1e-12:
-            step = step / 2
-            pulls = before[1] + step
-            continue
-        before = value, pulls
-        if (np.abs(slope) <= near / 10).all():
-            if ridge <= LAST_RIDGE:
+            return rows.withColumn("rate", rate)
+        moments = moments + np.eye(n) * 1e-6 * max(np.trace(moments), 1e-12)
+        by, step = np.linalg.solve(moments, left), 1.0
+        while True:
+            after = F.greatest(floor, rate - pull(by * step))
+            if most is not None:
+                after = F.least(F.lit(float(most)), after)
+            found = measure(after, left)
+            if found[2] < squares * (1 - 1e-4 * step) or step <= LEAST_STEP:
                 break
-            # The next step starts here, under a tenth of the ridge: what it adds to slope, moments and value changes.
-            slope, moments = slope - 0.9 * ridge * weight * pulls, moments - np.diag(0.9 * ridge * weight)
-            before = value - 0.45 * ridge * (weight * pulls * pulls).sum(), pulls
-            ridge /= 10
-        step = -np.linalg.solve(moments, slope)
-        pulls = pulls + step
+            step /= 2
+        if found[2] >= squares * (1 - 1e-6):
+            break
+        rate, (left, total, squares, moments) = after, found
+        taken += 1
+        if taken % STEPS_AT_ONCE == 0:
+            rows, rate = common.stored(rows.withColumn("rate", rate), "rates"), F.col("rate")
     reached = {d: round(float(x / (t * total) + 1), 4) for d, x, t in zip(names, left, target)}
     warnings.warn(f"no rates meet the targets; expected tokens over target by domain: {reached}", stacklevel=2)
-    return rate
+    return rows.withColumn("rate", rate)
 
 
 def fit_rates(rows: DataFrame, targets: dict[str, float], steps: int | None, ridge: float | None, keep: str | None,
@@ -214,7 +221,7 @@ def fit_rates(rows: DataFrame, targets: dict[str, float], steps: int | None, rid
     whole = sum(targets.values())
     wanted = {d: targets[d] / whole for d in domains}
     if steps is None:
-        return rows.withColumn("rate", met_rate(rows, held, wanted, every, keep, most))
+        return with_met_rate(rows, wanted, every, keep, most)
     total = held[keep] / wanted[keep] if keep else every
     goal = {d: total * wanted[d] for d in domains}
     return with_plain_rate(rows, held, goal, steps, ridge or 0.0)

@@ -1,7 +1,12 @@
 """Soft-membership mixing."""
 
+import math
+import re
+import unicodedata
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import prose
 from rivermart.llm import mixing, queries
@@ -93,6 +98,59 @@ def test_steps_equal_plain_projected_gradient(frame, rows, labels):
     assert np.allclose(found["rate"], rate, atol=1e-9)
 
 
+def test_rates_equal_projected_steps_on_documents(frame, rows, labels):
+    """The production path in numpy, with every row's rate in an array."""
+    found = mixing.mixing_rates(frame(rows), labels).toPandas()
+    p, w = found[["p_high", "p_low", "p_toxic"]].to_numpy(), found["tokens"].to_numpy(float)
+    w, goal, rate = w / w.sum(), np.array([0.9, 0.08, 0.02]), np.ones(len(w))
+    left = w @ p - goal
+    free = np.ones(len(w), bool)
+    steps = 0
+    while (np.abs(left) > mixing.TOLERANCE * goal).any():
+        moments = (p * (w * free)[:, None]).T @ p
+        by = np.linalg.solve(moments + np.eye(3) * 1e-6 * np.trace(moments), left)
+        for halved in range(7):
+            after = np.maximum(0, rate - p @ by / 2 ** halved)
+            now = (w * after) @ p - goal
+            if (now ** 2 / goal).sum() < (left ** 2 / goal).sum() * (1 - 1e-4 / 2 ** halved):
+                break
+        free = (after > 0) | (p @ (left / goal) < 0)
+        rate, left, steps = after, now, steps + 1
+    assert steps > 1 and np.allclose(found["rate"], rate, atol=1e-6)
+
+
+def test_posteriors_equal_brute_force(spark, frame, rows, labels):
+    docs = frame(rows).selectExpr("doc_id", "coalesce(text, '') AS text").withColumn("row_id", F.xxhash64("text"))
+    known, domains = mixing.labelled(labels), sorted(mixing.TARGETS)
+    marking = mixing.marking_words(docs, known, domains, 4000, 48)
+    assert {"scum", "trash", "moron"} <= set(marking)
+    binned, edges = mixing.binned(mixing.measured(docs, marking), mixing.BINS)
+    got = mixing.posteriors(binned, known, domains, mixing.BINS).toPandas()
+    label = {r["doc_id"]: r["domain"] for r in known.collect()}
+    placed = []
+    for key, text in rows:
+        text = text or ""
+        words = re.split(r"[\s!-/:-@\[-`{-~]+", text.lower(), flags=re.ASCII)
+        kinds = [unicodedata.category(c) for c in text]
+        n = max(len(text), 1)
+        marks = sum(k[0] not in "LN" and c not in " \t\n\x0b\f\r" for k, c in zip(kinds, text))
+        measure = {"length": math.log1p(n), "upper": kinds.count("Lu") / n, "marks": marks / n,
+                   "distinct": len(set(words)) / len(words), "word_length": n / len(words),
+                   "marking": len(set(words) & set(marking))}
+        placed.append((key, len(words), {m: sum(x > e for e in edges[m]) for m, x in measure.items()}))
+    learnt = [(label[k], bins) for k, _, bins in placed if k in label]
+    want = []
+    for key, tokens, bins in placed:
+        odds = []
+        for d in domains:
+            own = [b for name, b in learnt if name == d]
+            odds.append((len(own) + 1) / (len(learnt) + 3) * math.prod(
+                (sum(b[m] == bins[m] for b in own) + 0.5) / (len(own) + 0.5 * (mixing.BINS + 1)) for m in mixing.MEASURES))
+        want.append((-1 if key is None else key, tokens, *[x / sum(odds) for x in odds]))
+    got = got.assign(doc_id=got["doc_id"].fillna(-1))[["doc_id", "tokens", *[f"p_{d}" for d in domains]]]
+    assert np.allclose(sorted(map(tuple, got.to_numpy().tolist())), sorted(want), atol=1e-9)
+
+
 def test_drawn_rows(frame, rows, labels):
     docs = frame(rows).withColumnRenamed("times", "rate")
     rates = mixing.mixing_rates(docs, labels, keep="high").cache()
