@@ -1,4 +1,5 @@
 import datetime
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -72,3 +73,17 @@ def test_number_reads_as_text_and_bad_number_is_null(spark):
     broken = spark.createDataFrame([('{"id":"x","price":"y"}',)], "value string")
     row = parse_records(broken, {"id": "bigint", "price": "double"}).first()
     assert tuple(row) == (None, None)
+
+
+def test_parsers_of_records_are_short_enough_to_be_compiled(spark, capsys):
+    """The JVM interprets generated methods of more than 8000 bytes."""
+    from rivermart.operators import wide
+
+    values = [('{"order_id":"7","sku_name":5,"x":1}',), ("[1]",), ("{",), (None,), ("{}",)]
+    records = spark.createDataFrame(values, "value string")
+    parsed = wide.parse_wide_records(records)
+    assert [(r.order_id, r.sku_name, r.user_id) for r in parsed.collect()] == [(7, "5", 0), (0, None, 0)]
+    for frame in (parsed, parse_records(records, schemas.ORDER_INFO)):
+        frame.explain("codegen")
+        sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+        assert sizes and max(sizes) < 8000
