@@ -80,12 +80,11 @@ def hot_groups(rows: DataFrame, key: str, skew: Skew = DEFAULT, **measures: Colu
     side reduces to a bounded number of rows; a hot group always sits in a
     bucket over the limit, so the second pass looks only into those.
     """
-    bucket = F.pmod(F.xxhash64(key), F.lit(skew.buckets))
-    counted = rows.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows"))
+    counted = _bucket_sizes(rows, key, skew)
     total = counted.agg(F.coalesce(F.sum("_rows"), F.lit(0))).scalar()
     limit = F.greatest(F.lit(skew.hot_rows), F.floor(total / F.lit(skew.hot_share)))
     heavy = counted.filter(F.col("_rows") > limit).select("_bucket")
-    suspects = rows.join(F.broadcast(heavy), bucket == F.col("_bucket"), "left_semi")
+    suspects = rows.join(F.broadcast(heavy), _bucket(key, skew) == F.col("_bucket"), "left_semi")
     return (suspects.groupBy(F.col(key).alias(HOT_KEY))
             .agg(F.count(F.lit(1)).alias(_SIZE),
                  *(column.alias(name) for name, column in measures.items()))
@@ -93,13 +92,29 @@ def hot_groups(rows: DataFrame, key: str, skew: Skew = DEFAULT, **measures: Colu
             .withColumn(_CHUNKS, F.ceil(F.col(_SIZE) / limit)))
 
 
+def _bucket(key: str, skew: Skew) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(skew.buckets))
+
+
+def _bucket_sizes(rows: DataFrame, key: str, skew: Skew) -> DataFrame:
+    return rows.groupBy(_bucket(key, skew).alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows"))
+
+
+def _may_be_hot(rows: DataFrame, key: str, skew: Skew) -> bool:
+    """Whether any bucket is over the limit; without one there is no hot group."""
+    sizes = _bucket_sizes(rows, key, skew).agg(F.sum("_rows"), F.max("_rows")).first()
+    total, largest = (size or 0 for size in sizes)
+    return largest > max(skew.hot_rows, total // skew.hot_share)
+
+
 def find_hot(rows: DataFrame, key: str, skew: Skew = DEFAULT, **measures: Column) -> DataFrame | None:
     """The hot groups as a fixed list, or None if there are none or the input is small.
 
     Fetching the bounded list now keeps later plans free of the search, and
-    plans without hot groups free of any special treatment.
+    plans without hot groups free of any special treatment. The second pass, whose
+    measures may need shuffles of all rows, is run only if the first gives cause.
     """
-    if is_small(rows, skew):
+    if is_small(rows, skew) or not _may_be_hot(rows, key, skew):
         return None
     groups = hot_groups(rows, key, skew, **measures)
     found = groups.collect()

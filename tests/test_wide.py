@@ -221,3 +221,14 @@ def test_a_bucketed_dimension_is_not_shuffled(spark, rows, tmp_path):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP TABLE bucketed_users")
+
+
+def test_without_a_full_bucket_there_is_no_second_pass(spark, monkeypatch):
+    from rivermart.operators import skew as module
+
+    frame = spark.range(1000).select((F.col("id") % 10).alias("k"), F.col("id").alias("v"))
+    found = module.find_hot(frame, "k", Skew(hot_rows=99, small_input=0), high=F.max("v"))
+    assert sorted((row._hot_key, row.high) for row in found.collect()) == [(i, 990 + i) for i in range(10)]
+    monkeypatch.setattr(module, "hot_groups", lambda *args, **measures: pytest.fail("second pass"))
+    assert module.find_hot(frame, "k", Skew(hot_rows=1000, small_input=0), high=F.max("v")) is None
+    assert module.find_hot(frame.where("v < 0"), "k", Skew(small_input=0)) is None
