@@ -342,3 +342,49 @@ def test_broadcast_limit_is_read_as_spark_reads_it(spark):
             assert fits_broadcast(side) == fits, text
         finally:
             spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_stream_joins_windows_with_each_row_once_in_its_state(spark, rows, tmp_path):
+    times = [0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11]
+    info = spark.createDataFrame([(i, 20 + 4 * i) for i in range(3)], "id bigint, s bigint")
+    detail = spark.createDataFrame([(100 * i + t, i, 20 + 4 * i + t - 6) for i in range(3) for t in times],
+                                   "id bigint, order_id bigint, s bigint")
+    info, detail = (orders_.withColumn(name, F.timestamp_seconds("s")).drop("s")
+                    for orders_, name in ((info, "order_ts"), (detail, "detail_ts")))
+    kinds = {"info": schemas.ORDER_INFO, "detail": schemas.ORDER_DETAIL}
+
+    def filled(frame, kind):
+        return frame.select(*frame.columns, *(F.lit(None).cast(type_).alias(name)
+                                              for name, type_ in kinds[kind].items() if name not in frame.columns))
+    info, detail = filled(info, "info"), filled(detail, "detail")
+    for name, frame in (("info", info), ("detail", detail)):
+        frame.coalesce(1).write.parquet(str(tmp_path / name))
+    streams = [spark.readStream.schema(frame.schema).parquet(str(tmp_path / name)).withWatermark(time, "30 seconds")
+               for name, frame, time in (("info", info, "order_ts"), ("detail", detail, "detail_ts"))]
+    pairs = wide.window_pairs(*streams, salts=1).select("order_id", "order_detail_id", F.col("window.start").alias("start"))
+    query = (pairs.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+             .option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True).start())
+    query.awaitTermination()
+    expected = wide.window_pairs(info, detail).select("order_id", "order_detail_id", F.col("window.start").alias("start"))
+    assert rows(spark.read.parquet(str(tmp_path / "out"))) == rows(expected) != []
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress]
+    assert max(held) <= info.count() + detail.count()
+
+
+def test_larger_inputs_are_handed_out_in_more_slices(spark, rows, sf_dir, monkeypatch):
+    from rivermart.plans import queries, stream_queries
+
+    whole = {name: rows(queries.queries()[name](spark, sf_dir)) for name in ("stream_wide_join", "stream_late_lines")}
+    monkeypatch.setattr(stream_queries, "SLICE_ROWS", 1_500)
+    monkeypatch.setattr(stream_queries, "STAGED_ROWS", 600)
+    made = []
+    run = stream_queries.Feed.run
+
+    def watched(self, *starts):
+        made.append((self.slices, self.spark.conf.get("spark.sql.shuffle.partitions")))
+        run(self, *starts)
+        assert self.spark.conf.get("spark.sql.shuffle.partitions") == str(self.spark.sparkContext.defaultParallelism)
+    monkeypatch.setattr(stream_queries.Feed, "run", watched)
+    for name, expected in whole.items():
+        assert rows(queries.queries()[name](spark, sf_dir)) == expected
+    assert made == [(4, "10")] * 2
