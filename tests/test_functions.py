@@ -75,8 +75,8 @@ def test_number_reads_as_text_and_bad_number_is_null(spark):
     assert tuple(row) == (None, None)
 
 
-def test_parsers_of_records_are_short_enough_to_be_compiled(spark, capsys):
-    """The JVM interprets generated methods of more than 8000 bytes."""
+def test_parsers_of_records_generate_short_methods(spark, capsys):
+    """Lookups of fields in the map are not generated code, of which there were up to 6445 bytes."""
     from rivermart.operators import wide
 
     values = [('{"order_id":"7","sku_name":5,"x":1}',), ("[1]",), ("{",), (None,), ("{}",)]
@@ -86,4 +86,4 @@ def test_parsers_of_records_are_short_enough_to_be_compiled(spark, capsys):
     for frame in (parsed, parse_records(records, schemas.ORDER_INFO)):
         frame.explain("codegen")
         sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
-        assert sizes and max(sizes) < 8000
+        assert sizes and max(sizes) < 3000
