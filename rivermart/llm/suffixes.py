@@ -10,19 +10,24 @@ task sorts by the bytes themselves.
 
 Not every suffix has to travel. The string's smallest ``gram``-hash (leftmost on
 ties) is its anchor: equal strings have equal anchors at equal offsets, so
-suffixes are dealt by anchor, and an anchor seen in one text only is dropped
+suffixes are dealt by anchor, and an anchor seen in one document only is dropped
 before any text is sent. Documents of equal text are one text. Occurrences of an
 anchor with the same surroundings are one element of the sort.
+
+Texts are dealt once, by document, and all three passes over them (anchors,
+surroundings, cutting) read that one shuffle. What the passes send each other is
+packed: see ``pack``.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType
 
 from rivermart.llm import common
 
@@ -31,8 +36,8 @@ GRAM = 16
 PARTITION_BYTES = 24 << 20
 SEND_ANCHORS = 1 << 20
 SEND_CONTEXTS = 1 << 17
-KEYED = [("part", pa.int32()), ("keys", pa.binary()), ("values", pa.binary())]
-KEYED_SCHEMA = "part int, keys binary, values binary"
+KEYED = [("part", pa.int32()), ("n", pa.int32()), ("packed", pa.binary())]
+KEYED_SCHEMA = "part int, n int, packed binary"
 DONE = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()),
         ("kept_sha256", pa.string())]
 
@@ -89,82 +94,96 @@ def pieces(data: np.ndarray, bounds: np.ndarray, width: int, limit: int = common
                 yield data[s:e], np.array([0, e - s]), low, s - a
 
 
-def keyed_rows(keys: np.ndarray, values: np.ndarray, parts: int, shape: list = KEYED) -> Iterator[pa.RecordBatch]:
-    """Rows (part, keys, values) for int64 keys [n, 2] and 64-bit values, dealt by key."""
-    if not len(keys):
-        return
-    bucket = (common.mix(keys[:, 0].view(np.uint64) * np.uint64(3) + keys[:, 1].view(np.uint64))
+def pack(numbers: np.ndarray) -> bytes:
+    """Rows of int64 in few bytes: the first column as differences, then by byte planes, compressed."""
+    rows = np.array(numbers, np.int64, order="C")
+    rows[1:, 0] -= numbers[:-1, 0]
+    planes = np.ascontiguousarray(rows.view(np.uint8).T)
+    return pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def unpack(packed: bytes, n: int, columns: int) -> np.ndarray:
+    planes = pa.decompress(packed, decompressed_size=n * columns * 8, codec="zstd", asbytes=True)
+    rows = np.array(np.frombuffer(planes, np.uint8).reshape(columns * 8, n).T, order="C").view(np.int64)
+    rows[:, 0] = np.cumsum(rows[:, 0])
+    return rows
+
+
+def tags(hashes: np.ndarray) -> np.ndarray:
+    """32 bits of an anchor's hash: an anchor taken for a repeated one by them is sent in vain, none is lost."""
+    return (hashes >> np.uint64(32)).astype(np.int64)
+
+
+def keyed_rows(numbers: np.ndarray, parts: int, shape: list = KEYED) -> Iterator[pa.RecordBatch]:
+    """Rows (part, n, packed) for int64 rows [n, 3] of two keys and a value, dealt by key."""
+    bucket = (common.mix(numbers[:, 0].view(np.uint64) * np.uint64(3) + numbers[:, 1].view(np.uint64))
               % np.uint64(parts)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
+    order = np.lexsort((numbers[:, 0], bucket))
     ends = np.searchsorted(bucket[order], np.arange(parts + 1))
     for i in np.flatnonzero(np.diff(ends)):
-        at = order[ends[i]:ends[i + 1]]
-        yield common.batch_of(shape, [int(i)], [keys[at].tobytes()], [values[at].tobytes()])
+        some = numbers[order[ends[i]:ends[i + 1]]]
+        yield common.batch_of(shape, [int(i)], [len(some)], [pack(some)])
 
 
-def per_key(rows: DataFrame, parts: int) -> DataFrame:
-    """One row (k1, k2, values) per key from keyed rows, values on end."""
+def per_key(rows: DataFrame, parts: int, finish: Callable[[np.ndarray], bytes]) -> DataFrame:
+    """One row (k1, k2, values) per key from keyed rows; ``finish`` makes the values' bytes."""
     kinds = [("k1", pa.int64()), ("k2", pa.int64()), ("values", pa.binary())]
 
     def gather(batches):
-        keys, values = [], []
-        for batch in batches:
-            for row in batch.to_pylist():
-                keys.append(np.frombuffer(row["keys"], np.int64).reshape(-1, 2))
-                values.append(np.frombuffer(row["values"], np.uint64))
-        if not keys:
+        got = [unpack(r["packed"], r["n"], 3) for b in batches for r in b.to_pylist()]
+        if not got:
             return
-        keys, values = np.concatenate(keys), np.concatenate(values)
-        order = np.lexsort((keys[:, 1], keys[:, 0]))
-        keys, values = keys[order], values[order]
-        new = np.ones(len(keys), bool)
-        new[1:] = (keys[1:] != keys[:-1]).any(axis=1)
-        begin = np.append(np.flatnonzero(new), len(keys))
+        numbers = np.concatenate(got)
+        numbers = numbers[np.lexsort((numbers[:, 1], numbers[:, 0]))]
+        new = np.ones(len(numbers), bool)
+        new[1:] = (numbers[1:, :2] != numbers[:-1, :2]).any(axis=1)
+        begin = np.append(np.flatnonzero(new), len(numbers))
         for i in range(0, len(begin) - 1, 1000):
             some = begin[i:i + 1001]
-            yield common.batch_of(kinds, keys[some[:-1], 0], keys[some[:-1], 1],
-                                  [values[a:b].tobytes() for a, b in zip(some[:-1], some[1:])])
+            yield common.batch_of(kinds, numbers[some[:-1], 0], numbers[some[:-1], 1],
+                                  [finish(numbers[a:b, 2]) for a, b in zip(some[:-1], some[1:])])
 
     return common.map_arrow(rows.repartition(parts, "part"), gather, "k1 long, k2 long, values binary")
 
 
 def repeated_anchors(texts: DataFrame, parts: int, width: int, gram: int) -> DataFrame:
-    """k1, k2 and the anchor hashes that the text shares with another, from (k1, k2, text).
+    """doc_id and the tags of anchors that the document shares with another, from (doc_id, text).
 
-    Within what a task has gathered, an anchor of several texts is known to
+    Within what a task has gathered, an anchor of several documents is known to
     repeat and goes on once, so a very common one is no large group.
     """
-    shape = [("part", pa.int32()), ("hashes", pa.binary()), ("keys", pa.binary()), ("known", pa.bool_())]
+    shape = [("part", pa.int32()), ("n", pa.int32()), ("packed", pa.binary()), ("known", pa.bool_())]
 
     def send(batches):
         held, count = [], 0
 
         def rows():
             hashes = np.concatenate([h for h, _ in held])
-            keys = np.concatenate([k for _, k in held])
-            order = np.lexsort((keys[:, 1], keys[:, 0], hashes))
-            hashes, keys = hashes[order], keys[order]
+            docs = np.concatenate([k for _, k in held])
+            order = np.lexsort((docs, hashes))
+            hashes, docs = hashes[order], docs[order]
             same_hash = np.zeros(len(hashes), bool)
             same_hash[1:] = hashes[1:] == hashes[:-1]
             same = same_hash.copy()
-            same[1:] &= (keys[1:] == keys[:-1]).all(axis=1)
-            hashes, keys, same_hash = hashes[~same], keys[~same], same_hash[~same]
+            same[1:] &= docs[1:] == docs[:-1]
+            hashes, docs, same_hash = hashes[~same], docs[~same], same_hash[~same]
             group = np.cumsum(~same_hash) - 1
             several = (np.bincount(group) > 1)[group]
             bucket = (hashes % np.uint64(parts)).astype(np.int64)
+            numbers = np.stack([docs, tags(hashes)], axis=1)
             for known, pick in ((True, several), (False, ~same_hash)):
                 at = np.flatnonzero(pick)
-                at = at[np.argsort(bucket[at], kind="stable")]
+                at = at[np.lexsort((docs[at], bucket[at]))]
                 ends = np.searchsorted(bucket[at], np.arange(parts + 1))
                 for i in np.flatnonzero(np.diff(ends)):
-                    some = at[ends[i]:ends[i + 1]]
-                    yield common.batch_of(shape, [int(i)], [hashes[some].tobytes()], [keys[some].tobytes()], [known])
+                    some = numbers[at[ends[i]:ends[i + 1]]]
+                    yield common.batch_of(shape, [int(i)], [len(some)], [pack(some)], [known])
 
         for batch in batches:
-            keys = np.stack([batch.column(i).to_numpy() for i in range(2)], axis=1)
-            for data, bounds, low, _ in pieces(*common.utf8(batch.column(2)), width):
+            docs = batch.column(0).to_numpy()
+            for data, bounds, low, _ in pieces(*common.utf8(batch.column(1)), width):
                 found = Anchors(data, bounds, width, gram)
-                held.append((found.hash, keys[found.text + low]))
+                held.append((found.hash, docs[found.text + low]))
                 count += len(found.hash)
                 if count >= SEND_ANCHORS:
                     yield from rows()
@@ -173,40 +192,34 @@ def repeated_anchors(texts: DataFrame, parts: int, width: int, gram: int) -> Dat
             yield from rows()
 
     def meet(batches):
-        hashes, keys, settled = [], [], []
+        got, settled = [], []
         for batch in batches:
             for row in batch.to_pylist():
-                own = np.frombuffer(row["hashes"], np.uint64)
-                names = np.frombuffer(row["keys"], np.int64).reshape(-1, 2)
-                if row["known"]:
-                    settled.append((names, own))
-                else:
-                    hashes.append(own)
-                    keys.append(names)
-        if not hashes:  # every settled anchor comes with one row that is not
+                (settled if row["known"] else got).append(unpack(row["packed"], row["n"], 2))
+        if not got:  # every settled anchor comes with one row that is not
             return
-        hashes, keys = np.concatenate(hashes), np.concatenate(keys)
-        order = np.lexsort((keys[:, 1], keys[:, 0], hashes))
-        hashes, keys = hashes[order], keys[order]
-        same = hashes[1:] == hashes[:-1]
-        again = np.append(False, same & (keys[1:] == keys[:-1]).all(axis=1))
+        numbers = np.concatenate(got)
+        numbers = numbers[np.lexsort((numbers[:, 0], numbers[:, 1]))]
+        docs, names = numbers[:, 0], numbers[:, 1]
+        same = names[1:] == names[:-1]
+        again = np.append(False, same & (docs[1:] == docs[:-1]))
         other = same & ~again[1:]
         group = np.append(0, np.cumsum(~same))
         mixed = np.zeros(group[-1] + 1, bool)
         mixed[group[1:][other]] = True
-        pick = mixed[group] & ~again
         # What a task has found to repeat stays so, whoever else has the anchor.
-        settled = [(keys[pick], hashes[pick]), *settled]
-        yield from keyed_rows(np.concatenate([k for k, _ in settled]), np.concatenate([h for _, h in settled]), parts)
+        shared = np.concatenate([numbers[mixed[group] & ~again], *settled])
+        yield from keyed_rows(np.stack([shared[:, 0], np.zeros(len(shared), np.int64), shared[:, 1]], axis=1), parts)
 
-    sent = common.map_arrow(texts, send, "part int, hashes binary, keys binary, known boolean")
-    return per_key(common.map_arrow(sent.repartition(parts, "part"), meet, KEYED_SCHEMA), parts)
+    sent = common.map_arrow(texts, send, "part int, n int, packed binary, known boolean")
+    met = common.map_arrow(sent.repartition(parts, "part"), meet, KEYED_SCHEMA)
+    return per_key(met, parts, lambda values: values.astype(np.uint32).tobytes()).select(F.col("k1").alias("doc_id"), "values")
 
 
 def context_rows(texts: DataFrame, parts: int, width: int, gram: int) -> DataFrame:
     """Surroundings of repeated anchors, dealt by anchor, from (doc_id, variant, text, values)."""
     full = 2 * width - gram
-    shape = [("part", pa.int32()), ("hashes", pa.binary()), ("numbers", pa.binary()), ("contexts", pa.binary())]
+    shape = [("part", pa.int32()), ("n", pa.int32()), ("numbers", pa.binary()), ("contexts", pa.binary())]
 
     def send(batches):
         held, count = [], 0
@@ -218,18 +231,18 @@ def context_rows(texts: DataFrame, parts: int, width: int, gram: int) -> DataFra
             ends = np.searchsorted(bucket[order], np.arange(parts + 1))
             for i in np.flatnonzero(np.diff(ends)):
                 at = order[ends[i]:ends[i + 1]]
-                yield common.batch_of(shape, [int(i)], [hashes[at].tobytes()], [numbers[at].tobytes()],
-                                      [contexts[at].tobytes()])
+                yield common.batch_of(shape, [int(i)], [len(at)], [pack(numbers[at])],
+                                      [pa.compress(contexts[at], codec="zstd", asbytes=True)])
 
         for batch in batches:
             keys = np.stack([batch.column(i).to_numpy() for i in range(2)], axis=1)
-            wanted = np.unique(np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint64))
+            wanted = np.unique(np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint32))
             for data, bounds, low, place in pieces(*common.utf8(batch.column(2)), width):
                 found = Anchors(data, bounds, width, gram)
                 if not len(found.hash) or not len(wanted):
                     continue
-                at = np.minimum(np.searchsorted(wanted, found.hash), len(wanted) - 1)
-                pick = np.flatnonzero(wanted[at] == found.hash)
+                own = tags(found.hash)
+                pick = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, own), len(wanted) - 1)] == own)
                 for some in np.array_split(pick, -(-len(pick) // SEND_CONTEXTS)) if len(pick) else ():
                     first, number, text = found.first[some], found.count[some], found.text[some]
                     length = number + width - 1
@@ -246,10 +259,22 @@ def context_rows(texts: DataFrame, parts: int, width: int, gram: int) -> DataFra
         if count:
             yield from rows()
 
-    sent = common.map_arrow(texts, send, "part int, hashes binary, numbers binary, contexts binary")
+    sent = common.map_arrow(texts, send, "part int, n int, numbers binary, contexts binary")
     return sent.repartition(parts, "part")
 
 
+def unpack_contexts(row: dict, width: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor hashes, numbers and surroundings of a row of ``context_rows``."""
+    numbers, full = unpack(row["numbers"], row["n"], 5), 2 * width - gram
+    raw = pa.decompress(row["contexts"], decompressed_size=row["n"] * full, codec="zstd", asbytes=True)
+    contexts = np.frombuffer(raw, np.uint8).reshape(-1, full)
+    up, _ = common.power_tables(gram + 1)
+    sums = np.zeros(len(contexts), np.uint64)
+    for j in range(gram):
+        sums += common.BYTES[contexts[np.arange(len(contexts)), numbers[:, 4] + j]] * up[j]
+    return common.mix(sums), numbers, contexts
+
+
 class Suffixes:
     """Strings of ``width`` bytes at (row, start) of a matrix of bytes, compared by prefix hashes."""
 
@@ -335,8 +360,8 @@ def classes_of(suffixes: Suffixes, group: np.ndarray, row: np.ndarray, start: np
 
 
 def found_again(hashes: np.ndarray, numbers: np.ndarray, contexts: np.ndarray, width: int
-                ) -> tuple[np.ndarray, np.ndarray]:
-    """Keys (doc_id, variant) and spans (place << 24 | length) of strings that a smaller doc_id has too."""
+                ) -> np.ndarray:
+    """Rows (doc_id, variant, span = place << 24 | length) of strings that a smaller doc_id has too."""
     doc, number, offset = numbers[:, 0], numbers[:, 3], numbers[:, 4]
     # Occurrences with the same surroundings are one element, with the smallest doc_id.
     up, _ = common.power_tables(contexts.shape[1] + 2)
@@ -403,15 +428,15 @@ def found_again(hashes: np.ndarray, numbers: np.ndarray, contexts: np.ndarray, w
                 mine = mine + 1
                 go = own & (mine < end)
                 mine, row, start, end = mine[go], row[go], start[go], end[go]
-    places, lengths = np.concatenate(places).astype(np.uint64), np.concatenate(lengths).astype(np.uint64)
-    return np.concatenate(keys), (places << np.uint64(24)) | lengths
+    spans = (np.concatenate(places) << 24) | np.concatenate(lengths)
+    return np.concatenate([np.concatenate(keys), spans[:, None]], axis=1)
 
 
 def joined_spans(values: np.ndarray) -> np.ndarray:
     """Maximal runs [start, end) of overlapping or touching spans."""
     values = np.sort(values)
-    starts = (values >> np.uint64(24)).astype(np.int64)
-    ends = np.maximum.accumulate(starts + (values & np.uint64((1 << 24) - 1)).astype(np.int64))
+    starts = values >> 24
+    ends = np.maximum.accumulate(starts + (values & ((1 << 24) - 1)))
     new = np.ones(len(starts), bool)
     new[1:] = starts[1:] > ends[:-1]
     last = np.append(np.flatnonzero(new)[1:] - 1, len(starts) - 1) if len(starts) else np.zeros(0, np.int64)
@@ -430,27 +455,30 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, with_t
     """
     spark = docs.sparkSession
     common.prepare(spark)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    # A cast to the type it has would leave an alias that Spark drops in some places only: two shuffles for one.
+    doc_id = F.col("doc_id") if docs.schema["doc_id"].dataType == LongType() else F.col("doc_id").cast("long").alias("doc_id")
+    rows = docs.select(doc_id, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumns({"k1": F.xxhash64("text"), "k2": F.xxhash64(F.lit(1), "text")})
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), common.text_bytes(rows) // PARTITION_BYTES + 1)
-    whole = rows.where(F.col("doc_id").isNotNull())
-    names = whole.select("doc_id", "k1", "k2").distinct()
+    whole, keys = rows.where(F.col("doc_id").isNotNull()), ["doc_id", "k1", "k2"]
+    names = whole.select(keys).distinct()
     first = names.groupBy("k1", "k2").agg(F.min("doc_id").alias("chief"))
-    shared = repeated_anchors(whole.select("k1", "k2", "text"), parts, width, gram)
     # A document's texts, if its doc_id has several, are told apart by k2.
-    info = names.join(first, ["k1", "k2"]).join(shared, ["k1", "k2"], "left").select(
-        "doc_id", "k1", "k2", (F.col("doc_id") > F.col("chief")).alias("copy"),
-        F.when(F.col("doc_id") == F.col("chief"), F.col("values")).alias("values"))
-    info = common.stored(info, "suffix-anchors")
-
-    anchored = rows.join(info.where("values is not null").drop("copy"), ["doc_id", "k1", "k2"])
-    sent = context_rows(anchored.select("doc_id", F.col("k2").alias("variant"), "text", "values"), parts, width, gram)
+    texts = names.groupBy("doc_id").agg((F.count(F.lit(1)) > 1).alias("several"))
+    info = names.join(first, ["k1", "k2"]).join(texts, "doc_id").select(
+        *keys, (F.col("doc_id") > F.col("chief")).alias("copy"),
+        F.when(F.col("several"), F.col("k2")).otherwise(F.lit(0).cast("long")).alias("variant"))
+    info = common.stored(info, "suffix-names")
+    chiefs = info.where("not copy").drop("copy")
+
+    # Every pass joins this same frame, with no filter of its own, so Spark shuffles the texts once.
+    dealt = whole.repartition(parts, *keys)
+    shared = repeated_anchors(dealt.join(chiefs, keys).select("doc_id", "text"), parts, width, gram)
+    anchored = dealt.join(chiefs.join(shared, "doc_id"), keys)
+    sent = context_rows(anchored.select("doc_id", "variant", "text", "values"), parts, width, gram)
 
     def sort(batches):
-        full = 2 * width - gram
-        got = [(np.frombuffer(r["hashes"], np.uint64), np.frombuffer(r["numbers"], np.int64).reshape(-1, 5),
-                np.frombuffer(r["contexts"], np.uint8).reshape(-1, full)) for b in batches for r in b.to_pylist()]
+        got = [unpack_contexts(r, width, gram) for b in batches for r in b.to_pylist()]
         if not got:
             return
         hashes, numbers, contexts = (np.concatenate(x) for x in zip(*got))
@@ -464,12 +492,11 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, with_t
             some = order[low:high]
             found.append(found_again(hashes[some], numbers[some], contexts[some], width))
             low = high
-        yield from keyed_rows(*(np.concatenate(x) for x in zip(*found)), parts)
+        yield from keyed_rows(np.concatenate(found), parts)
 
-    spans = per_key(common.map_arrow(sent, sort, KEYED_SCHEMA), parts).select(
-        F.col("k1").alias("doc_id"), F.col("k2"), F.col("values").alias("spans"))
-    spans = common.stored(spans, "suffix-spans")
-    marks = info.select("doc_id", "k1", "k2", "copy").join(spans, ["doc_id", "k2"], "left").where("copy or spans is not null")
+    runs = per_key(common.map_arrow(sent, sort, KEYED_SCHEMA), parts, lambda values: joined_spans(values).tobytes()).select(
+        F.col("k1").alias("doc_id"), F.col("k2").alias("variant"), F.col("values").alias("runs"))
+    marks = info.join(runs, ["doc_id", "variant"], "left").drop("variant")
     shape = [*DONE, ("kept", pa.binary())] if with_text else DONE
 
     def cut_out(batches):
@@ -481,7 +508,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, with_t
                 if batch.column(2)[i].as_py() and len(raw) >= width:
                     runs = np.array([[0, len(raw)]])
                 elif (found := batch.column(3)[i].as_py()) is not None:
-                    runs = joined_spans(np.frombuffer(found, np.uint64))
+                    runs = np.frombuffer(found, np.int64).reshape(-1, 2)
                 at, left = 0, []
                 for a, b in runs.tolist():
                     left.append(raw[at:a])
@@ -492,6 +519,9 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, with_t
                     column.append(value)
             yield common.batch_of(shape, *out)
 
-    result = rows.join(marks, ["doc_id", "k1", "k2"], "left").select("doc_id", "text", "copy", "spans")
+    marked = dealt.join(marks, keys).select("doc_id", "text", "copy", "runs")
+    unnamed = rows.where(F.col("doc_id").isNull()).select(
+        "doc_id", "text", F.lit(False).alias("copy"), F.lit(None).cast("binary").alias("runs"))
+    result = marked.unionAll(unnamed)
     return common.map_arrow(result, cut_out, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
                             + (", kept binary" if with_text else ""))

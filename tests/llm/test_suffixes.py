@@ -79,6 +79,52 @@ def test_kept_bytes_and_empty_table(frame, odd_texts):
     assert suffixes.remove_repeats(frame([])).count() == 0
 
 
+def shuffled(spark):
+    """Bytes of the shuffle files that lie on disk now, by file."""
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {path: path.stat().st_size for x in folders for path in Path(str(x)).rglob("shuffle_*.data")}
+
+
+def test_shuffles_take_little_more_room_than_the_texts(spark, frame):
+    draw = random.Random(5)
+    passages = ["".join(draw.choices("abcdefgh ", k=300)) for _ in range(300)]
+    rows = [(i, "".join("".join(draw.choices("abcdefgh ", k=500)) + draw.choice(passages) for _ in range(2))) for i in range(2500)]
+    rows += [(i + 5000, t) for i, t in rows[:200]]
+    docs = frame(rows).repartition(3).localCheckpoint()
+    before = shuffled(spark)
+    got = suffixes.remove_repeats(docs)
+    assert len(got.collect()) == len(rows)
+    written = sum(n for path, n in shuffled(spark).items() if path not in before)
+    assert 0 < written < 1.6 * sum(len(t) for _, t in rows)
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    dealt = [line for line in plan.splitlines() if "REPARTITION_BY_NUM" in line and "k2#" in line]
+    assert sum("ReusedExchange" not in line for line in dealt) == 1
+
+
+def test_packed_numbers_come_back():
+    odd = np.array([[-2**63, 0, 5], [-2**63, 2**63 - 1, 0], [-1, 3, 2**40], [2**63 - 1, -7, 1]])
+    for numbers in (odd, odd[:1], odd[::-1], np.asfortranarray(odd), odd[:0]):
+        assert (suffixes.unpack(suffixes.pack(numbers), len(numbers), 3) == numbers).all()
+
+
+def test_anchors_are_named_by_their_surroundings():
+    data = np.random.default_rng(6).integers(97, 123, 400).astype(np.uint8)
+    found = suffixes.Anchors(data, np.array([0, 400]), 50, 16)
+    contexts = np.zeros((len(found.at), 84), np.uint8)
+    for row, first in zip(contexts, found.first):
+        row[:len(data[first:first + 84])] = data[first:first + 84]
+    numbers = np.stack([found.at, found.at, found.first, found.count, found.at - found.first], axis=1)
+    row = {"n": len(numbers), "numbers": suffixes.pack(numbers), "contexts": suffixes.pa.compress(contexts, codec="zstd", asbytes=True)}
+    hashes, got, _ = suffixes.unpack_contexts(row, 50, 16)
+    assert (hashes == found.hash).all() and (got == numbers).all()
+
+
+def test_texts_of_one_id_are_told_apart(frame):
+    draw = random.Random(8)
+    a, b, c = ("".join(draw.choices("abcdefghij", k=300)) for _ in range(3))
+    check(frame, [(7, c + a), (7, b + c), (7, c + a), (3, a[:200]), (3, b[50:]), (9, c + b), (None, a), (None, a)])
+
+
 @pytest.mark.parametrize("sf", ["sf0.001"])
 def test_whole_table(spark, sf):
     rows = [tuple(r) for r in spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select("doc_id", "text").collect()]
