@@ -17,6 +17,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from rivermart.llm import common
@@ -33,6 +34,7 @@ EDGES = [("a", pa.int64()), ("b", pa.int64()), ("score", pa.float32())]
 EDGES_SCHEMA = "a long, b long, score float"
 #: Pairs that a task holds before it keeps the best of each vector only, and before it hands them on.
 HELD_PAIRS, MOST_PAIRS = 1 << 20, 1 << 22
+GATHERED_PAIRS = 1 << 17
 
 
 def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
@@ -106,13 +108,19 @@ class _Best:
                 yield common.batch_of(EDGES, a[i:i + 50_000], b[i:i + 50_000], score[i:i + 50_000])
 
 
+def numpy_columns(batches) -> list[np.ndarray] | None:
+    """All rows of the batches as an array for each column, or None if there is none."""
+    held = [[column.to_numpy(zero_copy_only=False) for column in batch.columns] for batch in batches if batch.num_rows]
+    return [np.concatenate(x) for x in zip(*held)] or None
+
+
 def kept_best(pairs: DataFrame, keep: int) -> DataFrame:
     """The best ``keep`` links of every vector from scored pairs."""
 
     def choose(batches):
-        held = [tuple(batch.column(i).to_numpy() for i in range(3)) for batch in batches]
+        held = numpy_columns(batches)
         if held:
-            a, b, score = best_per(*(np.concatenate(x) for x in zip(*held)), keep)
+            a, b, score = best_per(*held, keep)
             for i in range(0, len(a), 50_000):
                 yield common.batch_of(EDGES, a[i:i + 50_000], b[i:i + 50_000], score[i:i + 50_000])
 
@@ -121,7 +129,9 @@ def kept_best(pairs: DataFrame, keep: int) -> DataFrame:
 
 def matrix(column: pa.Array, kind: str = "<f2") -> np.ndarray:
     """Vectors of one dimension, packed as bytes, as rows."""
-    data = b"".join(column.to_pylist())
+    column = column.cast(pa.large_binary())
+    ends = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
+    data = column.buffers()[2].slice(ends[0], ends[-1] - ends[0])
     return np.frombuffer(data, kind).reshape(len(column), -1).astype(np.float32)
 
 
@@ -131,10 +141,12 @@ def packed(vectors: DataFrame, kind: str = "<f2") -> DataFrame:
 
     def pack(batches):
         for batch in batches:
-            norms = batch.column(2).to_numpy()
-            rows = [np.array(v) / n for v, n in zip(batch.column(1).to_pylist(), norms)]
-            yield common.batch_of(kinds, batch.column(0), [len(r) for r in rows],
-                                  [r.astype(kind).tobytes() for r in rows])
+            column, norms = batch.column(1), batch.column(2).to_numpy()
+            dims = pc.list_value_length(column).to_numpy()
+            units = (column.flatten().to_numpy() / np.repeat(norms, dims)).astype(kind)
+            ends = np.concatenate([[0], np.cumsum(dims)]) * units.itemsize
+            unit = pa.Array.from_buffers(pa.binary(), len(dims), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(units)])
+            yield common.batch_of(kinds, batch.column(0), dims, unit)
 
     return common.map_arrow(vectors.select("id", "v", "n"), pack, "id long, dim int, unit binary")
 
@@ -205,7 +217,7 @@ def first_graph(units: DataFrame, links: int, trees: int, leaf: int, fit_vectors
 
     def compare(batches):
         best = _Best(links)
-        for _, ids, vectors in groups(batches):
+        for ids, vectors in groups(batches):
             score = vectors @ vectors.T
             np.fill_diagonal(score, -2)
             k = min(links, len(ids) - 1)
@@ -217,125 +229,221 @@ def first_graph(units: DataFrame, links: int, trees: int, leaf: int, fit_vectors
     return kept_best(common.map_arrow(dealt, compare, EDGES_SCHEMA), links)
 
 
-def groups(batches):
-    """Group, ids and vectors of every run of rows (group, dim, id, unit) sorted by group."""
-    now, dim_now, ids, units = None, None, [], []
+def groups(batches, more: int = 0):
+    """Ids, vectors and ``more`` further columns of every run of rows (group, dim, id, unit, ...) sorted by group."""
+    key, held = None, []
     for batch in batches:
         names, dims = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         numbers, column = batch.column(2).to_numpy(), batch.column(3)
-        edges = np.concatenate([[0], np.flatnonzero(np.diff(names) | np.diff(dims)) + 1, [len(names)]])
-        for low, high in zip(edges[:-1], edges[1:]):
-            if low == high:
+        others = [batch.column(4 + i).to_numpy(zero_copy_only=False) for i in range(more)]
+        changes = np.flatnonzero(np.diff(dims)) + 1
+        for first, last in zip([0, *changes], [*changes, len(dims)]):
+            if first == last:
                 continue
-            if (names[low], dims[low]) != (now, dim_now):
-                if ids:
-                    yield now, np.concatenate(ids), np.concatenate(units)
-                now, dim_now, ids, units = names[low], dims[low], [], []
-            ids.append(numbers[low:high])
-            units.append(matrix(column.slice(low, high - low)))
-    if ids:
-        yield now, np.concatenate(ids), np.concatenate(units)
+            vectors = matrix(column.slice(first, last - first))
+            edges = [first, *(np.flatnonzero(np.diff(names[first:last])) + first + 1).tolist(), last]
+            for low, high in zip(edges[:-1], edges[1:]):
+                if (names[low], dims[low]) != key:
+                    if held:
+                        yield joined(held)
+                    key, held = (names[low], dims[low]), []
+                held.append((numbers[low:high], vectors[low - first:high - first], *(x[low:high] for x in others)))
+    if held:
+        yield joined(held)
+
+
+def joined(parts: list[tuple]) -> tuple:
+    return parts[0] if len(parts) == 1 else tuple(np.concatenate(x) for x in zip(*parts))
+
+
+MET = [("group", pa.int64()), ("id", pa.int64()), ("new", pa.bool_()), ("live", pa.bool_())]
+MET_SCHEMA = "group long, id long, new boolean, live boolean"
+FORWARD, BACKWARD, BEFORE = 0, 1, 2
+
+
+def drawn(a: np.ndarray, b: np.ndarray, draw: np.ndarray, links: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ``links`` b of each a with the smallest draws."""
+    order = np.lexsort((draw, a))
+    a, b, draw = a[order], b[order], draw[order]
+    take = np.arange(len(a)) - np.searchsorted(a, a, "left") < links
+    return a[take], b[take], draw[take]
 
 
-def both_ways(graph: DataFrame, links: int, seed: int) -> DataFrame:
-    """a, b: every vector's links, and backward links drawn by hash, as many at most.
+def both_ways(graph: DataFrame, links: int, seed: int, before: DataFrame | None = None) -> DataFrame:
+    """group, id, new, live: who meets at each vector, which are its links, and backward links drawn by hash,
+    as many at most; whether they did not in the round ``before``, and whether anyone there did not.
 
     So a vector that is very many vectors' neighbour is no large group. The draw
     is made per task before the shuffle and again after.
     """
-    back = graph.select(F.col("b").alias("a"), F.col("a").alias("b"), F.xxhash64("a", "b", F.lit(seed)).alias("draw"))
     kinds = [("a", pa.int64()), ("b", pa.int64()), ("draw", pa.int64())]
 
-    def drawn(batches):
-        held = [tuple(batch.column(i).to_numpy() for i in range(3)) for batch in batches]
+    def draw(batches):
+        held = numpy_columns(batches)
         if held:
-            a, b, number = (np.concatenate(x) for x in zip(*held))
-            order = np.lexsort((number, a))
-            a, b, number = a[order], b[order], number[order]
-            take = np.arange(len(a)) - np.searchsorted(a, a, "left") < links
-            yield common.batch_of(kinds, a[take], b[take], number[take])
+            yield common.batch_of(kinds, *drawn(*held, links))
 
-    some = common.map_arrow(back, drawn, "a long, b long, draw long")
-    some = common.map_arrow(some.repartition("a"), drawn, "a long, b long, draw long").select("a", "b")
-    return graph.select("a", "b").union(some).distinct()
+    def meet(batches):
+        held = numpy_columns(batches)
+        if not held:
+            return
+        a, b, number, kind = held
+        back = drawn(*(x[kind == BACKWARD] for x in (a, b, number)), links)
+        a, b, old = (np.concatenate(x) for x in (
+            (a[kind == FORWARD], back[0], a[kind == BEFORE]), (b[kind == FORWARD], back[1], b[kind == BEFORE]),
+            (np.zeros((kind == FORWARD).sum() + len(back[0]), bool), np.ones((kind == BEFORE).sum(), bool))))
+        order = np.lexsort((old, b, a))
+        a, b, old = a[order], b[order], old[order]
+        first = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))
+        known = np.logical_or.reduceat(old, np.flatnonzero(first))
+        now = ~old[first]
+        a, b, new = a[first][now], b[first][now], ~known[now]
+        live = np.isin(a, a[new])
+        for i in range(0, len(a), 50_000):
+            yield common.batch_of(MET, *(x[i:i + 50_000] for x in (a, b, new, live)))
 
+    back = graph.select(F.col("b").alias("a"), F.col("a").alias("b"), F.xxhash64("a", "b", F.lit(seed)).alias("draw"))
+    back = common.map_arrow(back, draw, "a long, b long, draw long")
+    rows = graph.select("a", "b", F.lit(0).cast("long").alias("draw"), F.lit(FORWARD).alias("kind")).union(
+        back.withColumn("kind", F.lit(BACKWARD)))
+    if before is not None:
+        rows = rows.union(before.select("group", "id", F.lit(0).cast("long"), F.lit(BEFORE)))
+    return common.map_arrow(rows.repartition("a"), meet, MET_SCHEMA)
 
-def improve(graph: DataFrame, units: DataFrame, links: int, seed: int) -> DataFrame:
-    """One round of NN-descent: neighbours of a vector, and those it is a neighbour of, meet at it."""
-    meetings = both_ways(graph, links, seed).select(F.col("a").alias("group"), F.col("b").alias("id"))
-    dealt = meetings.join(units, "id").select("group", "dim", "id", "unit").repartition(
+
+def improve(graph: DataFrame, units: DataFrame, links: int, seed: int, before: DataFrame | None = None
+            ) -> tuple[DataFrame, DataFrame]:
+    """One round of NN-descent: neighbours of a vector, and those it is a neighbour of, meet at it.
+
+    Pairs that met at the same vector in the round ``before`` were compared then: either they are links
+    or the vectors have had ``links`` better ones since. The new graph and the round's meetings are returned.
+    """
+    met = common.stored(both_ways(graph, links, seed, before), "meetings")
+    worst = graph.groupBy(F.col("a").alias("id")).agg(
+        F.when(F.count("*") >= links, F.min("score")).otherwise(F.lit(-2.0)).cast("float").alias("worst"))
+    dealt = met.where("live").join(units.join(worst, "id", "left"), "id").select(
+        "group", "dim", "id", "unit", "new", F.coalesce("worst", F.lit(-2.0)).cast("float").alias("worst")).repartition(
         "group").sortWithinPartitions("group", "dim")
 
     def compare(batches):
-        best = _Best(links)
-        for _, ids, vectors in groups(batches):
-            if len(ids) > 1:
-                score = vectors @ vectors.T
-                np.fill_diagonal(score, -2)
-                k = min(links, len(ids) - 1)
-                top = np.argpartition(-score, k - 1, axis=1)[:, :k]
-                yield from best.add(np.repeat(ids, k), ids[top].ravel(), np.take_along_axis(score, top, axis=1).ravel())
+        best, held, count = _Best(links), [], 0
+        for ids, vectors, new, worst in groups(batches, 2):
+            at = np.flatnonzero(new)
+            if not len(at) or len(ids) < 2:
+                continue
+            score = vectors[at] @ vectors.T
+            score[np.arange(len(at)), at] = -3
+            i, j = np.nonzero(score >= worst[at, None])
+            held.append((ids[at[i]], ids[j], score[i, j]))
+            score[:, at] = -3  # the other way of a pair of new ones is there already
+            i, j = np.nonzero(score >= worst)
+            held.append((ids[j], ids[at[i]], score[i, j]))
+            count += len(held[-1][0]) + len(held[-2][0])
+            if count > GATHERED_PAIRS:
+                yield from best.add(*joined(held))
+                held, count = [], 0
+        if held:
+            yield from best.add(*joined(held))
         yield from best.rows()
 
-    return kept_best(common.map_arrow(dealt, compare, EDGES_SCHEMA).union(graph), links)
+    return kept_best(common.map_arrow(dealt, compare, EDGES_SCHEMA).union(graph), links), met
 
 
 def build_graph(units: DataFrame, links: int = LINKS, trees: int = TREES, leaf: int = LEAF,
                 fit_vectors: int = FIT_VECTORS, rounds: int = ROUNDS, seed: int = SEED) -> DataFrame:
     """a, b, score: the links of every vector."""
     graph = common.stored(first_graph(units, links, trees, leaf, fit_vectors, seed), "graph")
+    met = None
     for number in range(rounds):
-        graph = common.stored(improve(graph, units, links, seed + number), "graph")
+        better, met = improve(graph, units, links, seed + number, met)
+        graph = common.stored(better, "graph")
     return graph
 
 
-STATE = [("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64()), ("done", pa.bool_()),
-         ("unit", pa.binary())]
-STATE_SCHEMA = "query_id long, vec_id long, score double, done boolean, unit binary"
+#: Vectors of a query that one row of its state holds.
+STATE_VECTORS = 1024
+LONGS, DOUBLES, FLAGS = pa.list_(pa.int64()), pa.list_(pa.float64()), pa.list_(pa.bool_())
+STATE = [("query_id", pa.int64()), ("vecs", LONGS), ("scores", DOUBLES), ("done", FLAGS), ("follow", LONGS)]
+STATE_SCHEMA = "query_id long, vecs array<long>, scores array<double>, done array<boolean>, follow array<long>"
 
 
-def arrays(batches, columns: int) -> list[np.ndarray]:
-    held = [[batch.column(i).to_numpy(zero_copy_only=False) for i in range(columns)] for batch in batches]
-    return [np.concatenate(x) for x in zip(*held)]
+def flat(keys: pa.Array, *lists: pa.Array) -> list[np.ndarray]:
+    """Arrays of equal lengths in each row, on end, behind the row's key as often; a null is an empty one."""
+    lengths = pc.list_value_length(lists[0]).fill_null(0).to_numpy()
+    return [np.repeat(keys.to_numpy(), lengths), *(x.flatten().to_numpy(zero_copy_only=False) for x in lists)]
 
 
-def not_seen(batches):
-    """(query_id, vec_id, unit of the query) for each new pair; rows of a query are in one task.
+def lists(values: np.ndarray, ends: np.ndarray, kind: pa.DataType) -> pa.Array:
+    """Rows of the values between the ``ends``."""
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, kind.value_type))
 
-    A row with a unit is the query itself, one with a score has been seen, the
-    others are where the walk goes on.
-    """
-    out = [("query_id", pa.int64()), ("vec_id", pa.int64()), ("unit", pa.binary())]
-    held = arrays(batches, 5)
+
+def links_of(met: DataFrame) -> DataFrame:
+    """a, near: all that ``both_ways`` lets meet at a vector in one row."""
+    kinds = [("a", pa.int64()), ("near", LONGS)]
+
+    def gather(batches):
+        held = numpy_columns(batch.select([0, 1]) for batch in batches)
+        if held:
+            a, b = held
+            edges = np.append(np.flatnonzero(np.append(True, a[1:] != a[:-1])), len(a))  # sorted within a task
+            for i in range(0, len(edges) - 1, 1000):
+                ends = edges[i:i + 1001]
+                yield common.batch_of(kinds, a[ends[:-1]], lists(b[ends[0]:ends[-1]], ends - ends[0], LONGS))
+
+    return common.map_arrow(met, gather, "a long, near array<long>")
+
+
+def not_seen(batches):
+    """(query_id, vec_id) for each new pair; rows of a query are in one task, which say whether theirs were seen."""
+    held = []
+    for batch in batches:
+        query, vec = flat(batch.column(0), batch.column(1))
+        lengths = pc.list_value_length(batch.column(1)).fill_null(0).to_numpy()
+        held.append((query, vec, np.repeat(batch.column(2).to_numpy(zero_copy_only=False), lengths)))
     if not held:
         return
-    query, vec, score, _, unit = held
-    own = np.array([u is not None for u in unit])
-    units = dict(zip(query[own].tolist(), unit[own]))
-    query, vec, known = query[~own], vec[~own], ~np.isnan(score[~own].astype(float))
+    query, vec, known = (np.concatenate(x) for x in zip(*held))
     order = np.lexsort((~known, vec, query))  # seen ones first
     query, vec, known = query[order], vec[order], known[order]
     first = np.ones(len(query), bool)
     first[1:] = (query[1:] != query[:-1]) | (vec[1:] != vec[:-1])
     pick = first & ~known & (query != vec)
     query, vec = query[pick], vec[pick]
-    for i in range(0, len(query), 5000):
-        yield common.batch_of(out, query[i:i + 5000], vec[i:i + 5000], [units[q] for q in query[i:i + 5000].tolist()])
+    out = [("query_id", pa.int64()), ("vec_id", pa.int64())]
+    for i in range(0, len(query), 50_000):
+        yield common.batch_of(out, query[i:i + 50_000], vec[i:i + 50_000])
 
 
-def scored_pairs(batches):
-    """Score of (vec_id, query_id, dim, unit of the vector, unit of the query)."""
+def scored(batches):
+    """(query_id, vec_id, score) arrays of rows (query_id, vec_id, unit, ...) sorted by query_id, the query's
+    own unit ahead, with no vec_id; vectors of another length than the query's are left out."""
+    last, own = None, None
     for batch in batches:
-        vec, query = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        dims = batch.column(2).to_numpy()
-        asked = np.array([len(u) // 4 for u in batch.column(4).to_pylist()])
-        for dim in np.unique(dims).tolist():
-            at = np.flatnonzero((dims == dim) & (asked == dim))
+        rows = batch.filter(pc.is_valid(batch.column(2)))
+        if not rows.num_rows:
+            yield batch, None
+            continue
+        query, column = rows.column(0).to_numpy(), rows.column(2)
+        asked = np.asarray(pc.is_null(rows.column(1)))
+        sizes = pc.binary_length(column).to_numpy()
+        units = {int(query[i]): column[int(i)] for i in np.flatnonzero(asked)}
+        if last is not None:
+            units.setdefault(last, own)
+        last = int(query[-1])
+        own = units[last]
+        names = np.array(sorted(units), np.int64)
+        mine = pa.array([units[int(x)].as_py() for x in names], pa.binary())
+        place = np.searchsorted(names, query)
+        wanted = pc.binary_length(mine).to_numpy()[place]
+        parts = []
+        for size in np.unique(sizes[~asked]).tolist():
+            at = np.flatnonzero((sizes == size) & ~asked & (wanted == size))
             if len(at):
-                pick = pa.array(at)
-                score = np.einsum("ij,ij->i", *(matrix(batch.column(i).take(pick), "<f4") for i in (3, 4)))
-                yield common.batch_of(STATE, query[at], vec[at], score.astype(float), np.zeros(len(at), bool),
-                                      pa.nulls(len(at), pa.binary()))
+                there, here = matrix(column.take(pa.array(at)), "<f4"), matrix(mine.take(pa.array(place[at])), "<f4")
+                parts.append((query[at], rows.column(1).take(pa.array(at)).to_numpy(),
+                              np.einsum("ij,ij->i", there, here).astype(float)))
+        yield batch, joined(parts) if parts else None
 
 
 def search(vectors: DataFrame, graph: DataFrame, queries: DataFrame, nearest: int, links: int = LINKS,
@@ -346,59 +454,64 @@ def search(vectors: DataFrame, graph: DataFrame, queries: DataFrame, nearest: in
     in its beam that it has not followed, after ``walks`` rounds at most. It
     compares in single precision; the best are then scored exactly.
     """
-    links = common.stored(both_ways(graph, links, SEED), "links")
+    links = common.stored(links_of(both_ways(graph, links, SEED)), "links")
     units = common.stored(packed(vectors, "<f4"), "units")
-    asked = common.stored(units.join(queries.select("id"), "id").select(
-        F.col("id").alias("query_id"), F.lit(None).cast("long").alias("vec_id"), F.lit(None).cast("double").alias("score"),
-        F.lit(None).cast("boolean").alias("done"), "unit"), "asked")
+    none = F.lit(None)
+    asked = common.stored(units.join(queries.select("id"), "id").select(F.col("id").alias("query_id"), "unit"), "asked")
     now = asked.select("query_id", F.col("query_id").alias("a"))
     seen = None
 
     def go_on(batches):
-        held = arrays(batches, 4)
+        held = []
+        for batch, pairs in scored(batches):
+            if pairs is not None:
+                held.append((*pairs, np.zeros(len(pairs[0]), bool)))
+            held.append(flat(batch.column(0), *(batch.column(i) for i in (3, 4, 5))))
         if not held:
             return
-        query, vec, score, done = held
-        order = np.lexsort((vec, -score.astype(float), query))
-        query, vec, score, done = query[order], vec[order], score[order].astype(float), done[order].astype(bool)
-        inside = np.arange(len(query)) - np.searchsorted(query, query, "left") < beam
-        pick = np.flatnonzero(inside & ~done)
+        query, vec, score, done = (np.concatenate(x) for x in zip(*held))
+        order = np.lexsort((vec, -score, query))
+        query, vec, score, done = query[order], vec[order], score[order], done[order].astype(bool)
+        place = np.arange(len(query)) - np.searchsorted(query, query, "left")
+        pick = np.flatnonzero((place < beam) & ~done)
         pick = pick[np.arange(len(pick)) - np.searchsorted(query[pick], query[pick], "left") < followed]
         done[pick] = True
-        follow = np.zeros(len(query), bool)
-        follow[pick] = True
-        yield common.batch_of([*STATE[:4], ("follow", pa.bool_())], query, vec, score, done, follow)
+        edges = np.append(np.flatnonzero(place % STATE_VECTORS == 0), len(query))
+        for i in range(0, len(edges) - 1, 100):
+            ends = edges[i:i + 101]
+            low, high = ends[0], ends[-1]
+            follow = np.searchsorted(pick, ends)
+            yield common.batch_of(STATE, query[ends[:-1]], lists(vec[low:high], ends - low, LONGS),
+                                  lists(score[low:high], ends - low, DOUBLES), lists(done[low:high], ends - low, FLAGS),
+                                  lists(vec[pick[follow[0]:follow[-1]]], follow - follow[0], LONGS))
 
     for _ in range(walks):
-        reached = now.join(links, "a").select(
-            "query_id", F.col("b").alias("vec_id"), F.lit(None).cast("double").alias("score"),
-            F.lit(None).cast("boolean").alias("done"), F.lit(None).cast("binary").alias("unit"))
+        reached = now.join(links, "a").select("query_id", "near", F.lit(False).alias("seen"))
         if seen is not None:
-            reached = reached.union(seen.select("query_id", "vec_id", "score", "done", F.lit(None).cast("binary")))
-        new = common.map_arrow(reached.union(asked).repartition("query_id"), not_seen,
-                               "query_id long, vec_id long, unit binary")
-        pairs = new.withColumnRenamed("unit", "asked").join(units.withColumnRenamed("id", "vec_id"), "vec_id").select(
-            "vec_id", "query_id", "dim", "unit", "asked")
-        state = common.map_arrow(pairs, scored_pairs, STATE_SCHEMA).drop("unit")
+            reached = reached.union(seen.select("query_id", "vecs", F.lit(True)))
+        new = common.map_arrow(reached.repartition("query_id"), not_seen, "query_id long, vec_id long")
+        state = [none.cast(kind).alias(name) for name, kind in (
+            ("vecs", "array<long>"), ("scores", "array<double>"), ("done", "array<boolean>"))]
+        rows = new.join(units.withColumnRenamed("id", "vec_id"), "vec_id").select("query_id", "vec_id", "unit", *state)
+        rows = rows.union(asked.select("query_id", none.cast("long"), "unit", *state))
         if seen is not None:
-            state = state.union(seen.drop("follow"))
-        seen = common.stored(common.map_arrow(
-            state.repartition("query_id"), go_on,
-            "query_id long, vec_id long, score double, done boolean, follow boolean"), "walk")
-        now = seen.where("follow").select("query_id", F.col("vec_id").alias("a"))
+            rows = rows.union(seen.select("query_id", none.cast("long"), none.cast("binary"), "vecs", "scores", "done"))
+        rows = rows.repartition("query_id").sortWithinPartitions("query_id", F.col("vec_id").isNotNull())
+        seen = common.stored(common.map_arrow(rows, go_on, STATE_SCHEMA), "walk")
+        now = seen.select("query_id", F.explode("follow").alias("a"))
         if now.isEmpty():
             break
 
     def finalists(batches):
-        held = arrays(batches, 3)
+        held = [flat(batch.column(0), batch.column(1), batch.column(2)) for batch in batches]
         if held:
-            query, vec, score = held
+            query, vec, score = (np.concatenate(x) for x in zip(*held))
             order = np.lexsort((vec, -score, query))
             query, vec = query[order], vec[order]
             top = np.arange(len(query)) - np.searchsorted(query, query, "left") < 4 * nearest
-            yield common.batch_of(STATE[:2], query[top], vec[top])
+            yield common.batch_of([("query_id", pa.int64()), ("vec_id", pa.int64())], query[top], vec[top])
 
-    best = common.map_arrow(seen.select("query_id", "vec_id", "score").repartition("query_id"), finalists,
+    best = common.map_arrow(seen.select("query_id", "vecs", "scores").repartition("query_id"), finalists,
                             "query_id long, vec_id long")
     there = vectors.select(F.col("id").alias("vec_id"), "v", "n")
     mine = queries.select(F.col("id").alias("query_id"), F.col("v").alias("q"), F.col("n").alias("qn"))

@@ -83,3 +83,35 @@ def test_gathered_pairs_are_the_best(monkeypatch, most):
     expected = neighbours.best_per(*(np.concatenate(x) for x in zip(*every)), 4)
     for got, wanted in zip(neighbours.best_per(*given, 4), expected):
         assert np.array_equal(got, wanted.astype(got.dtype))
+
+
+def test_pairs_that_met_before_are_not_compared_again(frame):
+    draw = np.random.default_rng(5)
+    rows = [(i, draw.standard_normal(16).tolist()) for i in range(600)]
+    table = frame(rows, "vec_id long, embedding array<float>")
+    units = neighbours.packed(neighbours.usable(table, "vec_id", "embedding")).cache()
+    start = neighbours.first_graph(units, 8, 1, 32, 600, 3).cache()
+    short, every, met, new = start, start, None, []
+    for number in range(4):
+        better, met = neighbours.improve(short, units, 8, number, met)
+        short, every = better.cache(), neighbours.improve(every, units, 8, number)[0].cache()
+        new.append(met.where("new").count() / met.count())
+        edges = [sorted((r["a"], r["b"], round(r["score"], 4)) for r in graph.collect()) for graph in (short, every)]
+        assert edges[0] == edges[1] and len(edges[0]) == 600 * 8
+    assert new[0] == 1 and new[3] < 0.8
+    live = {r["group"] for r in met.where("new").collect()}
+    assert {r["group"] for r in met.where("live").collect()} == live
+
+
+def test_state_of_a_query_is_in_packed_rows(frame, monkeypatch):
+    monkeypatch.setattr(neighbours, "STATE_VECTORS", 7)
+    draw = np.random.default_rng(6)
+    rows = [(i, draw.standard_normal(8).tolist()) for i in range(300)]
+    vectors = neighbours.usable(frame(rows, "vec_id long, embedding array<float>"), "vec_id", "embedding").cache()
+    graph = neighbours.build_graph(neighbours.packed(vectors).cache(), 10).cache()
+    links = {r["a"]: r["near"] for r in neighbours.links_of(neighbours.both_ways(graph, 10, 1)).collect()}
+    assert set(links) == set(range(300)) and all(len(set(x)) == len(x) >= 10 for x in links.values())
+    got = found(neighbours.search(vectors, graph, vectors.where("id % 50 = 0"), 5, 10, 20, 4, 6))
+    rows = [(k, np.array(v, np.float32).astype(float).tolist()) for k, v in rows]
+    want = truth(rows, 50, 5)
+    assert sum(len({v for _, v, _ in got[k]} & {v for v, _ in want[k]}) for k in want) >= 0.9 * 5 * len(want)
