@@ -87,3 +87,20 @@ def test_parsers_of_records_generate_short_methods(spark, capsys):
         frame.explain("codegen")
         sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
         assert sizes and max(sizes) < 3000
+
+
+def test_records_as_written_read_as_others_do(spark, monkeypatch):
+    """Texts that to_records writes are read by their types; any other text is bound leniently."""
+    from rivermart.functions import records
+
+    columns = {"id": "bigint", "price": "double", "name": "string"}
+    values = ['{"id":7,"price":0.30000000000000004,"name":"a \\"b\\""}', '{"price":"NaN","x":{"id":1}}', "{}", '{"id":null}',
+              '{"id":"7","price":"1e2","name":5}', '{"id":1.0}', '{"id":"","price":true}', '{"name":{"a":[1]}}', '{"_unreadable":"q"}',
+              '{"id":9223372036854775808,"name":"n"}', "[1]", '[{"id":1}]', ' {"id":3}', '{"id":1,', "", "null", "7", None]
+    frame = spark.createDataFrame(list(enumerate(values)), "at int, value string")
+    lenient, written = ([str(r) for r in parse_records(frame, columns, keep=("at",), written=w).orderBy("at").collect()]
+                        for w in (False, True))
+    assert written == lenient and len(lenient) == 11
+    monkeypatch.setattr(records, "json_fields", lambda text: F.lit(None).cast("map<string,string>"))
+    by_type = [r.at for r in parse_records(frame, columns, keep=("at",), written=True).orderBy("at").collect()]
+    assert by_type == [0, 1, 2, 3, 7, 8]

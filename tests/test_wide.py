@@ -232,3 +232,10 @@ def test_without_a_full_bucket_there_is_no_second_pass(spark, monkeypatch):
     monkeypatch.setattr(module, "hot_groups", lambda *args, **measures: pytest.fail("second pass"))
     assert module.find_hot(frame, "k", Skew(hot_rows=1000, small_input=0), high=F.max("v")) is None
     assert module.find_hot(frame.where("v < 0"), "k", Skew(small_input=0)) is None
+
+
+def test_lines_of_a_batch_are_sorted_twice(spark):
+    pairs = spark.createDataFrame([], wide.schemas.ddl(wide._wide_kinds()))
+    batch = wide.with_known_lines(pairs, "2 days")
+    plan = wide.shared_lines(batch)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [order_id") == 2
