@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -388,3 +389,19 @@ def test_larger_inputs_are_handed_out_in_more_slices(spark, rows, sf_dir, monkey
     for name, expected in whole.items():
         assert rows(queries.queries()[name](spark, sf_dir)) == expected
     assert made == [(4, "10")] * 2
+
+
+def test_the_state_of_large_inputs_is_on_disk(spark, rows, sf_dir, monkeypatch):
+    from rivermart.plans import queries, stream_queries
+
+    whole = rows(queries.queries()["stream_order_wide"](spark, sf_dir))
+    used, run = [], stream_queries.Feed.run
+
+    def watched(self, *starts):
+        run(self, *starts)
+        provider = self.spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+        used.append((provider.rsplit(".", 1)[1], any(Path(self.folder).glob("checkpoint/pairs/state/**/*.zip"))))
+    monkeypatch.setattr(stream_queries.Feed, "run", watched)
+    monkeypatch.setattr(stream_queries, "SLICE_ROWS", 2_500)
+    assert rows(queries.queries()["stream_order_wide"](spark, sf_dir)) == whole
+    assert used == [("RocksDBStateStoreProvider", True)]
